@@ -61,7 +61,7 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     if name not in TABLES:
         return source(spark, sf, name)
     parents = {d: table(spark, sf, d) for d in DEPENDS[name]}
-    sql = TABLES[name].replace("//", " div ")
+    sql = TABLES[name].replace("//", " div ").replace("{", "{{").replace("}", "}}")
     for d in parents:
         sql = _word(sql, d, "{" + d + "}")
     return spark.sql(sql, **parents)

@@ -184,7 +184,7 @@ POINT_FIELDS = {"manzana": "manzana", "predio": "predio", "lat": "ubicacionX",
 
 # --- fixed values: request services, (layer, style, eac, eacano) ---
 SERVICES = {
-    "default": [("sii:BR_CART_AH_MUESTRAS", "AH_MUESTRA_EAC_15_2025", 15, 2025)],
+    "default": [("sii:BR_CART_AH_MUESTRAS", "AH_MUESTRA_EAC_14_2022", 14, 2022)],
     "obs_ah": [
         ("sii:BR_CART_AH_MUESTRAS", "AH_MUESTRA_EAC_15_2025", 15, 2025),
         ("sii:BR_CART_OBS_SUELO_15", "OBS_SUELO_15_V2", 15, 2025),

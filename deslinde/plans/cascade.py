@@ -169,7 +169,7 @@ def match_cascade_v1(
 
 
 def _nearest_stage(rows: DataFrame, polygons: DataFrame, metres: float) -> DataFrame:
-    located = S.locate_sites(S.sites_of(rows), polygons, S.MERCATOR, within_m=metres)
+    located = S.nearest_capped_sites(S.sites_of(rows), polygons, metres, S.MERCATOR)
     return _result(rows.join(located, ["comuna", "x", "y"], "left"), "6_fallback_nearest")
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,3 +50,8 @@ def cut(df: DataFrame) -> DataFrame:
     """
     _checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder for intermediate tables, beside the checkpoints, where every executor reaches it."""
+    return f"{_checkpoint_dir(spark)}/scratch/{uuid.uuid4().hex}/{name}"
