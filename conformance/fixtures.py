@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deslinde.functions import geometry as G
+from deslinde.session import spread
 
 TABLES = {
     "fx_polygons": """
@@ -53,7 +54,7 @@ def add_table(name: str, sql: str, depends: list[str]) -> None:
 
 
 def source(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf}/{name}.parquet"))
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:

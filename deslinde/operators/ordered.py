@@ -78,13 +78,14 @@ def stall_gaps(progress: DataFrame, seconds: int = C.STALL_SECONDS) -> DataFrame
     follow = starts.select(*keys, CHUNK, F.min("_s").over(later).alias("_next_start"))
     here = Window.partitionBy(CHUNK, *keys).orderBy(*order)
     ends = progress.groupBy(*keys).agg(F.max("ts").alias("_last"))
+    stepped = ups.withColumn("_lead", F.lead("ts").over(here))
     gaps = (
-        ups.join(follow, [*keys, CHUNK]).withColumn("_next", F.coalesce(F.lead("ts").over(here), "_next_start"))
+        stepped.join(follow, [*keys, CHUNK]).withColumn("_next", F.coalesce("_lead", "_next_start"))
         .join(ends, keys)
         .select(
-            *keys, F.col("counter"), F.col("ts").alias("stalled_from"),
+            *keys, "counter", F.col("ts").alias("stalled_from"),
             F.coalesce("_next", "_last").alias("stalled_to"), F.col("_next").isNotNull().alias("closed"),
         )
     )
-    length = F.unix_micros("stalled_to") - F.unix_micros("stalled_from")
-    return gaps.where(length >= seconds * 1_000_000)
+    longest = F.make_dt_interval(secs=F.lit(float(seconds)))
+    return gaps.where(F.col("stalled_to") - F.col("stalled_from") >= longest)

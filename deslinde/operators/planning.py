@@ -198,27 +198,22 @@ def split_cells(cells: DataFrame) -> DataFrame:
     return tiles.where(F.col("tx").between(F.col("x0"), F.col("x1")) & F.col("ty").between(F.col("y0"), F.col("y1")))
 
 
-def _segment_box_distance(e: Column, b: Column) -> Column:
-    """Distance between an edge (ax, ay, bx, by) and a box, zero when they meet."""
-    # clip the edge's parameter range by the box (slabs); a non-empty rest means they meet
-    def slab(a: Column, d: Column, lo: Column, hi: Column) -> tuple[Column, Column]:
-        t0, t1 = (lo - a) / d, (hi - a) / d
-        flat_ok = (a >= lo) & (a <= hi)
-        low = F.when(d == 0, F.when(flat_ok, 0.0).otherwise(2.0)).otherwise(F.least(t0, t1))
-        high = F.when(d == 0, F.when(flat_ok, 1.0).otherwise(-1.0)).otherwise(F.greatest(t0, t1))
-        return low, high
-
-    dx, dy = e["bx"] - e["ax"], e["by"] - e["ay"]
-    x0, x1 = slab(e["ax"], dx, b["minx"], b["maxx"])
-    y0, y1 = slab(e["ay"], dy, b["miny"], b["maxy"])
-    meets = F.greatest(x0, y0, F.lit(0.0)) <= F.least(x1, y1, F.lit(1.0))
-    box_to = lambda x, y: G.box_distance(b["minx"], b["miny"], b["maxx"], b["maxy"], x, y)
-    corner = lambda x, y: G._edge_distance(e, x, y)
-    apart = F.least(
-        box_to(e["ax"], e["ay"]), box_to(e["bx"], e["by"]), corner(b["minx"], b["miny"]), corner(b["minx"], b["maxy"]),
-        corner(b["maxx"], b["miny"]), corner(b["maxx"], b["maxy"]),
-    )
-    return F.when(meets, 0.0).otherwise(apart)
+def _near_box(e: Column, b: Column, reach: float) -> Column:
+    """Is the edge (ax, ay, bx, by) within ``reach`` of the box?
+
+    Settled by the ends in most cases. Otherwise the edge either passes through the box or
+    comes nearest to one of its corners.
+    """
+    to_box = lambda x, y: G.box_distance(b["minx"], b["miny"], b["maxx"], b["maxy"], x, y)
+    gap = lambda lo, hi, p, q: F.greatest(lo - F.greatest(p, q), F.least(p, q) - hi, F.lit(0.0))
+    around = F.hypot(gap(b["minx"], b["maxx"], e["ax"], e["bx"]), gap(b["miny"], b["maxy"], e["ay"], e["by"]))
+    at_end = (to_box(e["ax"], e["ay"]) <= reach) | (to_box(e["bx"], e["by"]) <= reach)
+    corners = F.array(*[F.struct(b[x].alias("x"), b[y].alias("y")) for x in ("minx", "maxx") for y in ("miny", "maxy")])
+    side = F.transform(corners, lambda c: G._side(e["ax"], e["ay"], e["bx"], e["by"], c["x"], c["y"]))
+    # corners on both sides of the line while the edge's own box meets the box: it passes through
+    through = (around == 0) & (F.array_min(side) <= 0) & (F.array_max(side) >= 0)
+    by_corner = F.exists(corners, lambda c: G._edge_distance(e, c["x"], c["y"]) <= reach)
+    return (around <= reach) & (at_end | through | by_corner)
 
 
 def grid_cover(areas: DataFrame, buffer_m: float = C.GRID_BUFFER_M) -> DataFrame:
@@ -240,7 +235,7 @@ def grid_cover(areas: DataFrame, buffer_m: float = C.GRID_BUFFER_M) -> DataFrame
     )
     left, top = F.col("c") * size - half, F.lit(half) - F.col("r") * size
     box = F.struct(left.alias("minx"), (top - size).alias("miny"), (left + size).alias("maxx"), top.alias("maxy"))
-    near = near.withColumn("b", box).where(_segment_box_distance(F.col("e"), F.col("b")) <= buffer_m).select("cod", "c", "r")
+    near = near.withColumn("b", box).where(_near_box(F.col("e"), F.col("b"), buffer_m)).select("cod", "c", "r")
     # rows whose middle line the edge crosses: middle = half - (r + 0.5) * size
     mid = lambda y: (F.lit(half) - y) / size - 0.5
     rows = F.sequence(F.floor(mid(hi("ay", "by"))) + 1, F.floor(mid(lo("ay", "by"))))

@@ -55,3 +55,12 @@ def cut(df: DataFrame) -> DataFrame:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder for intermediate tables, beside the checkpoints, where every executor reaches it."""
     return f"{_checkpoint_dir(spark)}/scratch/{uuid.uuid4().hex}/{name}"
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Share a table of few files over the cores, for steps that are heavy per row.
+
+    A table with at least as many files as cores is left alone.
+    """
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df if len(df.inputFiles()) >= n else df.repartition(n)
