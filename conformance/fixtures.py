@@ -21,9 +21,9 @@ TABLES = {
                p_partkey % 6 = 0 AS has_hole, p_partkey % 9 = 0 AS has_slit
         FROM part""",
     "fx_keyed_orders": """
-        SELECT o_orderkey AS ok, o_orderkey % n.p AS h, o_orderkey // n.p AS u, o_totalprice, o_orderstatus,
-               o_orderpriority, o_custkey
-        FROM orders CROSS JOIN (SELECT count(*) AS p FROM part) n""",
+        SELECT o_orderkey AS ok, o_orderkey % (SELECT count(*) FROM part) AS h,
+               o_orderkey // (SELECT count(*) FROM part) AS u, o_totalprice
+        FROM orders""",
     "fx_parcels": """
         SELECT ok, h, CAST(13101 + h % 5 AS INT) AS comuna, lpad(CAST(h // 10 AS STRING), 5, '0') AS manzana,
                (h % 10) * 12 + u AS num, lpad(CAST((h % 10) * 12 + u AS STRING), 5, '0') AS predio,

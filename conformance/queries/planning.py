@@ -71,6 +71,11 @@ def fuzzy_lookup(spark, sf):
     return found.withColumn("options", F.array_join("options", " "))
 
 
+@query("list_communes", "SELECT cod, name FROM fx_dim WHERE contains(plain, 'VINA_DEL')", ["fx_dim"])
+def list_communes(spark, sf):
+    return L.list_communes(X.table(spark, sf, "fx_dim").select("cod", "name"), "viña_del")
+
+
 @query("commune_dimension", """
     SELECT cod, name AS nombre, plain AS nombre_normalizado, CASE WHEN cod = '13101' THEN 'SANTIAGO_CENTRO' ELSE plain END AS nombre_wms,
            'data/x/' || cod || '_' || name || '.csv' AS path FROM fx_dim""", ["fx_dim"])

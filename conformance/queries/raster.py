@@ -216,7 +216,7 @@ def vectorize(spark, sf):
 X.add_table("fx_windows", """SELECT p_partkey AS win, (p_partkey % 9) * 11 AS x0, p_partkey // 9 * 12 AS y0, (p_partkey % 9) * 11 + 11 AS x1, p_partkey // 9 * 12 + 12 AS y1,
     5 AS w, 4 AS h FROM part""", ["part"])
 X.add_table("fx_coarse", """SELECT win, c % 5 AS cx, c // 5 AS cy, CASE WHEN (c * 7 + win) % 3 = 0 OR win % 4 = 1 THEN 182 ELSE 60 END AS r, CASE WHEN (c + win) % 11 = 0 THEN 0 ELSE 255 END AS a
-    FROM fx_windows CROSS JOIN (SELECT o_orderkey AS c FROM orders WHERE o_orderkey < 20) k""", ["fx_windows", "orders"])
+    FROM (SELECT o_orderkey // 20 AS win, o_orderkey % 20 AS c FROM orders) k""", ["orders"])
 
 
 @query("burn_border", """

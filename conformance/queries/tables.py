@@ -250,7 +250,7 @@ def scan_csv_lenient(spark, sf):
     line = F.concat_ws(",", F.col("ok").cast("string"), lat, F.coalesce(F.col("lon").cast("string"), F.lit("")))
     line = F.when(F.col("ok") % 17 == 0, F.concat(line, F.lit(",broken"))).otherwise(line)
     X.parcels(spark, sf).select(line.alias("value")).write.text(path)
-    rows = R.read_csv_lenient(spark, path, ["ok", "lat", "lon"])
+    rows = R.read_csv_lenient(spark, path, ["ok", "lat", "lon"], header=False)
     return rows.select(
         F.col("ok").cast("bigint").alias("ok"), F.round("_lat", 6).alias("lat"), F.round("_lon", 6).alias("lon")
     )
@@ -284,3 +284,14 @@ def lookup_overrides(spark, sf):
     base = X.source(spark, sf, "part").select((F.col("p_partkey") + 13000).cast("int").alias("comuna"))
     named = lambda df, word: df.select("comuna", F.concat(F.lit(word), F.col("comuna").cast("string")).alias("layer"))
     return L.lookup_with_overrides(named(base, "LAYER_"), named(base.where("comuna % 3 = 0"), "OVER_"), "comuna")
+
+
+X.add_table("fx_listing", f"""
+    SELECT 'data/tiles/' || CASE ok % 5 WHEN 0 THEN 'sc_' WHEN 1 THEN 'tile_' ELSE 'sc_' END || {S('h * 4')} || '_' || {S('ok')}
+           || CASE ok % 7 WHEN 3 THEN '.tmp' ELSE '.png' END AS path, ok % 300 AS length, h * 4 AS sc_x, ok AS sc_y,
+           ok % 5 <> 1 AND ok % 7 <> 3 AS image FROM fx_parcels""", ["fx_parcels"])
+
+
+@query("list_tiles", "SELECT sc_x, sc_y, path, length FROM fx_listing WHERE image AND length >= 100", ["fx_listing"])
+def list_tiles(spark, sf):
+    return R.parse_tile_listing(X.table(spark, sf, "fx_listing").select("path", "length"))

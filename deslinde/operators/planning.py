@@ -75,6 +75,14 @@ def resolve_name(asked: DataFrame, dim: DataFrame) -> DataFrame:
     )
 
 
+def list_communes(dim: DataFrame, wanted: str | None = None) -> DataFrame:
+    """Communes (cod, name) in code order, those whose normal name holds ``wanted`` if given."""
+    rows = dim
+    if wanted:
+        rows = dim.where(T.normal_name(F.col("name")).contains(T.normal_name(F.lit(wanted))))
+    return rows.orderBy("cod")
+
+
 def _pieces(text: Column, lengths: Column) -> Column:
     """All distinct substrings of the given lengths."""
     return F.array_distinct(F.flatten(F.transform(

@@ -34,10 +34,10 @@ def read_pipe_csv(spark: SparkSession, path: str, columns: Sequence[str]) -> Dat
     return spark.read.schema(text_schema(columns)).option("header", True).option("sep", "|").csv(path)
 
 
-def read_csv_lenient(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
+def read_csv_lenient(spark: SparkSession, path: str, columns: Sequence[str], header: bool = True) -> DataFrame:
     """CSV whose broken lines are skipped; ``_lat`` and ``_lon`` are null outside the legacy box."""
     rows = (
-        spark.read.schema(text_schema(columns)).option("header", True).option("mode", "DROPMALFORMED").csv(path)
+        spark.read.schema(text_schema(columns)).option("header", header).option("mode", "DROPMALFORMED").csv(path)
     )
     lat, lon = F.col("lat").try_cast("double"), F.col("lon").try_cast("double")
     ok = M.valid_coord(lat, lon, legacy=True)
@@ -82,9 +82,8 @@ def list_partitions(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).select("comuna").distinct()
 
 
-def list_tiles(spark: SparkSession, path: str) -> DataFrame:
-    """(sc_x, sc_y, path, length) of cell images, tiny files left out; contents are not read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length")
+def parse_tile_listing(files: DataFrame) -> DataFrame:
+    """(sc_x, sc_y, path, length) of cell images in a listing (path, length), tiny files left out."""
     name = F.element_at(F.split("path", "/"), -1)
     part = lambda i: F.regexp_extract(name, r"^sc_(\d+)_(\d+)\.png$", i).try_cast("bigint")
     return files.where(F.col("length") >= C.MIN_IMAGE_BYTES).select(
@@ -92,6 +91,12 @@ def list_tiles(spark: SparkSession, path: str) -> DataFrame:
     ).where("sc_x is not null")
 
 
+def list_tiles(spark: SparkSession, path: str) -> DataFrame:
+    """Cell images under a folder; their contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return parse_tile_listing(files.select("path", "length"))
+
+
 def output_sizes(spark: SparkSession, folders: dict[str, str]) -> DataFrame:
     """Megabytes per commune and kind of output, from the file listing."""
     parts = None
