@@ -16,7 +16,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     """Hang every larger neighbour of a node on the node's smallest one."""
     near = _both_ways(edges)
     low = near.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-    return near.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+    return near.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
 
 
 def _small_star(edges: DataFrame) -> DataFrame:

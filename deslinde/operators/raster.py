@@ -25,8 +25,8 @@ PIXEL_M = M.TILE_M / C.TILE_PX
 
 
 def class_masks(rgba: np.ndarray) -> dict[str, np.ndarray]:
-    """Boolean masks per pixel class of an (h, w, 4) image."""
-    red, alpha = rgba[:, :, 0], rgba[:, :, 3]
+    """Boolean masks per pixel class of a stack of images (n, h, w, 4)."""
+    red, alpha = rgba[..., 0], rgba[..., 3]
     opaque = alpha == C.OPAQUE
     return {
         "urban_fill": (red >= C.URBAN_RED_MIN) & (red <= C.URBAN_RED_MAX) & opaque,
@@ -38,28 +38,36 @@ def class_masks(rgba: np.ndarray) -> dict[str, np.ndarray]:
     }
 
 
-def mask_runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rows, first and last columns of the horizontal runs of a mask."""
-    padded = np.zeros((mask.shape[0], mask.shape[1] + 2), dtype=np.int8)
-    padded[:, 1:-1] = mask
-    step = np.diff(padded, axis=1)
-    y, start = np.nonzero(step == 1)
-    _, stop = np.nonzero(step == -1)
-    return y, start, stop - 1
+def mask_runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Image, row, first and last column of the horizontal runs of a stack of masks (n, h, w)."""
+    padded = np.zeros((*mask.shape[:2], mask.shape[2] + 2), dtype=np.int8)
+    padded[:, :, 1:-1] = mask
+    step = np.diff(padded, axis=2)
+    image, y, start = np.nonzero(step == 1)
+    return image, y, start, np.nonzero(step == -1)[2] - 1
+
+
+PIXELS_AT_ONCE = 4_000_000
+
+
+def _stack_runs(tiles: pd.DataFrame, size: int) -> Iterator[pd.DataFrame]:
+    """Runs of tiles of one size, a few million pixels at a time."""
+    at_once = max(1, PIXELS_AT_ONCE // (size * size))
+    for i in range(0, len(tiles), at_once):
+        part = tiles.iloc[i : i + at_once]
+        images = np.frombuffer(b"".join(part.rgba), dtype=np.uint8).reshape(len(part), size, size, 4)
+        tx, ty = part.tx.to_numpy(), part.ty.to_numpy()
+        for cls, mask in class_masks(images).items():
+            n, y, a, b = mask_runs(mask)
+            yield pd.DataFrame({
+                "cls": cls, "tile_x": tx[n], "y": y + ty[n] * size, "x0": a + tx[n] * size, "x1": b + tx[n] * size
+            })
 
 
 def _tile_runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        frames = []
-        for tx, ty, size, data in zip(batch.tx, batch.ty, batch["size"], batch.rgba):
-            image = np.frombuffer(data, dtype=np.uint8).reshape(size, size, 4)
-            for cls, mask in class_masks(image).items():
-                y, a, b = mask_runs(mask)
-                frames.append(pd.DataFrame(
-                    {"cls": cls, "tile_x": tx, "y": y + ty * size, "x0": a + tx * size, "x1": b + tx * size}
-                ))
-        if frames:
-            yield pd.concat(frames, ignore_index=True)
+        for size, tiles in batch.groupby("size"):
+            yield from _stack_runs(tiles, int(size))
 
 
 def pixel_runs(tiles: DataFrame) -> DataFrame:
@@ -250,17 +258,18 @@ def _chain(segments: pd.DataFrame) -> pd.DataFrame:
     leaving: dict[tuple, list[int]] = {}
     for i, (ax, ay, _, _) in enumerate(points):
         leaving.setdefault((ax, ay), []).append(i)
-    rings, free = [], set(range(len(points)))
-    while free:
-        i = min(free)
-        ring, start = [], tuple(points[i, :2])
+    rings, used = [], np.zeros(len(points), dtype=bool)
+    for first in range(len(points)):
+        if used[first]:
+            continue
+        i, ring, start = first, [], tuple(points[first, :2])
         while True:
-            free.discard(i)
+            used[i] = True
             ax, ay, bx, by = points[i]
             ring.append((ax, ay))
             if (bx, by) == start:
                 break
-            options = [j for j in leaving[(bx, by)] if j in free]
+            options = [j for j in leaving[(bx, by)] if not used[j]]
             dx, dy = bx - ax, by - ay
             # y grows downwards: the right turn has the largest cross product
             i = max(options, key=lambda j: np.sign(dx * (points[j, 3] - by) - dy * (points[j, 2] - bx)))

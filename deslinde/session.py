@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,6 +16,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # rows here are heavy (polygons tested edge by edge), so small shuffles stay spread
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.sql.session.timeZone": "UTC",
 }
 
@@ -23,9 +27,24 @@ def configure(spark: SparkSession) -> SparkSession:
     for key, value in DEFAULTS.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
+    _ship_package(spark)
     return spark
 
 
+def _ship_package(spark: SparkSession) -> None:
+    """Hand the package to the Python workers, once per context; the Arrow steps import it."""
+    sc = spark.sparkContext
+    if getattr(sc, "_deslinde_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="spark-deslinde-", dir="/tmp")) / "deslinde.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(str(archive))
+    sc._deslinde_shipped = True
+
+
 def _checkpoint_dir(spark: SparkSession) -> str:
     """The folder the session names; a private one only in local mode."""
     sc = spark.sparkContext
