@@ -83,18 +83,35 @@ def utm_to_lonlat(east: Column, north: Column, zone: int = 19, south: bool = Tru
     beta = (n / 2 - 2 * n**2 / 3 + 37 * n**3 / 96, n**2 / 48 + n**3 / 15, 17 * n**3 / 480)
     delta = (2 * n - 2 * n**2 / 3 - 2 * n**3, 7 * n**2 / 3 - 8 * n**3 / 5, 56 * n**3 / 15)
     scale = 0.9996 * rectifying
-    xi0 = (north - (10000000.0 if south else 0.0)) / scale
-    eta0 = (east - 500000.0) / scale
-    xi, eta = xi0, eta0
-    for j, b in enumerate(beta, start=1):
-        xi = xi - F.sin(xi0 * (2 * j)) * F.cosh(eta0 * (2 * j)) * b
-        eta = eta - F.cos(xi0 * (2 * j)) * F.sinh(eta0 * (2 * j)) * b
-    chi = F.asin(F.sin(xi) / F.cosh(eta))
-    lat = chi
-    for j, d in enumerate(delta, start=1):
-        lat = lat + F.sin(chi * (2 * j)) * d
-    lon = F.atan2(F.sinh(eta), F.cos(xi)) + math.radians(zone * 6 - 183)
-    return F.struct(F.degrees(lon).alias("lon"), F.degrees(lat).alias("lat"))
+
+    def footpoint(p: Column) -> Column:
+        xi, eta = p["xi"], p["eta"]
+        for j, b in enumerate(beta, start=1):
+            xi = xi - F.sin(p["xi"] * (2 * j)) * F.cosh(p["eta"] * (2 * j)) * b
+            eta = eta - F.cos(p["xi"] * (2 * j)) * F.sinh(p["eta"] * (2 * j)) * b
+        return F.struct(xi.alias("xi"), eta.alias("eta"))
+
+    def conformal(p: Column) -> Column:
+        return F.struct(
+            F.asin(F.sin(p["xi"]) / F.cosh(p["eta"])).alias("chi"), F.atan2(F.sinh(p["eta"]), F.cos(p["xi"])).alias("lam")
+        )
+
+    def geodetic(p: Column) -> Column:
+        lat = p["chi"]
+        for j, d in enumerate(delta, start=1):
+            lat = lat + F.sin(p["chi"] * (2 * j)) * d
+        return F.struct(
+            F.degrees(p["lam"] + math.radians(zone * 6 - 183)).alias("lon"), F.degrees(lat).alias("lat")
+        )
+
+    # one-element arrays name the intermediate values; written out, the series would repeat them a hundred times
+    given = F.struct(
+        ((north - (10000000.0 if south else 0.0)) / scale).alias("xi"), ((east - 500000.0) / scale).alias("eta")
+    )
+    steps = F.array(given)
+    for step in (footpoint, conformal, geodetic):
+        steps = F.transform(steps, step)
+    return steps[0]
 
 
 def degree_metres(deg: Column) -> Column:

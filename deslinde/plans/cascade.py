@@ -185,7 +185,7 @@ def utm_source(rows: DataFrame) -> DataFrame:
 
 def utm_fallback(rows: DataFrame, polygons: DataFrame, how: str = "inner") -> DataFrame:
     """Containing polygon of the projected place, else the nearest however far."""
-    placed = utm_source(rows.drop("x", "y"))
+    placed = cut(utm_source(rows.drop("x", "y")))
     located = S.nearest_sites(S.sites_of(placed), polygons)
     out = placed.join(located, ["comuna", "x", "y"], how)
     label = F.concat(F.col("utm_source"), F.when(F.col("inside"), "_utm_pip").otherwise("_utm_nearest"))
