@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from deslinde.llm import packing, tokencount
+from deslinde.llm import neardup, packing, tokencount
 from deslinde.llm.common import ready, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,3 +37,9 @@ def _packing(spark, sf_dir):
 def _token_counts(spark, sf_dir):
     """Totals, suffix sums and truncated totals at every encoded length of the documents."""
     return tokencount.count_tokens(table(spark, sf_dir, "documents"))
+
+
+@_query("op6_near_duplicates")
+def _near_duplicates(spark, sf_dir):
+    """Component of every document under a Jaccard similarity of 0.8 of two-word shingles."""
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
