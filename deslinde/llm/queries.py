@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from deslinde.llm import neardup, packing, tokencount
+from deslinde.llm import decontam, neardup, packing, tokencount
 from deslinde.llm.common import ready, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,3 +43,9 @@ def _token_counts(spark, sf_dir):
 def _near_duplicates(spark, sf_dir):
     """Component of every document under a Jaccard similarity of 0.8 of two-word shingles."""
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
+
+
+@_query("op9_benchmark_leaks")
+def _benchmark_leaks(spark, sf_dir):
+    """Documents whose tiles cover half of a test item or more."""
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
