@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from deslinde.llm import decontam, neardup, packing, tokencount
+from deslinde.llm import decontam, langid, neardup, packing, secrets, tokencount
 from deslinde.llm.common import ready, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,3 +49,16 @@ def _near_duplicates(spark, sf_dir):
 def _benchmark_leaks(spark, sf_dir):
     """Documents whose tiles cover half of a test item or more."""
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@_query("op3_secrets")
+def _secrets(spark, sf_dir):
+    """Secrets of all documents, in the texts and in what is encoded in them."""
+    return secrets.find_secrets(table(spark, sf_dir, "documents"))
+
+
+@_query("op4_languages")
+def _languages(spark, sf_dir):
+    """Predicted language of all documents."""
+    docs = table(spark, sf_dir, "documents")
+    return langid.predict(docs, langid.train(docs))
