@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from deslinde.llm import decontam, langid, neardup, packing, secrets, tokencount
+from deslinde.llm import ann, decontam, langid, neardup, packing, secrets, tokencount
 from deslinde.llm.common import ready, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +62,10 @@ def _languages(spark, sf_dir):
     """Predicted language of all documents."""
     docs = table(spark, sf_dir, "documents")
     return langid.predict(docs, langid.train(docs))
+
+
+@_query("op1_nearest_vectors")
+def _nearest_vectors(spark, sf_dir):
+    """The five nearest vectors of every fiftieth one, by cosine."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, vectors.where("vec_id % 50 = 0"), k=5)

@@ -12,7 +12,7 @@ from deslinde.llm.common import column, ready, saved, texts_of
 from deslinde.llm.tokens import VOCABULARY, shared
 
 # Lengths that one window task sums; longer histograms are summed in as many tasks as they have such runs.
-RUN = 4096
+RUN = 512
 
 
 def encoded_lengths(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
@@ -46,7 +46,7 @@ def length_table(histogram: DataFrame, run: int = RUN) -> DataFrame:
     runs = rows.groupBy("run_no").agg(F.sum("docs").alias("run_docs"), F.sum("tokens").alias("run_tokens"))
     later = Window.orderBy("run_no").rowsBetween(1, Window.unboundedFollowing)
     earlier = Window.orderBy("run_no").rowsBetween(Window.unboundedPreceding, -1)
-    of_runs = runs.select(  # a row per 4,096 lengths: a document of a million tokens makes it 245 rows
+    of_runs = runs.select(  # a row per run: a document of a million tokens makes it 2,000 rows
         "run_no",
         *(F.coalesce(F.sum(c).over(w), F.lit(0)).alias(f"{c}_{n}") for c in ("run_docs", "run_tokens") for n, w in (("to", earlier), ("over", later))),
     )
