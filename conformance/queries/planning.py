@@ -64,7 +64,7 @@ X.add_table("fx_typed", f"""
       UNION ALL SELECT q, 4, cod FROM t JOIN fx_dim d ON list_bool_and(list_transform(string_split(replace(n, '_', ' '), ' '), lambda w: contains(d.plain, w)))),
     best AS (SELECT q, tier, list_sort(list(DISTINCT cod)) AS cods, min(tier) OVER (PARTITION BY q) AS b FROM hits GROUP BY q, tier)
     SELECT id, q, CASE WHEN len(cods) = 1 THEN cods[1] END AS cod, CASE WHEN cods IS NULL THEN 'not_found' WHEN len(cods) > 1 THEN 'ambiguous' ELSE 'found' END AS status,
-           CASE WHEN len(cods) > 1 THEN array_to_string(cods[1:10], ' ') END AS options
+           CASE WHEN len(cods) > 1 THEN array_to_string(cods, ' ') END AS options, CAST(coalesce(len(cods), 0) AS INTEGER) AS hits
     FROM fx_typed LEFT JOIN (SELECT * FROM best WHERE tier = b) USING (q)""", ["fx_typed", "fx_dim"])
 def fuzzy_lookup(spark, sf):
     found = L.fuzzy_lookup(X.table(spark, sf, "fx_typed"), X.table(spark, sf, "fx_dim").select("cod", "name"))

@@ -17,7 +17,9 @@ from deslinde.functions import text as T
 X.add_table("fx_key_text", """
     SELECT o_orderkey AS ok,
            CASE o_orderkey % 6 WHEN 0 THEN ' ' || CAST(o_orderkey AS STRING) || ' ' WHEN 1 THEN CAST(o_orderkey * 997 AS STRING)
-                WHEN 2 THEN 'None' WHEN 3 THEN '' WHEN 4 THEN '00' || CAST(o_orderkey AS STRING) END AS raw,
+                WHEN 2 THEN 'None' WHEN 3 THEN '' WHEN 4 THEN '00' || CAST(o_orderkey AS STRING)
+                ELSE CASE o_orderkey % 4 WHEN 0 THEN CAST(o_orderkey AS STRING) || '.0' WHEN 1 THEN CAST(o_orderkey AS STRING) || '.5'
+                     WHEN 2 THEN chr(9) || CAST(o_orderkey AS STRING) || chr(10) END END AS raw,
            CASE o_orderkey % 5 WHEN 0 THEN '13101|' || lpad(CAST(o_orderkey % 977 AS STRING), 5, '0') || '|00012'
                 WHEN 1 THEN '13101|00001' WHEN 2 THEN 'x|00001|00002' WHEN 3 THEN CAST(o_orderkey AS STRING) || '| 7 |8 ' END AS v,
            CASE o_orderkey % 8 WHEN 0 THEN 'True' WHEN 1 THEN ' si ' WHEN 2 THEN '1' WHEN 3 THEN 'no' WHEN 4 THEN 'YES'
@@ -29,14 +31,15 @@ def keys(spark, sf):
     return X.table(spark, sf, "fx_key_text")
 
 
-@query("key_zfill", """SELECT ok, CASE WHEN length(trim(raw)) >= 5 THEN trim(raw) ELSE lpad(trim(raw), 5, '0') END AS key
-    FROM fx_key_text""", ["fx_key_text"])
+@query("key_zfill", """SELECT ok, CASE WHEN length(t) >= 5 THEN t ELSE lpad(t, 5, '0') END AS key
+    FROM (SELECT ok, regexp_replace(raw, '^\\s+|\\s+$', '', 'g') AS t FROM fx_key_text)""", ["fx_key_text"])
 def key_zfill(spark, sf):
     return keys(spark, sf).select("ok", K.zfill(F.col("raw")).alias("key"))
 
 
-@query("key_int", "SELECT ok, TRY_CAST(raw AS BIGINT) IS NULL AS bad, coalesce(TRY_CAST(raw AS BIGINT), -1) AS key FROM fx_key_text",
-       ["fx_key_text"])
+@query("key_int", """SELECT ok, n IS NULL AS bad, coalesce(n, -1) AS key
+    FROM (SELECT ok, CASE WHEN regexp_full_match(t, '[0-9]+(\\.0)?') THEN CAST(split_part(t, '.', 1) AS BIGINT) END AS n
+          FROM (SELECT ok, regexp_replace(raw, '^\\s+|\\s+$', '', 'g') AS t FROM fx_key_text))""", ["fx_key_text"])
 def key_int(spark, sf):
     k = K.key_int(F.col("raw"))
     return keys(spark, sf).select("ok", k.isNull().alias("bad"), F.coalesce(k, F.lit(-1)).alias("key"))

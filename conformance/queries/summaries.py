@@ -63,6 +63,7 @@ def coverage(spark, sf):
 @query("method_topk", f"""WITH {V1}, c AS (SELECT match_method, count(*) AS n FROM fx_v1 GROUP BY 1), named AS (SELECT * FROM c WHERE match_method IS NOT NULL)
     SELECT 'method' AS line, match_method, n FROM (SELECT * FROM named ORDER BY n DESC, match_method LIMIT 15)
     UNION ALL SELECT 'more_methods', NULL, count(*) - 15 FROM named HAVING count(*) > 15
+    UNION ALL SELECT 'rows_of_more', NULL, CAST(sum(n) AS BIGINT) FROM (SELECT n FROM named ORDER BY n DESC, match_method OFFSET 15) HAVING count(*) > 0
     UNION ALL SELECT 'unmatched', NULL, n FROM c WHERE match_method IS NULL""", ["fx_parcels", "fx_polygons", "fx_anchors"])
 def method_topk(spark, sf):
     return A.method_topk(P.match_cascade_v1(X.parcels(spark, sf), X.polygons(spark, sf), X.table(spark, sf, "fx_anchors")))

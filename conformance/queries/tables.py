@@ -53,7 +53,7 @@ def scan_roll_keys(spark, sf):
 X.add_table("fx_registry", f"""
     SELECT comuna, m AS manzana, p AS predio, rank, 'DIR ' || {S('ok')} || '-' || {S('rank')} AS dc_direccion, {S('ok % 1000')} AS dc_avaluo_fiscal,
            {S('ok % 3')} AS serie, '2025-2' AS periodo
-    FROM (SELECT ok, {S('comuna')} AS comuna, {S('h // 10')} AS m, {S('num')} AS p, 1 AS rank FROM fx_parcels WHERE ok % 10 <> 0
+    FROM (SELECT ok, {S('comuna')} AS comuna, {S('h // 10')} AS m, {S('num')} || CASE WHEN ok % 9 = 4 THEN '.0' ELSE '' END AS p, 1 AS rank FROM fx_parcels WHERE ok % 10 <> 0
           UNION ALL SELECT ok, {S('comuna')}, {S('h // 10')}, {S('num')}, 0 FROM fx_parcels WHERE ok % 40 = 1
           UNION ALL SELECT ok, {S('comuna')}, {S('h // 10')}, {S('num + 5000')}, 1 FROM fx_parcels WHERE ok % 50 = 0
           UNION ALL SELECT ok, {S('comuna')}, 'None', {S('num')}, 1 FROM fx_parcels WHERE ok % 500 = 3)""", ["fx_parcels"])
@@ -72,7 +72,7 @@ def scan_registry(spark, sf):
 
 
 @query("enrich_registry", """
-    WITH r AS (SELECT TRY_CAST(comuna AS INT) AS c, TRY_CAST(manzana AS BIGINT) AS m, TRY_CAST(predio AS BIGINT) AS p,
+    WITH r AS (SELECT TRY_CAST(comuna AS INT) AS c, TRY_CAST(manzana AS BIGINT) AS m, TRY_CAST(CAST(predio AS DOUBLE) AS BIGINT) AS p,
                       arg_min(dc_direccion, rank) AS d, arg_min(serie, rank) AS s FROM fx_registry GROUP BY ALL)
     SELECT ok, r.d AS dc_direccion, r.s AS serie FROM fx_parcels x LEFT JOIN r ON r.c = x.comuna AND r.m = CAST(x.manzana AS BIGINT) AND r.p = x.num""",
     ["fx_parcels", "fx_registry"])
@@ -84,7 +84,7 @@ def enrich_registry(spark, sf):
     SELECT TRY_CAST(r.comuna AS INT) AS comuna, CASE WHEN length(r.manzana) >= 5 THEN r.manzana ELSE lpad(r.manzana, 5, '0') END AS manzana,
            CASE WHEN length(r.predio) >= 5 THEN r.predio ELSE lpad(r.predio, 5, '0') END AS predio, 'catastro_only' AS match_method, r.dc_direccion
     FROM fx_registry r ANTI JOIN fx_parcels x ON TRY_CAST(r.comuna AS INT) = x.comuna AND TRY_CAST(r.manzana AS BIGINT) = CAST(x.manzana AS BIGINT)
-         AND TRY_CAST(r.predio AS BIGINT) = x.num""", ["fx_parcels", "fx_registry"])
+         AND TRY_CAST(CAST(r.predio AS DOUBLE) AS BIGINT) = x.num""", ["fx_parcels", "fx_registry"])
 def registry_only(spark, sf):
     return enrich.registry_only(X.parcels(spark, sf), registry(spark, sf)).select(
         F.col("comuna").cast("int").alias("comuna"), "manzana", "predio", "match_method", "dc_direccion"
@@ -156,12 +156,18 @@ X.add_table("fx_base_places", """
            -33500000 + (poly_idx // 100) * 400 + (poly_idx * 53) % 500 - 150 + 20 AS y_u,
            -70700000 + (poly_idx % 100) * 400 + (poly_idx * 37) % 500 - 150 + 30 AS x_u
     FROM fx_polygons""", ["fx_polygons"])
-GROUPS = """SELECT comuna, manzana, x_u AS kx, y_u AS ky, count(*) AS n, min(num) AS min_predio FROM fx_parcels WHERE x_u IS NOT NULL GROUP BY ALL"""
+OK_FLAG = "CASE ok % 7 WHEN 3 THEN 'False' WHEN 4 THEN 'TRUE' WHEN 5 THEN '1' ELSE 'True' END"
+GROUPS = """SELECT comuna, manzana, x_u AS kx, y_u AS ky, count(*) AS n, min(num) AS min_predio FROM fx_parcels WHERE x_u IS NOT NULL AND ok % 7 <> 3 GROUP BY ALL"""
+
+
+def flagged(spark, sf):
+    """Parcels of which every seventh came back as an error."""
+    return X.parcels(spark, sf).withColumn("_ok", F.expr(OK_FLAG))
 
 
 @query("coord_groups", f"""SELECT comuna, manzana, kx, ky, n, min_predio, round(ky / 1e6, 6) AS lat, round(kx / 1e6, 6) AS lon, n > 1 AS multi FROM ({GROUPS})""", ["fx_parcels"])
 def coord_groups(spark, sf):
-    return enrich.coord_groups(X.parcels(spark, sf)).withColumns({"lat": F.round("lat", 6), "lon": F.round("lon", 6)})
+    return enrich.coord_groups(flagged(spark, sf)).withColumns({"lat": F.round("lat", 6), "lon": F.round("lon", 6)})
 
 
 @query("base_parcel", f"""
@@ -174,14 +180,14 @@ def coord_groups(spark, sf):
                       min(sqrt(power(f.x_u - kx, 2) + power(f.y_u - ky, 2))) AS d
                FROM found f JOIN g USING (comuna, manzana) WHERE n > 1 GROUP BY f.comuna, f.manzana, f.number, f.x_u, f.y_u),
       claim AS (SELECT comuna, manzana, k, min(number) AS number FROM near WHERE d < 1000 GROUP BY ALL)
-    SELECT p.ok, CASE WHEN g.n = 1 THEN p.manzana || '-' || p.predio ELSE p.manzana || '-' || c.number END AS rol_base
+    SELECT p.ok, CASE WHEN p.ok % 7 = 3 THEN NULL WHEN g.n = 1 THEN p.manzana || '-' || p.predio ELSE p.manzana || '-' || c.number END AS rol_base
     FROM fx_parcels p LEFT JOIN g ON g.comuna = p.comuna AND g.manzana = p.manzana AND g.kx = p.x_u AND g.ky = p.y_u
          LEFT JOIN claim c ON c.comuna = g.comuna AND c.manzana = g.manzana AND c.k = (g.kx, g.ky)""", ["fx_parcels", "fx_base_places"])
 def base_parcel(spark, sf):
     places = X.table(spark, sf, "fx_base_places").select(
         "comuna", "manzana", "number", (F.col("y_u") / 1e6).alias("lat"), (F.col("x_u") / 1e6).alias("lon")
     )
-    return enrich.assign_base_parcel(X.parcels(spark, sf), places).select("ok", "rol_base")
+    return enrich.assign_base_parcel(flagged(spark, sf), places).select("ok", "rol_base")
 
 
 # --- projections for sinks -------------------------------------------------------------------
@@ -234,11 +240,21 @@ def list_partitions(spark, sf):
     return R.list_partitions(spark, path)
 
 
-@query("output_sizes")
+@query("output_sizes", """
+    SELECT CAST(comuna AS VARCHAR) AS comuna, 'geometry' AS kind, 'geometry/comuna=' || comuna AS key, count(*) AS rows, true AS listed FROM fx_polygons GROUP BY comuna
+    UNION ALL SELECT CAST(comuna AS VARCHAR), 'csv', 'csv/comuna=' || comuna, count(*), true FROM fx_polygons GROUP BY comuna
+    UNION ALL SELECT comuna, 'csv_raw', 'csv_raw/comuna=' || comuna, count(*), true FROM fx_registry GROUP BY comuna""", ["fx_polygons", "fx_registry"])
 def output_sizes(spark, sf):
-    rows = X.polygons(spark, sf)
-    paths = sinks.write_products(rows, registry(spark, sf).drop("rank"), scratch_path(spark, "products"))
-    return R.output_sizes(spark, paths)
+    """The three products as listed, with the rows each holds when read back."""
+    paths = sinks.write_products(X.polygons(spark, sf), registry(spark, sf).drop("rank"), scratch_path(spark, "products"))
+    counted = None
+    for kind, path in paths.items():
+        reader = spark.read if kind == "geometry" else spark.read.option("header", True)
+        rows = (reader.parquet(path) if kind == "geometry" else reader.csv(path)).groupBy(F.col("comuna").cast("string").alias("comuna"))
+        part = rows.agg(F.count("*").alias("rows")).withColumn("kind", F.lit(kind))
+        counted = part if counted is None else counted.unionByName(part)
+    sizes = R.output_sizes(spark, paths)
+    return sizes.join(counted, ["comuna", "kind"]).select("comuna", "kind", "key", "rows", (F.col("bytes") > 0).alias("listed"))
 
 
 @query("scan_csv_lenient", """SELECT ok, CASE WHEN ok % 9 <> 0 THEN round(y_u / 1e6, 6) END AS lat, CASE WHEN ok % 9 <> 0 THEN round(x_u / 1e6, 6) END AS lon

@@ -5,16 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from deslinde.functions import text as T
+
 
 def zfill(col: Column, width: int = 5) -> Column:
     """Left-pad with zeros; longer text is left alone (``lpad`` alone would cut it)."""
-    text = F.trim(col)
+    text = T.strip(col)
     return F.when(F.length(text) >= width, text).otherwise(F.lpad(text, width, "0"))
 
 
 def key_int(col: Column) -> Column:
-    """Integer form of a key part, null when it is not a number."""
-    return col.try_cast("bigint")
+    """Integer form of a key part, null when it is not a whole number; ``12.0`` is 12, as a table read as numbers writes it."""
+    text = T.strip(col)
+    number = text.try_cast("double")
+    whole = (number == F.floor(number)) & (F.abs(number) < float(2**53))
+    return F.coalesce(text.try_cast("bigint"), F.when(whole, number.cast("bigint")))
 
 
 def compose_v(comuna: Column, manzana: Column, predio: Column) -> Column:
@@ -33,8 +38,8 @@ def parse_v(v: Column) -> Column:
     valid = F.coalesce((F.size(parts) == 3) & comuna.isNotNull(), F.lit(False))
     return F.struct(
         F.when(valid, comuna).alias("comuna"),
-        F.when(valid, F.trim(F.try_element_at(parts, F.lit(2)))).alias("manzana"),
-        F.when(valid, F.trim(F.try_element_at(parts, F.lit(3)))).alias("predio"),
+        F.when(valid, T.strip(F.try_element_at(parts, F.lit(2)))).alias("manzana"),
+        F.when(valid, T.strip(F.try_element_at(parts, F.lit(3)))).alias("predio"),
         valid.alias("valid"),
     )
 

@@ -33,15 +33,25 @@ def enrich_roll(answers: DataFrame, roll: DataFrame, order: list[str | Column])
     return answers.join(one, "v", "left")
 
 
+def bad_keys(registry: DataFrame) -> DataFrame:
+    """(part, rows): registry rows whose key part is no whole number; they join with nothing."""
+    keyed = with_int_key(registry)
+    counts = keyed.agg(*[F.count_if(F.col(i).isNull()).alias(k) for i, k in zip(INT_KEY, KEY)])
+    return counts.unpivot([], KEY, "part", "rows")
+
+
 def enrich_registry(
-    parcels: DataFrame, registry: DataFrame, order: list[str | Column], columns: list[str] = C.REGISTRY_ADDED
+    parcels: DataFrame, registry: DataFrame, order: list[str | Column], columns: list[str] = C.REGISTRY_ADDED,
+    clash: str | None = None,
 ) -> DataFrame:
     """Left join of registry columns on the integer key.
 
-    The registry is reduced to one row per key first, so the row count cannot grow.
+    The registry is reduced to one row per key first, so the row count cannot grow. A column that
+    the parcels already have is left out, or comes with the suffix ``clash`` if one is given.
     """
-    new = [c for c in columns if c in registry.columns and c not in parcels.columns]
-    one = first_donor(with_int_key(registry), INT_KEY, new, order)
+    wanted = [c for c in columns if c in registry.columns and (clash or c not in parcels.columns)]
+    named = {c: c + clash for c in wanted if clash and c in parcels.columns}
+    one = first_donor(with_int_key(registry), INT_KEY, wanted, order).withColumnsRenamed(named)
     return with_int_key(parcels).join(one, INT_KEY, "left").drop(*INT_KEY)
 
 
@@ -102,11 +112,16 @@ def existing_ok_keys(results: DataFrame) -> DataFrame:
 GROUP = ["comuna", "manzana", "kx", "ky"]
 
 
+def _answered(parcels: DataFrame) -> DataFrame:
+    """Rows that came back as parcels, if the table tells."""
+    return parcels.where(F.lower(F.col("_ok").cast("string")).isin("true", "1")) if "_ok" in parcels.columns else parcels
+
+
 def coord_groups(parcels: DataFrame) -> DataFrame:
-    """Parcels sharing a block and a coordinate: size, smallest number, mean place."""
+    """Parcels sharing a block and a coordinate: size, smallest number, mean place. Where the parcels say ``_ok``, only those count."""
     lat, lon = F.col("lat").cast("double"), F.col("lon").cast("double")
     return (
-        parcels.where("lat is not null and lon is not null")
+        _answered(parcels).where("lat is not null and lon is not null")
         .groupBy("comuna", "manzana", K.coord_key(lon).alias("kx"), K.coord_key(lat).alias("ky"))
         .agg(
             F.count("*").alias("n"), F.coalesce(F.min(K.key_int(F.col("predio"))), F.lit(1)).alias("min_predio"),
@@ -158,8 +173,9 @@ def assign_base_parcel(parcels: DataFrame, places: DataFrame) -> DataFrame:
     keyed = parcels.withColumn("kx", K.coord_key(F.col("lon").cast("double"))).withColumn(
         "ky", K.coord_key(F.col("lat").cast("double"))
     )
+    mine = F.lower(F.col("_ok").cast("string")).isin("true", "1") if "_ok" in parcels.columns else F.lit(True)
+    given = F.when(F.col("multi"), building).when(F.col("multi").isNotNull(), own)
     return (
-        keyed.join(roles, GROUP, "left")
-        .withColumn("rol_base", F.when(F.col("multi"), building).when(F.col("multi").isNotNull(), own))
+        keyed.join(roles, GROUP, "left").withColumn("rol_base", F.when(mine, given))
         .drop("kx", "ky", "multi", "number")
     )

@@ -39,6 +39,16 @@ def match_metrics(matched: DataFrame, polygons: DataFrame) -> DataFrame:
     )
 
 
+def merge_metrics(rows: DataFrame) -> DataFrame:
+    """What the merge of answers and registry brought, per commune: rows, good ones, with an address, with coordinates, inherited."""
+    told = lambda c: F.count_if(F.col(c).isNotNull() & (F.col(c).cast("string") != "None"))
+    return rows.groupBy("comuna").agg(
+        F.count("*").alias("total"), F.count_if(F.lower(F.col("_ok").cast("string")) == "true").alias("ok"),
+        told("dc_direccion").alias("con_dc_direccion"), told("lat").alias("con_coords"),
+        told("predioPublicado_predio").alias("con_predio_publicado"), F.count_if("inherited").alias("heredados"),
+    )
+
+
 def fetch_metrics(requested: DataFrame, answers: DataFrame) -> DataFrame:
     """What a download brought, per commune."""
     told = lambda c: F.count_if(F.col(c).isNotNull() & (F.col(c) != "None"))
@@ -72,16 +82,19 @@ def coverage(rows: DataFrame) -> DataFrame:
 
 
 def method_topk(matched: DataFrame, k: int = 15) -> DataFrame:
-    """The ``k`` commonest methods, how many more there are, and the rows without one.
+    """The ``k`` commonest methods, how many more there are and the rows these hold, and the rows without one.
 
     Ties go to the name that sorts first.
     """
     counts = matched.groupBy("match_method").agg(F.count("*").alias("n"))
     named = counts.where("match_method is not null")
     top = named.orderBy(F.desc("n"), "match_method").limit(k).select(F.lit("method").alias("line"), "match_method", "n")
-    more = named.agg(F.count("*").alias("m")).where(F.col("m") > k).select(
-        F.lit("more_methods").alias("line"), F.lit(None).cast("string").alias("match_method"), (F.col("m") - k).alias("n")
-    )
+    rest = named.join(top.select("match_method"), "match_method", "left_anti")
+    sums = rest.agg(F.count("*").alias("m"), F.sum("n").alias("rows")).where("m > 0")
+    line = lambda name, n: F.struct(F.lit(name).alias("line"), F.lit(None).cast("string").alias("match_method"), n.alias("n"))
+    more = sums.select(F.explode(F.array(
+        line("more_methods", F.col("m")), line("rows_of_more", F.col("rows"))
+    )).alias("l")).select("l.*")
     none = counts.where("match_method is null").select(F.lit("unmatched").alias("line"), "match_method", "n")
     return top.unionByName(more).unionByName(none)
 
@@ -145,13 +158,25 @@ def catalog_rollup(rows: DataFrame) -> DataFrame:
     )
 
 
-def catalog_json(rows: DataFrame, title: str, stamp: Column | None = None) -> DataFrame:
+def catalog_json(rows: DataFrame, title: str, stamp: Column | None = None, files: DataFrame | None = None) -> DataFrame:
     """The catalog as one JSON document: header, one entry per commune, totals.
 
-    The only collected group is the list of communes, one entry each.
+    ``files`` (comuna, kind, key, mb), as `sources.tables.output_sizes` lists them, adds to each entry the
+    key and size of its products; a commune without a product has 0.0. The only collected group is
+    the list of communes, one entry each.
     """
-    lines = catalog(rows)
-    entry = F.struct("codigo", "nombre", F.struct(*COUNTS).alias("predios"))
+    lines, parts = catalog(rows), ["codigo", "nombre", F.struct(*COUNTS).alias("predios")]
+    if files is not None:
+        kinds = [("gpkg", "geometry"), ("csv", "csv"), ("csv_raw", "csv_raw")]
+        own = lambda c, kind: F.max(F.when(F.col("kind") == kind, F.col(c)))
+        listed = files.groupBy(F.col("comuna").cast("string").alias("codigo")).agg(
+            *[own(c, kind).alias(f"_{name}_{c}") for name, kind in kinds for c in ("key", "mb")]
+        )
+        lines = lines.join(listed, "codigo", "left")
+        parts.append(F.struct(*[
+            F.struct(F.col(f"_{name}_key").alias("key"), F.coalesce(f"_{name}_mb", F.lit(0.0)).alias("tamano_mb")).alias(name) for name, _ in kinds
+        ]).alias("archivos"))
+    entry = F.struct(*parts)
     doc = lines.agg(
         F.count("*").alias("n"), F.array_sort(F.collect_list(entry)).alias("comunas"),
         *[F.sum(c).alias(c) for c in COUNTS],

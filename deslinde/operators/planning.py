@@ -94,13 +94,13 @@ def _pieces(text: Column, lengths: Column) -> Column:
     )))
 
 
-def fuzzy_lookup(asked: DataFrame, dim: DataFrame, options: int = 10) -> DataFrame:
+def fuzzy_lookup(asked: DataFrame, dim: DataFrame) -> DataFrame:
     """Find communes of ``dim`` (cod, name) by a typed ``q``: exact code, exact name, either text
     inside the other, every word inside the name.
 
     ``contains`` is turned into equality: the short dimension is spread over the substrings of
     its names once, and a query over its substrings as long as some name, so no step pairs
-    every query with every commune. Several hits are ambiguous and list the first ``options``.
+    every query with every commune. Several hits are ambiguous; all are listed, with their number.
     """
     names = dim.select("cod", T.normal_name(F.col("name")).alias("_n"))
     texts = asked.select("q").distinct().withColumn("_t", T.strip(F.col("q"))).withColumn(
@@ -129,7 +129,7 @@ def fuzzy_lookup(asked: DataFrame, dim: DataFrame, options: int = 10) -> DataFra
     return asked.join(hits, "q", "left").select(
         *asked.columns, F.when(F.size("cods") == 1, F.col("cods")[0]).alias("cod"),
         F.when(F.col("cods").isNull(), "not_found").when(F.size("cods") > 1, "ambiguous").otherwise("found").alias("status"),
-        F.when(F.size("cods") > 1, F.slice("cods", 1, options)).alias("options"),
+        F.when(F.size("cods") > 1, F.col("cods")).alias("options"), F.coalesce(F.size("cods"), F.lit(0)).alias("hits"),
     )
 
 

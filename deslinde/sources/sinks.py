@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from deslinde import constants as C
 from deslinde.operators.spatial import with_bounds
+from deslinde.session import cut
 
 
 def write_pipe_csv(df: DataFrame, path: str) -> None:
@@ -23,21 +24,23 @@ def write_quoted_csv(df: DataFrame, path: str, mode: str = "append") -> None:
 def write_geometry(df: DataFrame, path: str, rows_per_file: int = 2_000_000) -> None:
     """Parquet per commune, with box columns so that row groups can be skipped.
 
-    Sorting by the box inside a task keeps neighbours in the same row groups; a large
-    commune is split over tasks and files instead of passing through one.
+    Ranging by commune and box gives every commune a few files, a large one several, and
+    keeps neighbours in the same row groups.
     """
     boxed = with_bounds(df)
-    boxed.sortWithinPartitions("comuna", "miny", "minx").write.mode("overwrite").option(
+    boxed.repartitionByRange("comuna", "miny").sortWithinPartitions("comuna", "miny", "minx").write.mode("overwrite").option(
         "maxRecordsPerFile", rows_per_file
     ).partitionBy("comuna").parquet(path)
 
 
 def write_products(rows: DataFrame, registry: DataFrame, folder: str) -> dict[str, str]:
-    """The three products: shapes, attributes without shapes, the raw registry slice."""
+    """The three products: shapes, attributes without shapes, the raw registry slice. ``rows`` are worked out once."""
+    rows = cut(rows)
     paths = {"geometry": f"{folder}/geometry", "csv": f"{folder}/csv", "csv_raw": f"{folder}/csv_raw"}
     write_geometry(rows.where("shell is not null"), paths["geometry"])
-    rows.drop("shell", "holes").write.mode("overwrite").option("header", True).partitionBy("comuna").csv(paths["csv"])
-    registry.write.mode("overwrite").option("header", True).partitionBy("comuna").csv(paths["csv_raw"])
+    attributes = rows.drop("shell", "holes").repartitionByRange("comuna", *[c for c in ("manzana", "predio") if c in rows.columns])
+    attributes.write.mode("overwrite").option("header", True).partitionBy("comuna").csv(paths["csv"])
+    registry.repartitionByRange("comuna", "manzana").write.mode("overwrite").option("header", True).partitionBy("comuna").csv(paths["csv_raw"])
     return paths
 
 

@@ -78,8 +78,14 @@ def scan_polygons(
 
 
 def list_partitions(spark: SparkSession, path: str) -> DataFrame:
-    """Communes present under a partitioned folder, from the folder names alone."""
-    return spark.read.parquet(path).select("comuna").distinct()
+    """Communes present under a partitioned folder, from the names in its listing; no file is opened, so the cost follows the files."""
+    code = F.regexp_extract("path", r"/comuna=([^/]+)/", 1)
+    return _listing(spark, path).select(code.try_cast("int").alias("comuna")).where("comuna is not null").distinct()
+
+
+def _listing(spark: SparkSession, path: str) -> DataFrame:
+    """(path, length) of the files below a folder; their contents are not read."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length")
 
 
 def parse_tile_listing(files: DataFrame) -> DataFrame:
@@ -93,19 +99,19 @@ def parse_tile_listing(files: DataFrame) -> DataFrame:
 
 def list_tiles(spark: SparkSession, path: str) -> DataFrame:
     """Cell images under a folder; their contents are not read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return parse_tile_listing(files.select("path", "length"))
+    return parse_tile_listing(_listing(spark, path))
 
 
 def output_sizes(spark: SparkSession, folders: dict[str, str]) -> DataFrame:
-    """Megabytes per commune and kind of output, from the file listing."""
+    """(comuna, kind, key, files, bytes, mb) per commune and kind of output, from the file listing."""
     parts = None
     for kind, path in folders.items():
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length")
         code = F.regexp_extract("path", r"comuna=([^/.]+)", 1)
-        rows = files.select(code.alias("comuna"), F.lit(kind).alias("kind"), "length")
+        rows = _listing(spark, path).select(code.alias("comuna"), F.lit(kind).alias("kind"), "length")
         parts = rows if parts is None else parts.unionByName(rows)
-    return parts.where("comuna <> ''").groupBy("comuna", "kind").agg(F.round(F.sum("length") / 1048576, 1).alias("mb"))
+    return parts.where("comuna <> ''").groupBy("comuna", "kind").agg(
+        F.count("*").alias("files"), F.sum("length").alias("bytes"), F.round(F.sum("length") / 1048576, 1).alias("mb")
+    ).withColumn("key", F.concat("kind", F.lit("/comuna="), "comuna"))
 
 
 # --- progress lines ----------------------------------------------------------------------

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from deslinde import constants as C
 
+# How late an event may come; a window is closed by events that much younger than its end.
 LATE = "10 minutes"
 
 
@@ -45,3 +46,32 @@ def run_to_table(spark: SparkSession, stream: DataFrame, path: str, checkpoint:
     )
     query.awaitTermination()
     return spark.read.schema(stream.schema).parquet(path)
+
+
+def finished_rates(events: DataFrame, closed: DataFrame, every: str = "1 hour") -> DataFrame:
+    """The closed windows and, of a stream that has ended, those no later event has closed.
+
+    Windows close in order of time, so the open ones begin after the last closed one; only their
+    events are read again.
+    """
+    last = closed.agg(F.max("from_ts").alias("t")).first()["t"]
+    w = F.window(F.col("ts").cast("timestamp"), every)
+    rest = events.withColumn("w", w)
+    rest = rest if last is None else rest.where(F.col("w.start") > F.lit(last))
+    length = F.unix_seconds("w.end") - F.unix_seconds("w.start")
+    open_ones = rest.groupBy("w").agg(F.count_if("ok").alias("ok"), F.count_if(~F.col("ok")).alias("fail")).select(
+        F.col("w.start").alias("from_ts"), "ok", "fail", F.round(F.col("ok") / length, 6).alias("rate")
+    )
+    return closed.unionByName(open_ones)
+
+
+def finished_sessions(events: DataFrame, closed: DataFrame, seconds: int = C.STALL_SECONDS) -> DataFrame:
+    """The closed stretches and, of a stream that has ended, each worker's steps after its last closed one."""
+    last = closed.groupBy("worker").agg(F.max("stalled_from").alias("_last"))
+    rest = events.where("ok").withColumn("ts", F.col("ts").cast("timestamp")).join(last, "worker", "left")
+    gap = F.session_window("ts", f"{seconds} seconds")
+    open_ones = rest.where("_last is null or ts > _last").groupBy("worker", gap.alias("s")).agg(F.count("*").alias("steps"))
+    return closed.unionByName(open_ones.select(
+        "worker", F.col("s.start").alias("busy_from"),
+        (F.col("s.end") - F.expr(f"interval {seconds} seconds")).alias("stalled_from"), "steps",
+    ))
