@@ -174,7 +174,7 @@ def fills(spark, sf):
 
 @query("components", component_sql(FILLS) + " SELECT cls, tile_x, y, x0, x1, label FROM fx_labelled", ["fx_pixels"])
 def components(spark, sf):
-    return R.label_components(fills(spark, sf)).select("cls", "tile_x", "y", "x0", "x1", "label")
+    return R.label_components(fills(spark, sf), SIZE).select("cls", "tile_x", "y", "x0", "x1", "label")
 
 
 # with pixels of two metres the bands cut on both sides
@@ -186,6 +186,7 @@ def component_measures(spark, sf):
     return R.in_area_band(R.component_measures(R.label_components(fills(spark, sf)), 2.0))
 
 
+# pixels of twenty metres: a hole of one is 400 m2, filled in agricultural regions by kind and in all by the finished layer
 BIG = "(SELECT label, cls, pixels, pixels * 400 AS a FROM (" + MEASURES + ")) WHERE CASE WHEN cls = 'urban' THEN a BETWEEN 1 AND 50000 ELSE a >= 5000 END AND a >= 500"
 
 
@@ -213,6 +214,63 @@ def vectorize(spark, sf):
     return R.vectorize(tiles(spark, sf), SIZE, 20.0).select("label", "cls", F.round("area_m2", 3).alias("area_m2"), F.size("holes").alias("n_holes"))
 
 
+@query("block_gates_published", """
+    WITH t AS (SELECT x // 16 * 500 AS tx, y // 16 * 700 AS ty, count(*) AS visible, count(*) FILTER (WHERE urban AND NOT border) AS urban_fill,
+                      count(*) FILTER (WHERE NOT urban AND NOT border) AS agri_fill, count(*) FILTER (WHERE urban OR border) AS agri_border FROM fx_pixels GROUP BY ALL),
+    b AS (SELECT bx, "by", CAST(sum(visible) AS BIGINT) AS visible, CAST(sum(urban_fill) AS BIGINT) AS urban_fill, CAST(sum(agri_fill) AS BIGINT) AS agri_fill, CAST(sum(agri_border) AS BIGINT) AS agri_border
+          FROM t, (SELECT unnest(generate_series(0, 3000, 960)) AS bx), (SELECT unnest(generate_series(0, (SELECT max(ty) FROM t), 960)) AS "by")
+          WHERE tx >= bx AND tx < bx + 1024 AND ty >= "by" AND ty < "by" + 1024 GROUP BY ALL)
+    SELECT *, visible >= 100 AND urban_fill > 50 AS urban_ok, visible >= 100 AND agri_fill > 100 AND agri_border > 5 AS agri_ok FROM b""", ["fx_pixels"])
+def block_gates_published(spark, sf):
+    """Published blocks of 16,384 pixels, 15,360 apart, over tiles that lie far from each other."""
+    runs = R.pixel_runs(tiles(spark, sf).withColumn("tx", F.col("tx") * 500).withColumn("ty", F.col("ty") * 700))
+    return R.block_gates(runs, SIZE)
+
+
+# parcels of 20 x 20 to 25 x 25 inner pixels around a printed number that leaves a hole of 25 to 81 pixels; a pixel is a metre
+X.add_table("fx_prints", """SELECT p_partkey AS k, p_partkey % 20 AS tx, p_partkey // 20 AS ty, 22 + p_partkey % 6 AS s, 5 + p_partkey // 6 % 5 AS h FROM part""", ["part"])
+
+
+def printed(spark, sf):
+    at = lambda v: F.expr(f"({v} >= 3 and {v} < 3 + s)")
+    hole = lambda v: F.expr(f"({v} >= 12 and {v} < 12 + h)")
+    cell = F.when(hole("i % 32") & hole("i div 32"), "DC0000FF").when(at("i % 32") & at("i div 32"), "B40000FF").otherwise("5A0000FF")
+    rows = X.table(spark, sf, "fx_prints").select("k", "tx", "ty", "s", "h", F.explode(F.sequence(F.lit(0), F.lit(1023))).alias("i"))
+    whole = rows.groupBy("k", "tx", "ty").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", cell.alias("c")))), lambda p: p["c"]), "").alias("hex"))
+    return whole.select("tx", "ty", F.lit(32).alias("size"), F.unhex("hex").alias("rgba"))
+
+
+@query("vectorize_printed", """SELECT tx, ty, CAST((s - 2) * (s - 2) AS DOUBLE) AS area_m2, 0 AS n_holes FROM fx_prints
+    WHERE (s - 2) * (s - 2) - CASE WHEN h * h >= 50 THEN h * h ELSE 0 END >= 500""", ["fx_prints"])
+def vectorize_printed(spark, sf):
+    """Published limits: a printed number below 50 m2 does not push its parcel under the floor, a larger one does."""
+    made = R.vectorize(printed(spark, sf), 32, 1.0)
+    place = lambda v: F.floor(v / 32).cast("bigint")
+    return made.select(
+        place(F.col("shell")[0]["x"] + R.C.MERCATOR_HALF).alias("tx"), place(R.C.MERCATOR_HALF - F.col("shell")[0]["y"]).alias("ty"),
+        F.round("area_m2", 3).alias("area_m2"), F.size("holes").alias("n_holes"),
+    )
+
+
+@query("vectorize_layers", component_sql(INNER) + f""", fx_done AS (SELECT *, row_number() OVER (ORDER BY label) - 1 AS poly_idx FROM (SELECT label, cls, CAST(a AS DOUBLE) AS area_m2 FROM {BIG})),
+    fx_side AS (SELECT label, min(x0) AS px0, min(y) AS py0 FROM fx_labelled GROUP BY label)
+    SELECT c.comuna, poly_idx, cls, area_m2, round((px0 * 20 + c.dx * 320 - 20037508.342789244) / 20037508.342789244 * 180, 5)::DOUBLE AS west,
+           round(degrees(atan(sinh((20037508.342789244 - py0 * 20 - c.dy * 320) / 20037508.342789244 * pi()))), 5)::DOUBLE AS north
+    FROM fx_done JOIN fx_side USING (label), (VALUES (13101, 1000, 0), (13102, 0, 90000), (13103, 1003, 7)) AS c(comuna, dx, dy)""", ["fx_pixels"])
+def vectorize_layers(spark, sf):
+    """The plane three times, as communes far apart and overlapping: each gets the same polygons at its own place."""
+    plane = tiles(spark, sf)
+    every = None
+    for comuna, dx, dy in ((13101, 1000, 0), (13102, 0, 90000), (13103, 1003, 7)):
+        own = plane.select(F.lit(comuna).alias("comuna"), (F.col("tx") + dx).alias("tx"), (F.col("ty") + dy).alias("ty"), "size", "rgba")
+        every = own if every is None else every.unionByName(own)
+    made = R.vectorize_layers(every, SIZE, 20.0)
+    return made.select(
+        "comuna", "poly_idx", "cls", F.round("area_m2", 3).alias("area_m2"),
+        F.round(F.array_min(F.transform("shell", lambda p: p["x"])), 5).alias("west"), F.round(F.array_max(F.transform("shell", lambda p: p["y"])), 5).alias("north"),
+    )
+
+
 X.add_table("fx_windows", """SELECT p_partkey AS win, (p_partkey % 9) * 11 AS x0, p_partkey // 9 * 12 AS y0, (p_partkey % 9) * 11 + 11 AS x1, p_partkey // 9 * 12 + 12 AS y1,
     5 AS w, 4 AS h FROM part""", ["part"])
 X.add_table("fx_coarse", """SELECT win, c % 5 AS cx, c // 5 AS cy, CASE WHEN (c * 7 + win) % 3 = 0 OR win % 4 = 1 THEN 182 ELSE 60 END AS r, CASE WHEN (c + win) % 11 = 0 THEN 0 ELSE 255 END AS a

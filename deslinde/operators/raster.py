@@ -8,17 +8,18 @@ Since the grid is global, nothing has to be mosaicked and no seam has to be merg
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from deslinde import constants as C
 from deslinde.functions import coords as M
 from deslinde.functions import geometry as G
 from deslinde.operators.graph import connected_components
+from deslinde.session import cut
 
 RUN = "cls string, tile_x bigint, y bigint, x0 bigint, x1 bigint"
 PIXEL_M = M.TILE_M / C.TILE_PX
@@ -85,11 +86,21 @@ def block_ids(at: Column, origin: Column, block: int, step: int) -> Column:
     return F.transform(F.sequence(first, last), lambda i: origin + i * step)
 
 
-def assign_blocks(cells: DataFrame, block: int = C.BLOCK_TILES, step: int = C.BLOCK_STEP_TILES) -> DataFrame:
+def blocks_in(size: int) -> tuple[int, int]:
+    """The side of a block and the step to the next one, in images of ``size`` pixels."""
+    return max(1, C.BLOCK_TILES * C.TILE_PX // size), max(1, C.BLOCK_STEP_TILES * C.TILE_PX // size)
+
+
+def assign_blocks(
+    cells: DataFrame, block: int = C.BLOCK_TILES, step: int = C.BLOCK_STEP_TILES, origin: tuple[Column, Column] | None = None
+) -> DataFrame:
     """One row per (cell, block) for cells (sc_x, sc_y); up to four blocks hold a cell.
 
-    Blocks start from the smallest cell of the set, one row the join with it adds to all.
+    Blocks start from ``origin``, or else from the smallest cell of the set, one row the join with it adds to all.
     """
+    if origin is not None:
+        ids = lambda c, o: F.explode(block_ids(F.col(c), o, block, step))
+        return cells.withColumn("bx", ids("sc_x", origin[0])).withColumn("by", ids("sc_y", origin[1]))
     low = cells.agg(F.min("sc_x").alias("x"), F.min("sc_y").alias("y")).first()
     if low is None or low.x is None:
         return cells.select("*", F.lit(0).cast("bigint").alias("bx"), F.lit(0).cast("bigint").alias("by")).limit(0)
@@ -108,13 +119,16 @@ def raster_windows(sizes: DataFrame, block: int = 16384, overlap: int = 128, lea
     return wins.where((F.col("w") >= least) & (F.col("h") >= least))
 
 
-def block_gates(runs: DataFrame, size: int, block: int = C.BLOCK_TILES, step: int = C.BLOCK_STEP_TILES) -> DataFrame:
-    """Pixel counts per block and which classes it is worth vectorising."""
+def block_gates(
+    runs: DataFrame, size: int, block: int | None = None, step: int | None = None, origin: tuple[Column, Column] | None = None
+) -> DataFrame:
+    """Pixel counts per block and which classes it is worth vectorising; blocks are measured in images of ``size``."""
+    block, step = block or blocks_in(size)[0], step or blocks_in(size)[1]
     tiles = runs.groupBy("tile_x", F.floor(F.col("y") / size).alias("tile_y")).agg(
         *[F.sum(F.when(F.col("cls") == c, F.col("x1") - F.col("x0") + 1).otherwise(0)).alias(c)
           for c in ("visible", "urban_fill", "agri_fill", "agri_border")]
     )
-    placed = assign_blocks(tiles.withColumnsRenamed({"tile_x": "sc_x", "tile_y": "sc_y"}), block, step)
+    placed = assign_blocks(tiles.withColumnsRenamed({"tile_x": "sc_x", "tile_y": "sc_y"}), block, step, origin)
     sums = placed.groupBy("bx", "by").agg(*[F.sum(c).alias(c) for c in ("visible", "urban_fill", "agri_fill", "agri_border")])
     seen = F.col("visible") >= C.GATE_OPAQUE_PX
     return sums.withColumn("urban_ok", seen & (F.col("urban_fill") > C.GATE_URBAN_FILL_PX)).withColumn(
@@ -197,11 +211,55 @@ def run_edges(runs: DataFrame) -> DataFrame:
     return stacked.select(F.col("id").alias("u"), "v").unionByName(beside.select(F.col("id").alias("u"), "v"))
 
 
-def label_components(runs: DataFrame) -> DataFrame:
-    """Runs with the ``label`` of their 4-connected region: the id of its first run."""
+def _tile_roots(tile: pd.DataFrame) -> pd.DataFrame:
+    """The runs of one class and tile with the smallest id of the region they form inside it."""
+    tile = tile.sort_values(["y", "x0"], ignore_index=True)
+    y, x0, x1, ids = (tile[c].to_numpy() for c in ("y", "x0", "x1", "id"))
+    row, left = (y - y[0]).astype(np.int64), int(x0.min())
+    width = int(x1.max()) - left + 2
+    first, last = row * width + (x0 - left), row * width + (x1 - left)  # both ascend, as runs of a row are apart
+    low = np.searchsorted(last, first + width, "left")
+    high = np.searchsorted(first, last + width, "right")
+    times = np.maximum(high - low, 0)
+    u = np.repeat(np.arange(len(tile)), times)
+    v = np.repeat(low, times) + np.arange(len(u)) - np.repeat(np.cumsum(times) - times, times)
+    root = np.arange(len(tile))  # rows ascend with ids, so the smallest place is the smallest id
+    while True:
+        small = np.minimum(root[u], root[v])
+        before = root.copy()
+        np.minimum.at(root, root[u], small)
+        np.minimum.at(root, root[v], small)
+        while (root[root] != root).any():
+            root = root[root]
+        if (root == before).all():
+            return tile.assign(root=ids[root])
+
+
+def label_components(runs: DataFrame, size: int | None = None) -> DataFrame:
+    """Runs with the ``label`` of their 4-connected region: the id of its first run.
+
+    With the tile's ``size`` regions are found inside each tile first, one task per tile and class,
+    and only what touches across tile edges is contracted over the whole plane: work there follows
+    the seams and not the area.
+    """
     ided = with_run_id(runs)
-    labels = connected_components(run_edges(ided))
-    return ided.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    if size is None:
+        labels = connected_components(run_edges(ided))
+        return ided.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    fields = "cls string, tile_x bigint, y bigint, x0 bigint, x1 bigint, id bigint, root bigint"
+    rooted = cut(
+        ided.select("cls", "tile_x", "y", "x0", "x1", "id").groupBy("cls", "tile_x", F.floor(F.col("y") / size).alias("tile_y"))
+        .applyInPandas(_tile_roots, fields)
+    )
+    edge = lambda c, side: F.col(c) % size == side
+    upper = rooted.where(edge("y", size - 1)).select("cls", "tile_x", (F.col("y") + 1).alias("y"), F.col("x0").alias("a"), F.col("x1").alias("b"), F.col("root").alias("u"))
+    lower = rooted.where(edge("y", 0)).select("cls", "tile_x", "y", "x0", "x1", F.col("root").alias("v"))
+    over = upper.join(lower, ["cls", "tile_x", "y"]).where("a <= x1 and x0 <= b").select("u", "v")
+    west = rooted.where(edge("x1", size - 1)).select("cls", "y", (F.col("x1") + 1).alias("x"), F.col("root").alias("u"))
+    east = rooted.where(edge("x0", 0)).select("cls", "y", F.col("x0").alias("x"), F.col("root").alias("v"))
+    seams = over.unionByName(west.join(east, ["cls", "y", "x"]).select("u", "v")).distinct()
+    labels = connected_components(seams).withColumnRenamed("id", "root")
+    return rooted.join(labels, "root", "left").withColumn("label", F.coalesce("label", "root")).drop("root")
 
 
 def component_measures(labelled: DataFrame, pixel_m: float = PIXEL_M) -> DataFrame:
@@ -306,14 +364,19 @@ def trace_outlines(labelled: DataFrame, pixel_m: float = PIXEL_M) -> DataFrame:
 
 
 def vectorize(tiles: DataFrame, size: int = C.CELL_TILES * C.TILE_PX, pixel_m: float = PIXEL_M,
-              min_final: float = C.FINAL_MIN_AREA_M2) -> DataFrame:
-    """Tiles to finished polygons (label, cls, area_m2, shell, holes): gates, interiors, regions, outlines."""
-    from deslinde.session import cut
+              min_final: float = C.FINAL_MIN_AREA_M2, origin: tuple[Callable, Callable] | None = None) -> DataFrame:
+    """Tiles to finished polygons (label, cls, area_m2, shell, holes): gates, interiors, regions, outlines.
 
+    The bands of a kind hold for the region as it is; then its small holes are filled, and the floor
+    ``min_final`` of the finished layer holds for what that leaves. ``origin`` gives the first cell of
+    the blocks that hold a cell, from its columns.
+    """
     runs = cut(pixel_runs(tiles))
-    blocks = block_gates(runs, size)
+    block, step = blocks_in(size)
+    start = None if origin is None else (origin[0]("sc_x"), origin[1]("sc_y"))
+    blocks = block_gates(runs, size, block, step, start)
     located = assign_blocks(runs.select("tile_x", F.floor(F.col("y") / size).alias("tile_y")).distinct()
-                            .withColumnsRenamed({"tile_x": "sc_x", "tile_y": "sc_y"}))
+                            .withColumnsRenamed({"tile_x": "sc_x", "tile_y": "sc_y"}), block, step, start)
     gates = located.join(blocks.select("bx", "by", "urban_ok", "agri_ok"), ["bx", "by"]).groupBy("sc_x", "sc_y").agg(
         F.bool_or("urban_ok").alias("urban"), F.bool_or("agri_ok").alias("agri")
     ).select(F.col("sc_x").alias("tile_x"), F.col("sc_y").alias("_ty"), "urban", "agri")
@@ -321,14 +384,48 @@ def vectorize(tiles: DataFrame, size: int = C.CELL_TILES * C.TILE_PX, pixel_m: f
     open_runs = inner.where(F.when(F.col("cls") == "urban", F.col("urban")).otherwise(F.col("agri"))).select(
         "cls", "tile_x", "y", "x0", "x1"
     )
-    labelled = cut(label_components(open_runs))
-    kept = in_area_band(component_measures(labelled, pixel_m), min_final)
-    outlines = trace_outlines(labelled.join(kept.select("label"), "label", "left_semi"), pixel_m)
+    labelled = cut(label_components(open_runs, size))
+    kept = in_area_band(component_measures(labelled, pixel_m))
+    outlines = trace_outlines(labelled.join(kept.select("label"), "label", "left_semi"), pixel_m).join(kept.select("label", "cls"), "label")
+    return finish_layer(outlines, min_final)
+
+
+def finish_layer(outlines: DataFrame, min_final: float = C.FINAL_MIN_AREA_M2) -> DataFrame:
+    """Outlines (label, cls, shell, holes) as the layer has them: holes filled by kind, the floor, the last filling."""
     limit = F.when(F.col("cls") == "urban", C.HOLE_FILL_URBAN_M2).otherwise(C.HOLE_FILL_AGRI_M2)
-    limit = F.greatest(limit, F.lit(C.HOLE_FILL_AGRI_M2))  # the finished layer fills up to the larger of the two
-    return outlines.join(kept.select("label", "cls"), "label").select(
-        "label", "cls", "shell", G.fill_holes(F.col("holes"), limit).alias("holes")
-    ).withColumn("area_m2", G.area(F.col("shell"), F.col("holes")))
+    filled = outlines.withColumn("holes", G.fill_holes(F.col("holes"), limit))
+    large = filled.where(G.area(F.col("shell"), F.col("holes")) >= min_final)
+    done = large.withColumn("holes", G.fill_holes(F.col("holes"), F.lit(C.HOLE_FILL_AGRI_M2)))
+    return done.select("label", "cls", "shell", "holes").withColumn("area_m2", G.area(F.col("shell"), F.col("holes")))
+
+
+# Communes are worked on together, each on a strip of its own of one plane: this many pixel rows high.
+STRIP_PX = 1 << 22
+
+
+def vectorize_layers(tiles: DataFrame, size: int = C.CELL_TILES * C.TILE_PX, pixel_m: float = PIXEL_M,
+                     min_final: float = C.FINAL_MIN_AREA_M2) -> DataFrame:
+    """Tiles (comuna, tx, ty, size, rgba) to the layers the match cascade takes: (comuna, poly_idx, cls, area_m2, shell, holes) in degrees.
+
+    Every commune's blocks start at its own first tile, and no region leaves its commune, even where
+    the tiles of two overlap. poly_idx counts the polygons of a commune from 0, in order of their first pixel.
+    """
+    boxes = tiles.groupBy("comuna").agg(F.min("tx").alias("_tx"), F.min("ty").alias("_ty"))  # a row per commune
+    boxes = cut(boxes.withColumn("_strip", F.dense_rank().over(Window.orderBy("comuna")) - 1))
+    high = STRIP_PX // size
+    moved = tiles.join(boxes, "comuna").select(
+        (F.col("tx") - F.col("_tx")).alias("tx"), (F.col("ty") - F.col("_ty") + F.col("_strip") * high).alias("ty"), "size", "rgba"
+    )
+    first = (lambda c: F.lit(0).cast("bigint"), lambda c: F.floor(F.col(c) / high) * high)
+    polys = vectorize(moved, size, pixel_m, min_final, first)
+    named = polys.withColumn("_strip", F.shiftright("label", 29 + STRIP_PX.bit_length() - 1)).join(boxes, "_strip")
+    east, south = F.col("_tx") * size * pixel_m, (F.col("_ty") - F.col("_strip") * high) * size * pixel_m
+    degrees = lambda ring: F.transform(ring, lambda p: F.struct(M.lon_of(p["x"] + east).alias("x"), M.lat_of(p["y"] - south).alias("y")))
+    index = F.row_number().over(Window.partitionBy("comuna").orderBy("label")) - 1
+    return named.select(
+        "comuna", index.cast("bigint").alias("poly_idx"), "cls", "area_m2",
+        degrees(F.col("shell")).alias("shell"), F.transform("holes", degrees).alias("holes"),
+    )
 
 
 # --- repair ------------------------------------------------------------------------------------
