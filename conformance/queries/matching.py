@@ -144,12 +144,11 @@ def asof_neighbor(spark, sf):
 
 
 X.add_table("fx_anchors", """
-    SELECT poly_idx, comuna, lpad(CAST(poly_idx // 10 AS STRING), 5, '0') || '-'
-           || lpad(CAST((poly_idx % 10) * 12 AS STRING), 5, '0') AS rol
-    FROM fx_polygons WHERE poly_idx % 3 = 0""", ["fx_polygons"])
+    SELECT poly_idx, comuna, CASE WHEN poly_idx % 3 = 0 THEN lpad(CAST(poly_idx // 10 AS STRING), 5, '0') || '-'
+           || lpad(CAST((poly_idx % 10) * 12 AS STRING), 5, '0') END AS rol
+    FROM fx_polygons""", ["fx_polygons"])
 X.add_table("fx_number_reads", """
-    SELECT poly_idx, comuna, CAST((poly_idx % 10) * 12 AS BIGINT) AS number FROM fx_polygons
-    WHERE poly_idx % 4 = 0""", ["fx_polygons"])
+    SELECT poly_idx, comuna, CASE WHEN poly_idx % 4 = 0 THEN CAST((poly_idx % 10) * 12 AS BIGINT) END AS number FROM fx_polygons""", ["fx_polygons"])
 ANCHOR_DONORS = """SELECT comuna, substr(rol, 1, 5) AS manzana, CAST(substr(rol, 7) AS BIGINT) AS num, poly_idx
     FROM fx_anchors"""
 
@@ -307,7 +306,7 @@ X.add_table("fx_utm_parcels", """
            CASE ok % 4 WHEN 0 THEN CAST(6290000 + (h // 100) * 40 + ok % 30 AS STRING) END AS ah_utm_y,
            CASE ok % 4 WHEN 1 THEN CAST(340010 + (h % 100) * 40 AS STRING) WHEN 0 THEN '1' ELSE '' END AS csa_utm_x,
            CASE ok % 4 WHEN 1 THEN CAST(6290005 + (h // 100) * 40 + ok % 17 AS STRING) END AS csa_utm_y
-    FROM fx_parcels WHERE ok % 11 = 0 OR ok % 5 = 0""", ["fx_parcels"])
+    FROM fx_parcels""", ["fx_parcels"])
 _f = 1 / 298.257223563
 _n = _f / (2 - _f)
 _A = R / (1 + _n) * (1 + _n**2 / 4 + _n**4 / 64)

@@ -97,7 +97,7 @@ X.add_table("fx_catalog_rows", """
            CASE ok % 7 WHEN 0 THEN '' WHEN 1 THEN 'nan' WHEN 2 THEN NULL ELSE CAST(ok AS STRING) END AS pol_area_m2,
            CASE WHEN comuna = 13103 THEN '' WHEN ok % 4 = 0 THEN NULL ELSE 'Comuna ' || CAST(comuna AS STRING) || '-' || CAST(ok % 3 AS STRING) END AS nombre_comuna
     FROM fx_parcels
-    UNION ALL SELECT comuna, NULL, NULL, NULL, '12.5', NULL FROM fx_polygons WHERE poly_idx % 5 = 2""", ["fx_parcels", "fx_polygons"])
+    UNION ALL SELECT comuna, NULL, NULL, NULL, '12.5', NULL FROM fx_polygons""", ["fx_parcels", "fx_polygons"])
 CAT = """count(*) AS total_csv, count(*) FILTER (WHERE poly) AS total_poligonos, count(*) FILTER (WHERE poly AND manzana IS NOT NULL) AS con_datos_y_poligono,
     count(*) FILTER (WHERE poly AND manzana IS NULL) AS solo_poligono, count(*) FILTER (WHERE NOT poly AND manzana IS NOT NULL) AS catastro_only,
     count(*) FILTER (WHERE lat <> 'nan') AS con_latlon"""

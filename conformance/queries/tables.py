@@ -104,19 +104,20 @@ def enrich_roll(spark, sf):
 
 
 @query("key_union", """
-    SELECT DISTINCT comuna, manzana, predio FROM fx_parcels WHERE ok % 2 = 0 OR ok % 10 <> 0
+    SELECT DISTINCT comuna, manzana, predio FROM fx_parcels
     UNION SELECT comuna, manzana, lpad(CAST(num + 5000 AS VARCHAR), 5, '0') FROM fx_parcels WHERE ok % 50 = 0""", ["fx_parcels"])
 def key_union(spark, sf):
-    return enrich.key_union(X.parcels(spark, sf).where("ok % 2 = 0"), registry(spark, sf))
+    return enrich.key_union(X.parcels(spark, sf), registry(spark, sf))
 
 
 @query("set_ops", """
-    WITH a AS (SELECT DISTINCT comuna, manzana FROM fx_parcels WHERE ok % 3 = 0), b AS (SELECT DISTINCT comuna, manzana FROM fx_parcels WHERE ok % 4 = 0 AND h % 20 < 13)
+    WITH a AS (SELECT DISTINCT CAST(comuna AS INTEGER) AS comuna, CASE WHEN length(manzana) >= 5 THEN manzana ELSE lpad(manzana, 5, '0') END AS manzana FROM fx_registry),
+    b AS (SELECT DISTINCT comuna, manzana FROM fx_parcels)
     SELECT 'minus' AS op, * FROM (SELECT * FROM a EXCEPT SELECT * FROM b) UNION ALL SELECT 'both', * FROM (SELECT * FROM a INTERSECT SELECT * FROM b)""",
-    ["fx_parcels"])
+    ["fx_parcels", "fx_registry"])
 def set_ops(spark, sf):
-    p = X.table(spark, sf, "fx_parcels")
-    a, b = p.where("ok % 3 = 0").select("comuna", "manzana"), p.where("ok % 4 = 0 and h % 20 < 13").select("comuna", "manzana")
+    a = registry(spark, sf).select(F.col("comuna").cast("int").alias("comuna"), K.zfill(F.col("manzana")).alias("manzana"))
+    b = X.parcels(spark, sf).select("comuna", "manzana")
     return a.distinct().subtract(b).select(F.lit("minus").alias("op"), "*").unionByName(a.intersect(b).select(F.lit("both").alias("op"), "*"))
 
 
