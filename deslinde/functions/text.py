@@ -87,7 +87,7 @@ def truthy(col: Column) -> Column:
 
 def present(col: Column) -> Column:
     """True where the text is neither null nor one of the words written for null."""
-    return col.isNotNull() & ~col.isin(C.NULL_WORDS)
+    return col.isNotNull() & ~col.cast("string").isin(C.NULL_WORDS)
 
 
 def null_if_blank_word(col: Column) -> Column:

@@ -122,6 +122,11 @@ def recovery_metrics(before: DataFrame, after: DataFrame) -> DataFrame:
     )
 
 
+def distinct_names(rows: DataFrame) -> DataFrame:
+    """Distinct (cod, nombre) of rows that have a name."""
+    return rows.where("comuna_nombre is not null").select(F.col("comuna").cast("string").alias("cod"), F.col("comuna_nombre").alias("nombre")).distinct()
+
+
 # --- catalog ---------------------------------------------------------------------------
 
 COUNTS = ["total_csv", "total_poligonos", "con_datos_y_poligono", "solo_poligono", "catastro_only", "con_latlon"]

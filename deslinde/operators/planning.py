@@ -29,6 +29,11 @@ def layer_overrides(spark) -> DataFrame:
     return spark.createDataFrame(sorted(C.LAYER_NAME_OVERRIDES.items()), "comuna int, layer string")
 
 
+def layer_names(base: DataFrame) -> DataFrame:
+    """(comuna, layer): names as read, the published exceptions over them."""
+    return lookup_with_overrides(base, layer_overrides(base.sparkSession), "comuna")
+
+
 def commune_dimension(paths: DataFrame) -> DataFrame:
     """Communes from file paths ``{code}_{name}.csv``: code, name, normal name, layer word, path."""
     name = F.element_at(F.split(F.col("path"), "/"), -1)

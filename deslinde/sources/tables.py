@@ -77,6 +77,13 @@ def scan_polygons(
     return out.withColumn("_b", G.bounds(F.col("shell"))).select("*", "_b.*").drop("_b")
 
 
+def read_layer_names(spark: SparkSession, path: str) -> DataFrame:
+    """(comuna, layer) of tab-separated lines; blank lines, a heading and lines of one field are left out."""
+    parts = F.split(F.trim("value"), "\t")
+    lines = spark.read.text(path).where(~F.trim("value").startswith("cod") & (F.size(parts) >= 2))
+    return lines.select(F.try_element_at(parts, F.lit(1)).try_cast("int").alias("comuna"), F.try_element_at(parts, F.lit(2)).alias("layer"))
+
+
 def list_partitions(spark: SparkSession, path: str) -> DataFrame:
     """Communes present under a partitioned folder, from the names in its listing; no file is opened, so the cost follows the files."""
     code = F.regexp_extract("path", r"/comuna=([^/]+)/", 1)
