@@ -22,19 +22,19 @@ GROUP_ROWS, HOT_ROWS, MOST_HOT = 20_000, 8_192, 100_000
 class Settings:
     """``tables`` hash tables of ``functions`` p-stable functions of ``width``; ``probes`` buckets of each are visited.
 
-    Left out, functions and probes follow the number of vectors: log2(rows) - 2 functions keep the
-    vectors per bucket about even as a table grows, with 14 probes for each.
+    Left out, functions and probes follow the number of vectors: 0.9 * log2(rows) functions keep the
+    buckets small as a table grows, and 8 probes for each and 0.6 for each pair of them keep the recall.
     """
 
     tables: int = 20
-    width: float = 2.4
+    width: float = 2.5
     functions: int = 0
     probes: int = 0
     seed: int = 11
 
     def sized(self, rows: int) -> Settings:
-        m = self.functions or max(1, round(math.log2(max(2, rows))) - 2)
-        return replace(self, functions=m, probes=self.probes or 14 * m)
+        m = self.functions or max(1, round(0.9 * math.log2(max(2, rows))))
+        return replace(self, functions=m, probes=self.probes or round(8 * m + 0.6 * m * m))
 
 
 def probing_sequence(functions: int, probes: int) -> list[tuple[int, ...]]:
