@@ -11,18 +11,22 @@ from pyspark.sql import DataFrame, SparkSession
 
 from deslinde.session import configure, cut, scratch_path
 
-__all__ = ["ready", "cut", "saved", "table", "texts_of", "pieces_of", "Words", "words_of", "mix"]
-
-# An Arrow batch of documents is held whole in a Python worker, beside what is computed from it.
-ARROW = {"spark.sql.execution.arrow.maxRecordsPerBatch": "512"}
+__all__ = ["ready", "cut", "saved", "table", "fresh", "column", "texts_of", "pieces_of", "Words", "words_of", "mix"]
+
+SETTINGS = {
+    # an Arrow batch of documents is held whole in a Python worker, beside what is computed from it
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
+    # the driver keeps the text of every plan and of every change to it at run time; an iteration has hundreds
+    "spark.sql.maxPlanStringLength": "20000",
+}
 # Bytes of text that one vectorised step looks at together; a longer text is a step of its own.
 STEP_BYTES = 1 << 20
 
 
 def ready(spark: SparkSession) -> SparkSession:
-    """The library's session settings, and small Arrow batches."""
+    """The library's session settings, small Arrow batches and short plan texts."""
     configure(spark)
-    for key, value in ARROW.items():
+    for key, value in SETTINGS.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     return spark
@@ -43,6 +47,14 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that ``df`` doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 

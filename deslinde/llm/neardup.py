@@ -7,10 +7,10 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from deslinde.llm.common import column, mix, pieces_of, ready, saved, texts_of, words_of
+from deslinde.llm.common import column, fresh, mix, pieces_of, ready, saved, texts_of, words_of
 from deslinde.operators.graph import connected_components
 
 # A signature: CHUNKS chunks of SYMBOLS MinHash symbols of 16 bits. Two signatures that differ in at most
@@ -160,9 +160,9 @@ def links(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> Data
 
     First each member of a bucket is compared with the bucket's lead alone, and of its leads only
     with the nearest signature. Buckets that still hold several components then take other leads in
-    turn; and the pairs of one bucket that are in different components after that are all compared,
-    which leaves no pair untested that could change a component. Groups of any size thus settle with
-    about as many comparisons as members, while nothing is capped.
+    turn. What still shares a bucket with another component after that goes through an exact search by
+    rare shingles, which leaves no pair untested that could change a component. Groups of any size thus
+    settle with about as many comparisons as members, while nothing is capped.
     """
     keys = index_keys(classes)
     buckets = keys.groupBy("key").agg(F.min("node").alias("lead"), F.count("*").alias("size")).where("size > 1")
@@ -187,17 +187,54 @@ def links(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> Data
         asked = inner.join(lead, "key").where("node <> b").select(F.col("node").alias("a"), "b", "label").distinct()
         pairs = asked if pairs is None else pairs.unionByName(asked)
     pairs = _with_labels(pairs, labels, "b", "other").where("label <> other").select("a", "b").distinct()
-    more = _confirmed(_near(pairs, classes, percent), sets, percent)
-    edges = saved(edges.unionByName(more), "edges")
-    labels = saved(connected_components(edges), "labels")
+    labels = _joined(labels, saved(_confirmed(_near(pairs, classes, percent), sets, percent), "more"))
 
-    rest = _mixed(inner.select("key", "node"), labels).join(classes.select("node", "n_shingles", *LONGS), "node")
-    x, y = rest.alias("x"), rest.alias("y")
-    sizes = F.least("x.n_shingles", "y.n_shingles") * 100 >= F.greatest("x.n_shingles", "y.n_shingles") * percent
-    met = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.label") < F.col("y.label")) & sizes & (differing("x", "y") <= _most_differing(percent)))
-    met = met.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    last = saved(_confirmed(met, sets, percent), "last")
-    return connected_components(edges.unionByName(last))
+    rest = _mixed(inner.select("key", "node"), labels).select("node", "label").distinct()
+    return _joined(labels, saved(_confirmed(_by_rare_shingles(rest, sets, percent), sets, percent), "last"))
+
+
+def _joined(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """(id, label) after more links: only the components they touch are worked on again."""
+    if edges.isEmpty():
+        return labels
+    ends = _with_labels(_with_labels(edges, labels, "u", "lu"), labels, "v", "lv")
+    over = saved(connected_components(ends.select(F.col("lu").alias("u"), F.col("lv").alias("v"))), "over")
+    fresh = edges.select(F.col("u").alias("id")).union(edges.select("v")).distinct().join(labels, "id", "left_anti")
+    every = labels.unionByName(fresh.withColumn("label", F.col("id")))
+    to = over.select(F.col("id").alias("label"), F.col("label").alias("low"))
+    return saved(every.join(to, "label", "left").select("id", F.coalesce("low", "label").alias("label")), "labels")
+
+
+def _by_rare_shingles(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of the nodes in ``rest`` (node, label) with other labels that may be similar enough; none that is is left out.
+
+    The exact way for what the leads have not settled. With every set in order of how rare its shingles
+    are among these sets, two similar sets have their first common shingle early in both: at such places
+    that what follows can still make up the overlap the threshold asks for (prefix and position filters).
+    Members of one component that have a shingle in common are first met together, by the best place
+    any of them has, and one by one only where that can succeed, so a group that is one component
+    already costs no pairs.
+    """
+    sized = rest.join(sets, "node").select("node", "label", F.size("grams").alias("n"), "grams")
+    posts = sized.select("node", F.explode("grams").alias("gram"))
+    often = posts.groupBy("gram").agg(F.count("*").alias("often")).where("often > 1")
+    shared = posts.join(often, "gram")
+    own = shared.groupBy("node").agg(F.count("*").alias("shared"))  # the others are nowhere else and stand before these
+    sizes = sized.select("node", "label", "n").join(own, "node").where(F.expr(f"(n - shared) * 100 <= n * {100 - percent}"))
+    place = F.row_number().over(Window.partitionBy("node").orderBy("often", "gram")) - 1
+    placed = shared.join(sizes, "node").select("node", "label", "n", "gram", (F.col("n") - F.col("shared") + place).alias("at"))
+    early = saved(placed.where(f"at * 100 <= n * {100 - percent}"), "early")
+
+    # the smaller set of a pair (of equal ones that of the smaller node) needs to be looked up under fewer shingles
+    x = early.select("gram", F.col("node").alias("a"), F.col("label").alias("la"), F.col("n").alias("na"), F.col("at").alias("ia"))
+    y = early.where(f"(n - at) * {100 + percent} >= n * {2 * percent}").select("gram", F.col("node").alias("b"), F.col("label").alias("lb"), F.col("n").alias("nb"), F.col("at").alias("ib"))
+    can = F.expr(
+        f"la <> lb and nb <= na and nb * 100 >= na * {percent} and least(na - ia, nb - ib) * {100 + percent} >= (na + nb) * {percent}"
+    )
+    groups = y.groupBy("gram", "lb", "nb").agg(F.min("ib").alias("ib"))
+    hopeful = x.join(groups, "gram").where(can).drop("ib")
+    met = hopeful.join(y, ["gram", "lb", "nb"]).where(can)
+    return met.where("nb < na or b < a").select("a", "b").distinct()
 
 
 def _mixed(rows: DataFrame, labels: DataFrame) -> DataFrame:
@@ -237,7 +274,8 @@ def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     Of rows with the same doc_id one stays, as they are one document; rows without a doc_id stay.
     """
     found = near_duplicates(docs, words, percent).where("kept and doc_id is not null")
-    stay = found.groupBy(F.col("doc_id").alias("__stay")).agg(F.count("*").alias("__rows"))
-    got = docs.join(stay, F.col("doc_id") == F.col("__stay")).drop("__stay")
-    one = got.where("__rows = 1").unionByName(got.where("__rows > 1").dropDuplicates(["doc_id"])).drop("__rows")
+    key, rows = fresh(docs, "stay_id"), fresh(docs, "stay_rows")
+    stay = found.groupBy(F.col("doc_id").alias(key)).agg(F.count("*").alias(rows))
+    got = docs.join(stay, F.col("doc_id") == F.col(key)).drop(key)
+    one = got.where(F.col(rows) == 1).unionByName(got.where(F.col(rows) > 1).dropDuplicates(["doc_id"])).drop(rows)
     return one.unionByName(docs.where("doc_id is null"))
