@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from deslinde.llm.common import column, mix, pieces_of, ready, texts_of, words_of
+from deslinde.llm.common import column, fresh, mix, pieces_of, ready, texts_of, words_of
 
 # A tile has this many words at least; a test item this share of its words in tiles is leaked.
 LEAST, COVERAGE = 5, 0.5
@@ -187,5 +187,6 @@ def _search(bench, least: int, coverage: float):
 
 def clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of ``docs``, all columns, that leak no test item; a row without doc_id stays."""
-    leaking = contaminated(docs, benchmark, **options).select(F.col("doc_id").alias("__leak")).where("__leak is not null").distinct()
-    return docs.join(leaking, F.col("doc_id") == F.col("__leak"), "left_anti")
+    key = fresh(docs, "leak_id")
+    leaking = contaminated(docs, benchmark, **options).where("doc_id is not null").select(F.col("doc_id").alias(key)).distinct()
+    return docs.join(leaking, F.col("doc_id") == F.col(key), "left_anti")
