@@ -187,24 +187,10 @@ def _side(ax: Column, ay: Column, bx: Column, by: Column, px: Column, py: Column
     return F.signum((bx - ax) * (py - ay) - (by - ay) * (px - ax))
 
 
-def self_crosses(ring: Column) -> Column:
-    """Do two edges of the ring cross at a point inside both?"""
-    es = edges(ring)
-
-    def proper(e: Column, f: Column) -> Column:
-        return (
-            _side(e["ax"], e["ay"], e["bx"], e["by"], f["ax"], f["ay"])
-            * _side(e["ax"], e["ay"], e["bx"], e["by"], f["bx"], f["by"]) < 0
-        ) & (
-            _side(f["ax"], f["ay"], f["bx"], f["by"], e["ax"], e["ay"])
-            * _side(f["ax"], f["ay"], f["bx"], f["by"], e["bx"], e["by"]) < 0
-        )
-
-    return F.exists(es, lambda e: F.exists(es, lambda f: proper(e, f)))
-
-
 def ring_problem(ring: Column) -> Column:
     """Name of the first validity rule a ring breaks, null when it is sound."""
+    from deslinde.functions.shapes import self_crosses
+
     return (
         F.when(ring.isNull() | (F.size(ring) == 0), "empty")
         .when(~is_closed(ring), "open")

@@ -27,7 +27,7 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """(id, label) for every node that has an edge; the label is the smallest id in the component.
 
     Each round halves the depth of the trees at least, so rounds grow with the logarithm of
@@ -37,11 +37,10 @@ def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     """
     current = cut(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct())
     state = None
-    for _ in range(max_rounds):
+    while True:  # ends: every round but the last hangs some node on a smaller one
         current = cut(_small_star(_large_star(current)))
         fresh = current.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if fresh == state:
             roots = current.select(F.col("v").alias("id")).distinct().withColumn("label", F.col("id"))
             return current.select(F.col("u").alias("id"), F.col("v").alias("label")).unionByName(roots)
         state = fresh
-    raise RuntimeError(f"components not settled after {max_rounds} rounds")

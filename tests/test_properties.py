@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from conformance import fixtures as X
 from deslinde.functions import geometry as G
-from deslinde.operators import graph, inherit, metrics, ordered, raster, spatial
+from deslinde.functions import shapes
+from deslinde.operators import enrich, graph, inherit, metrics, ordered, raster, spatial
 from deslinde.plans import cascade as P
 from deslinde.session import scratch_path
 from deslinde.sources import sinks, tables
@@ -204,8 +205,10 @@ def test_traced_outlines_keep_the_area(spark, seed):
     df = spark.createDataFrame(tiles, "tx bigint, ty bigint, size int, rgba binary")
     runs = raster.pixel_runs(df).where("cls = 'urban_fill'").withColumn("cls", F.lit("urban"))
     labelled = raster.label_components(runs).cache()
+    same = raster.label_components(runs, size)  # tile by tile, then over the seams
+    assert sorted(map(tuple, same.select("id", "label").collect())) == sorted(map(tuple, labelled.select("id", "label").collect()))
     m = {r.label: r.pixels for r in raster.component_measures(labelled, 1.0).collect()}
-    t = raster.trace_outlines(labelled, 1.0).select("label", G.area(F.col("shell"), F.col("holes")).alias("a"), G.self_crosses(F.col("shell")).alias("bad")).collect()
+    t = raster.trace_outlines(labelled, 1.0).select("label", G.area(F.col("shell"), F.col("holes")).alias("a"), shapes.self_crosses(F.col("shell")).alias("bad")).collect()
     assert {r.label: round(r.a) for r in t} == m and not any(r.bad for r in t)
     assert sum(m.values()) == int((red == 180).sum())
 
@@ -261,3 +264,40 @@ def test_registry_scan_reads_only_what_it_needs(spark, sf):
     sinks.write_geometry(X.polygons(spark, sf), path)
     plan = spark.read.parquet(path).where("comuna = 13102 and minx > -70.69").select("poly_idx")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(comuna" in plan and "GreaterThan(minx" in plan and "shell" not in plan
+
+
+def test_a_region_over_every_tile_is_one(spark):
+    size, wide = 4, 6
+    snake = np.zeros((size * wide, size * wide), dtype=bool)
+    snake[::2, :] = True
+    snake[1::4, -1] = snake[3::4, 0] = True
+    rows = []
+    for tx in range(wide):
+        image, y, a, b = raster.mask_runs(snake[None, :, tx * size : (tx + 1) * size])
+        rows += [("urban", tx, int(k), int(i) + tx * size, int(j) + tx * size) for k, i, j in zip(y, a, b)]
+    runs = spark.createDataFrame(rows, raster.RUN)
+    labels = raster.label_components(runs, size)
+    assert labels.count() == len(rows) and labels.select("label").distinct().count() == 1
+
+
+def test_unreadable_lines_are_kept_apart(spark, tmp_path):
+    lines = ['{"comuna":1,"manzana":"2","predio":"3","attempt":1,"status":200,"body":"{\\"data\\":{\\"existePredio\\":1}}"}', "no json", '{"comuna":1,"manzana":"2"}', '{"comuna":1,']
+    source, target, rejects = (str(tmp_path / n) for n in ("in", "out", "rejects"))
+    spark.createDataFrame([(line,) for line in lines], "value string").write.text(source)
+    ingest.ingest(spark, source, target, str(tmp_path / "mark"), rejects=rejects).awaitTermination()
+    assert spark.read.parquet(target).count() == 1
+    got = {r["value"]: r["reason"] for r in spark.read.parquet(rejects).collect()}
+    assert got == {"no json": "not json", '{"comuna":1,"manzana":"2"}': "no key", '{"comuna":1,': "not json"}
+
+
+def test_registry_keys_that_are_no_numbers_are_counted(spark):
+    rows = spark.createDataFrame([("1", "2", "3"), ("1", "2.0", "4.5"), ("x", "None", "\t7")], "comuna string, manzana string, predio string")
+    assert {r["part"]: r["rows"] for r in enrich.bad_keys(rows).collect()} == {"comuna": 1, "manzana": 1, "predio": 1}
+
+
+def test_registry_columns_that_clash_get_a_suffix(spark):
+    parcels = spark.createDataFrame([(1, "00002", "00003", "mine")], "comuna int, manzana string, predio string, serie string")
+    registry = spark.createDataFrame([("1", "2", "3.0", "its", "d")], "comuna string, manzana string, predio string, serie string, dc_direccion string")
+    assert enrich.enrich_registry(parcels, registry, ["serie"]).columns == ["comuna", "manzana", "predio", "serie", "dc_direccion"]
+    row = enrich.enrich_registry(parcels, registry, ["serie"], clash="_cat").first()
+    assert (row["serie"], row["serie_cat"], row["dc_direccion"]) == ("mine", "its", "d")
