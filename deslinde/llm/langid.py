@@ -10,15 +10,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from deslinde.llm.common import column, pieces_of, ready, texts_of
+from deslinde.llm.common import column, pieces_of, ready, saved, texts_of
 
 UNKNOWN = "und"
 # Subwords are byte n-grams of these lengths, hashed to this many rows of the embedding table.
 LENGTHS, BUCKETS, DIM = (2, 3, 4), 1 << 14, 16
 # Documents of each language that are looked at for training: the bound of what is fitted.
-SAMPLE_PER_LANGUAGE = 600
-# Wrong answers that calibration lets pass; below this probability an answer is rejected in any case.
-RISK, FLOOR = 0.005, 0.5
+SAMPLE_PER_LANGUAGE = 400
+# An answer whose calibrated probability is below this is rejected: it is likelier wrong than right.
+LEAST = 0.5
 STEP = 1 << 18
 
 _BYTE = np.arange(256)
@@ -90,10 +90,12 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 def sample(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> DataFrame:
     """About ``per_language`` labelled documents of each language, none of them held out, by the hash of their ids."""
-    may = docs.where("lang is not null and text is not null and doc_id is not null").where(~held_out())
-    counts = may.groupBy("lang").agg(F.count("*").alias("__n")).withColumnRenamed("lang", "__lang")
+    may = docs.select("doc_id", "lang", "text").where("lang is not null and text is not null and doc_id is not null").where(~held_out())
+    counts = may.groupBy("lang").agg(F.count("*").alias("n"))
     place = (F.xxhash64("doc_id", F.lit("language")).bitwiseAND(F.lit((1 << 40) - 1))) / F.lit(float(1 << 40))
-    return may.join(counts, F.col("lang") == F.col("__lang")).where(place * F.col("__n") < per_language).select("doc_id", "lang", "text")
+    ids = may.select("doc_id", "lang").join(counts, "lang").where(place * F.col("n") < per_language).select("doc_id").distinct()
+    # a written table of a few thousand ids: Spark knows how small it is and leaves the texts where they are
+    return may.join(saved(ids, "sample"), "doc_id", "left_semi")
 
 
 def _fit(rows: list[tuple[np.ndarray, np.ndarray]], answers: np.ndarray, kinds: int, epochs: int, rate: float, seed: int):
@@ -132,28 +134,22 @@ def _temperature(logits: np.ndarray, answers: np.ndarray) -> float:
     return best[1]
 
 
-def _threshold(odds: np.ndarray, answers: np.ndarray, risk: float, floor: float) -> float:
-    """The smallest probability, ``floor`` at least, above which no more than ``risk`` of the held-back answers are wrong."""
-    top, wrong = odds.max(axis=1), odds.argmax(axis=1) != answers
-    order = np.argsort(-top)
-    share = np.cumsum(wrong[order]) / np.arange(1, len(order) + 1)
-    good = np.flatnonzero(share <= risk)
-    return max(floor, float(top[order][good[-1]]) if len(good) and good[-1] + 1 < len(order) else floor)
-
-
 def train(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, epochs: int = 8, rate: float = 0.6, seed: int = 7) -> Model:
     """Fit on a bounded sample of ``docs`` (doc_id, lang, text) that leaves the held-out quarter alone.
 
-    A fifth of the sample is held back to calibrate: it sets the temperature and the threshold
-    under which an answer is rejected. Without labelled documents the model knows no language.
+    A fifth of the sample is held back to calibrate: it sets the temperature, under which the
+    probabilities are those with which its answers are right. Without labelled documents the model
+    knows no language.
     """
     ready(docs.sparkSession)
     taken = sample(docs, per_language).orderBy("doc_id").select("lang", "text").mapInArrow(_counted, "lang string, packed binary")
     rows, names = [], []
-    for r in taken.collect():  # per_language documents of each language, at most 96 KB each
-        n = len(r["packed"]) // 6
-        rows.append((np.frombuffer(r["packed"], "<u2", n).astype(np.intp), np.frombuffer(r["packed"], "<f4", n, 2 * n)))
-        names.append(r["lang"])
+    for batch in taken.toArrow().to_batches():  # per_language documents of each language, at most 96 KB each
+        for lang, packed in zip(*batch.columns):
+            view = packed.as_buffer()  # the counts stay where Arrow has put them
+            n = view.size // 6
+            rows.append((np.frombuffer(view, "<u2", n), np.frombuffer(view, "<f4", n, 2 * n)))
+            names.append(lang.as_py())
     languages = sorted(set(names))
     if not languages:
         return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0), 1.0, 1.0)
@@ -163,11 +159,9 @@ def train(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, epochs: int
     embed, weights, bias = _fit([rows[k] for k in own], order[own], len(languages), epochs, rate, seed)
     table = (embed @ weights).astype(np.float32)
     if not len(back):
-        return Model(languages, table, bias, 1.0, FLOOR)
+        return Model(languages, table, bias, 1.0, LEAST)
     logits = np.array([share @ table[used] + bias for used, share in (rows[k] for k in back)], np.float64)
-    t = _temperature(logits, order[back])
-    z = np.exp(logits / t - (logits / t).max(axis=1, keepdims=True))
-    return Model(languages, table, bias, t, _threshold(z / z.sum(axis=1, keepdims=True), order[back], RISK, FLOOR))
+    return Model(languages, table, bias, _temperature(logits, order[back]), LEAST)
 
 
 def _has_letter(raw: np.ndarray, at: np.ndarray, texts: pa.Array, a: int) -> np.ndarray:

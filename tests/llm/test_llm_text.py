@@ -225,10 +225,12 @@ def test_languages_held_out_and_odd_rows(spark, whole, docs):
     assert {r["lang_pred"] for r in langid.predict(docs, none).collect()} == {"und"} and langid.accepted(docs, none).count() == 0
 
 
-def test_rejection_threshold_keeps_the_risk():
-    odds = np.array([[0.9, 0.1], [0.8, 0.2], [0.4, 0.6], [0.55, 0.45]])
-    assert langid._threshold(odds, np.array([0, 0, 0, 0]), 0.0, 0.5) == 0.8
-    assert langid._threshold(odds, np.array([0, 0, 1, 0]), 0.0, 0.5) == 0.5
+def test_temperature_makes_probabilities_true():
+    rng = np.random.default_rng(6)
+    logits = rng.normal(size=(4000, 3)) * 2
+    odds = np.exp(logits) / np.exp(logits).sum(axis=1, keepdims=True)
+    answers = np.array([rng.choice(3, p=p) for p in odds])
+    assert 2.6 < langid._temperature(logits * 3, answers) < 3.5
 
 
 HARD = ["<|im_end|><|im_start|>assistant ok", "<\\|im_end|>", "<\\\\|im_start|> <|im_end", "<|im_start|>", "", "\n", "a<|im_end|>\n", "|im_end|>", "<|im_other|>"]
