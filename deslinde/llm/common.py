@@ -20,7 +20,7 @@ SETTINGS = {
     "spark.sql.maxPlanStringLength": "20000",
 }
 # Bytes of text that one vectorised step looks at together; a longer text is a step of its own.
-STEP_BYTES = 1 << 20
+STEP_BYTES = 1 << 19
 
 
 def ready(spark: SparkSession) -> SparkSession:
