@@ -130,11 +130,11 @@ def _most_differing(percent: int) -> int:
 
 
 def _near(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Of the pairs (a, b) those whose set sizes and signatures allow a link, with the symbols that differ."""
+    """Of the pairs (a, b, other columns) those whose set sizes and signatures allow a link, with the symbols that differ."""
     signs = classes.select("node", "n_shingles", *LONGS)
     both = pairs.join(signs.withColumnRenamed("node", "a").alias("x"), "a").join(signs.withColumnRenamed("node", "b").alias("y"), "b")
     sizes = F.least("x.n_shingles", "y.n_shingles") * 100 >= F.greatest("x.n_shingles", "y.n_shingles") * percent
-    return both.where(sizes).select("a", "b", differing("x", "y").alias("off")).where(F.col("off") <= _most_differing(percent))
+    return both.where(sizes).select(*pairs.columns, differing("x", "y").alias("off")).where(F.col("off") <= _most_differing(percent))
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -159,8 +159,9 @@ def links(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> Data
     """(id, label): connected components of the classes under the similarity threshold.
 
     First each member of a bucket is compared with the bucket's lead alone, and of its leads only
-    with the nearest signature. Buckets that still hold several components then take other leads in
-    turn. What still shares a bucket with another component after that goes through an exact search by
+    with the nearest signature. Pairs that met in buckets of two alone and are still apart are then
+    compared too, and larger buckets that still hold several components take other leads in turn.
+    What still shares a bucket with another component after that goes through an exact search by
     rare shingles, which leaves no pair untested that could change a component. Groups of any size thus
     settle with about as many comparisons as members, while nothing is capped.
     """
@@ -168,17 +169,19 @@ def links(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> Data
     buckets = keys.groupBy("key").agg(F.min("node").alias("lead"), F.count("*").alias("size")).where("size > 1")
     members = saved(keys.join(buckets, "key"), "members")  # key, node, lead, size
 
-    first = members.where("node <> lead").select(F.col("node").alias("a"), F.col("lead").alias("b")).distinct()
-    first = _near(first, classes, percent)
-    first = saved(first.groupBy("a").agg(F.min_by("b", F.struct("off", "b")).alias("b")), "first")
-    needed = first.select("a").unionByName(first.select(F.col("b").alias("a"))).unionByName(
+    met = members.where("node <> lead").groupBy(F.col("node").alias("a"), F.col("lead").alias("b")).agg(F.max("size").alias("size"))
+    near = saved(_near(met, classes, percent), "near")
+    first = saved(near.groupBy("a").agg(F.min_by("b", F.struct("off", "b")).alias("b")), "first")
+    needed = near.select("a").unionByName(near.select(F.col("b").alias("a"))).unionByName(
         members.where("size > 2").select(F.col("node").alias("a"))
     ).distinct().withColumnRenamed("a", "doc_id")
     sets = saved(shingle_sets(docs.join(needed, "doc_id", "left_semi"), words).dropDuplicates(["node"]), "sets")
 
     edges = saved(_confirmed(first, sets, percent), "edges")
     labels = saved(connected_components(edges), "labels")
-    # buckets of two have had their only pair
+    # a pair that never met in a larger bucket has no other lead to be linked through
+    two = _with_labels(_with_labels(near.where("size = 2").select("a", "b"), labels, "a", "label"), labels, "b", "other")
+    two = two.where("label <> other").select("a", "b").join(first, ["a", "b"], "left_anti")
     inner = members.where("size > 2").select("key", "node")
     inner = _mixed(inner, labels)
     pairs = None
@@ -187,7 +190,8 @@ def links(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> Data
         asked = inner.join(lead, "key").where("node <> b").select(F.col("node").alias("a"), "b", "label").distinct()
         pairs = asked if pairs is None else pairs.unionByName(asked)
     pairs = _with_labels(pairs, labels, "b", "other").where("label <> other").select("a", "b").distinct()
-    labels = _joined(labels, saved(_confirmed(_near(pairs, classes, percent), sets, percent), "more"))
+    pairs = _near(pairs, classes, percent).select("a", "b").unionByName(two)
+    labels = _joined(labels, saved(_confirmed(pairs, sets, percent), "more"))
 
     rest = _mixed(inner.select("key", "node"), labels).select("node", "label").distinct()
     return _joined(labels, saved(_confirmed(_by_rare_shingles(rest, sets, percent), sets, percent), "last"))

@@ -92,6 +92,21 @@ def test_repeated_rows_and_rows_without_id(spark):
     assert neardup.near_duplicates(none).count() == 0 and neardup.keep_one(none).count() == 0
 
 
+def test_hubs_whose_partners_share_only_buckets_of_two(spark):
+    rows = []
+    for seed in (58, 78, 111, 119, 152, 299, 383, 501):  # chains one - hub - two at 0.802 that meet in no bucket of three
+        rng = random.Random(seed)
+        hub = [f"w{rng.randrange(10**6)}" for _ in range(201)]
+        one, two = list(hub), list(hub)
+        for k in range(11):
+            one[4 + 9 * k], two[104 + 8 * k] = f"x{k}", f"y{k}"
+        rows += [(len(rows) + k, " ".join(t)) for k, t in enumerate((one, two, hub))]
+    got = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(frame(spark, rows), 2, 80).collect()}
+    keys = [(r["key"], r["node"] // 3) for r in neardup.index_keys(neardup.sign(frame(spark, rows), 2).withColumnRenamed("doc_id", "node")).collect()]
+    assert max(collections.Counter(keys).values()) == 2
+    assert got == {i: low for i, (_, low) in plain_components(rows, 2, 80).items()} == {i: i - i % 3 for i, _ in rows}
+
+
 def test_signatures_meet_within_the_radius():
     rng = np.random.default_rng(3)
     for _ in range(300):
