@@ -16,6 +16,10 @@ from deslinde.llm.common import column, mix, ready
 
 # Index rows that one group of buckets is planned for; a bucket above HOT_ROWS is dealt over several groups.
 GROUP_ROWS, HOT_ROWS, MOST_HOT = 20_000, 8_192, 100_000
+# Recall is measured on so many queries against all vectors before the search; it has to reach AIM there (0.9 is asked).
+SAMPLE, AIM = 256, 0.95
+# Probes may grow to so many times the planned ones, then the functions get fewer.
+MOST_GROWTH = 16
 
 
 @dataclass(frozen=True)
@@ -23,7 +27,8 @@ class Settings:
     """``tables`` hash tables of ``functions`` p-stable functions of ``width``; ``probes`` buckets of each are visited.
 
     Left out, functions and probes follow the number of vectors: 0.9 * log2(rows) functions keep the
-    buckets small as a table grows, and 8 probes for each and 0.6 for each pair of them keep the recall.
+    buckets small as a table grows, with 8 probes for each and 0.6 for each pair of them at first. That alone
+    loses recall with size, so `calibrated` adds probes, or takes functions away, by the recall of a sample.
     """
 
     tables: int = 20
@@ -99,6 +104,43 @@ class Tables:
         return mix(out + self.names[None, :, None])
 
 
+def ranks(tables: Tables, asked: np.ndarray, near: np.ndarray) -> np.ndarray:
+    """For each pair of unit vectors the least number of probes by which some table's bucket of the second is visited for the first."""
+    t, m = tables.times.shape
+    position = {s: k + 1 for k, s in enumerate(tables.sequence)}
+    out = np.full(len(asked), np.iinfo(np.int64).max)
+    for a in range(0, len(asked), 256):
+        at, to = (((x[a : a + 256] @ tables.lines + tables.shifts) / tables.settings.width).reshape(-1, t, m) for x in (asked, near))
+        floor = np.floor(at)
+        inside, moves = at - floor, np.floor(to) - floor
+        place = np.argsort(np.argsort(np.concatenate([inside, 1 - inside], axis=2), axis=2, kind="stable"), axis=2)
+        for row, table in np.argwhere((np.abs(moves) <= 1).all(axis=2)):
+            own = moves[row, table]
+            crossed = np.concatenate([np.flatnonzero(own < 0), np.flatnonzero(own > 0) + m])
+            rank = position.get(tuple(sorted(place[row, table, crossed].tolist())))
+            if rank is not None:
+                out[a + row] = min(out[a + row], rank)
+    return out
+
+
+def calibrated(settings: Settings, rows: int, asked: np.ndarray, near: np.ndarray) -> Settings:
+    """Settings for ``rows`` vectors by which a share of AIM of the pairs (query, true neighbour) is met, never fewer probes than planned.
+
+    Functions or probes that are given stay as they are.
+    """
+    planned = settings.sized(rows)
+    if settings.probes or not len(asked):
+        return planned
+    while True:
+        most = replace(planned, probes=MOST_GROWTH * planned.probes)
+        needed = np.sort(ranks(Tables(most, asked.shape[1]), asked, near))[math.ceil(AIM * len(asked)) - 1]
+        if needed <= most.probes:
+            return replace(planned, probes=max(planned.probes, int(needed)))
+        if settings.functions or planned.functions == 1:
+            return most
+        planned = replace(settings, functions=planned.functions - 1).sized(rows)
+
+
 def _matrix(array: pa.Array) -> np.ndarray:
     """A column of equally long lists as rows of doubles."""
     if isinstance(array, pa.ChunkedArray):
@@ -134,7 +176,8 @@ def nearest(
     vector is null, zero or holds a null or non-finite component take no part, nor do rows without an
     id and vectors of another length than the most frequent one. Repeated rows count once. Of equal
     vectors only the k + 1 smallest ids are indexed, as no others can be among k answers. Empty tables
-    give no row; other columns are not read.
+    give no row; other columns are not read. Probes follow the recall of SAMPLE queries, whose neighbours
+    among all vectors are found by brute force in one pass.
 
     Every vector is a row under its bucket of each table. Buckets are dealt to groups, large buckets to
     several; a query goes once to each group that holds buckets it visits. A group compares its queries
@@ -147,11 +190,11 @@ def nearest(
     if common is None:
         return spark.createDataFrame([], answer)
     size, rows = common["size"], common["count"]
-    settings = settings.sized(rows)
     good = good.where(F.col("size") == size).select("vec_id", "vector")
     turn = F.row_number().over(Window.partitionBy("vector").orderBy("vec_id"))
     index = good.dropDuplicates(["vec_id", "vector"]).withColumn("turn", turn).where(F.col("turn") <= k + 1).select("vec_id", "vector")
     asked = usable(queries, id_column, vector_column).where(F.col("size") == size).select("vec_id", "vector").dropDuplicates(["vec_id"])
+    settings = calibrated(settings, rows, *([np.zeros((0, size))] * 2 if settings.probes else _true_pairs(index, asked, k, size)))
 
     counts = index.mapInArrow(_cells_only(settings, size), "cell long").groupBy("cell").count()
     least = max(HOT_ROWS, rows * settings.tables // MOST_HOT)
@@ -166,6 +209,40 @@ def nearest(
     return found.distinct().withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
+def _true_pairs(index: DataFrame, asked: DataFrame, k: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Unit vectors of SAMPLE queries, each beside those of its k nearest by brute force."""
+    some = asked.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).collect()
+    ids = np.array([r["vec_id"] for r in some], np.int64)
+    own = _unit(np.array([r["vector"] for r in some], np.float64).reshape(-1, size))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = [np.zeros((len(ids), 0)), np.zeros((len(ids), 0), np.int64), np.zeros((len(ids), 0, size))]
+        for batch in batches:
+            if not len(batch):
+                continue
+            vec_ids, unit = column(batch, "vec_id").to_numpy(), _unit(_matrix(column(batch, "vector")))
+            score = own @ unit.T
+            score[ids[:, None] == vec_ids] = -3.0
+            few = np.argsort(-score, axis=1, kind="stable")[:, :k]
+            more = [np.take_along_axis(score, few, axis=1), vec_ids[few], unit[few]]
+            best = [np.concatenate(x, axis=1) for x in zip(best, more)]
+            few = np.lexsort((best[1], -best[0]), axis=1)[:, :k]
+            best = [np.take_along_axis(best[0], few, axis=1), np.take_along_axis(best[1], few, axis=1), np.take_along_axis(best[2], few[:, :, None], axis=1)]
+        query, spot = np.nonzero(best[0] > -2.0)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(query, pa.int32()), pa.array(best[0][query, spot]), pa.array(best[1][query, spot]),
+                pa.array(list(best[2][query, spot]), pa.list_(pa.float64())),
+            ],
+            ["query", "score", "vec_id", "vector"],
+        )
+
+    met = index.mapInArrow(run, "query int, score double, vec_id long, vector array<double>")
+    turn = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "vec_id"))
+    pairs = met.withColumn("turn", turn).where(F.col("turn") <= k).select("query", "vector").collect() if len(ids) else []
+    return own[[r["query"] for r in pairs]], np.array([r["vector"] for r in pairs], np.float64).reshape(-1, size)
+
+
 def _cells_only(settings: Settings, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = Tables(settings, size)

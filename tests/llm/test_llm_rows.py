@@ -245,6 +245,28 @@ def test_nearest_vectors(spark):
     assert ann.nearest(table.where("false"), queries).count() == 0 and ann.nearest(table, queries.where("false")).count() == 0
 
 
+def test_probes_follow_the_recall_of_a_sample(spark):
+    rng = np.random.default_rng(6)
+    unit = ann._unit(rng.normal(size=(20_000, 64)))
+    score = unit[:100] @ unit.T
+    score[np.arange(100), np.arange(100)] = -3
+    true = np.argsort(-score, axis=1)[:, :5]
+    asked, near = np.repeat(unit[:100], 5, axis=0), unit[true.reshape(-1)]
+    planned = ann.Settings().sized(1 << 22)  # the functions of a table far larger than this one
+    got = ann.calibrated(ann.Settings(), 1 << 22, asked, near)
+    for settings, enough in ((planned, False), (got, True)):
+        tables = ann.Tables(settings, 64)
+        visited, cells = tables.probes(asked), tables.cells(near)
+        met = (visited == cells[:, :, None]).any(axis=(1, 2))
+        assert (met == (ann.ranks(tables, asked, near) <= settings.probes)).all()
+        assert (met.mean() >= ann.AIM) == enough
+    few = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(unit[:300])], "vec_id long, vector array<double>")
+    a, b = ann._true_pairs(few, few.where("vec_id < 20"), 5, 64)
+    whole = unit[:20] @ unit[:300].T
+    whole[np.arange(20), np.arange(20)] = -3
+    assert np.allclose(np.sort((a * b).sum(axis=1)), np.sort(np.sort(whole, axis=1)[:, -5:].reshape(-1)))
+
+
 def test_nearest_of_few(spark):
     few = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [-1.0, 0.1])], "vec_id long, embedding array<double>")
     got = [(r["query_id"], r["rank"], r["vec_id"]) for r in ann.nearest(few, few.where("vec_id = 0")).orderBy("rank").collect()]
