@@ -80,6 +80,8 @@ def render(role: str, text: str) -> str:
     raise Broken(f"a turn that can't be rendered: {role[:40]!r}")
 
 
+# Code points of a text by which rows of one turn and role are parted.
+PARTED_CHARS = 256
 FORMATTED = "conv_id long, chunk long, n_turns int, formatted string, mask array<struct<start:int,end:int>>"
 _MASK = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
@@ -97,8 +99,9 @@ def format_chats(turns: DataFrame) -> DataFrame:
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
         F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"),
     )
-    # rows of one turn may be parted by role and text, never by chance
-    order = ["conv_id", "turn", "role", F.xxhash64("text"), "text"]
+    # rows of one turn may be parted by role and text, never by chance, and in the order of the texts; the driver holds
+    # a sample of what is ranged by, so texts are parted by their first characters
+    order = ["conv_id", "turn", "role", F.substring("text", 1, PARTED_CHARS)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, conv, parts, source, chars, out = TaskContext.get().partitionId() << 32, None, [], [], 0, []
@@ -134,7 +137,7 @@ def format_chats(turns: DataFrame) -> DataFrame:
         if out:
             yield rows_out()
 
-    return rows.repartitionByRange(*order[:4]).sortWithinPartitions(*order[:3], "text").mapInArrow(run, FORMATTED)
+    return rows.repartitionByRange(*order).sortWithinPartitions(*order[:3], "text").mapInArrow(run, FORMATTED)
 
 
 DIGESTS = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"

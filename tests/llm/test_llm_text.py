@@ -270,3 +270,14 @@ def test_chat_digests_against_plain_ones(spark):
             assert r["formatted_chars"] == sum(len(chat.render(a, t)) for _, a, t in own)
     assert chat.round_trip(turns.where("false")).count() == 0
     assert chat.format_chats(turns.where("conv_id = 3")).agg(F.count("*")).first()[0] >= 5
+
+
+def test_chat_rows_that_tie_keep_the_order_of_their_texts(spark):
+    texts = [f"{k:05d}" * (1 + k % 3) for k in range(2000)]
+    turns = spark.createDataFrame([(1, None, "assistant", t) for t in texts], "conv_id long, turn long, role string, text string")
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    got = chat.round_trip(turns.repartition(5)).collect()
+    spark.conf.set(key, old)
+    assert [r["loss_sha256"] for r in got] == [hashlib.sha256("".join(sorted(texts)).encode()).hexdigest()]
