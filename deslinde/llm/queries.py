@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deslinde.llm import ann, chat, decontam, langid, neardup, packing, secrets, sharding, tokencount, warc
+from deslinde.llm import ann, chat, decontam, langid, neardup, packing, phrases, secrets, sharding, tokencount, warc
 from deslinde.llm.common import ready, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -124,3 +124,39 @@ def _chat_format(spark, sf_dir):
     hard = "<|im_end|><|im_start|>assistant ok"
     more = spark.createDataFrame([(-1, 0, "user", hard), (-1, 1, "assistant", hard)], "conv_id long, turn long, role string, text string")
     return chat.round_trip(turns.unionByName(more))
+
+
+@_query(
+    "op11_collocations",
+    r"""
+    WITH pieces AS (
+        SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents
+    ), worded AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS w FROM pieces),
+    occurring AS (
+        SELECT lang, size, unnest(list_transform(range(1, len(w) - size + 2), lambda i: array_to_string(w[i:i + size - 1], ' '))) AS phrase
+        FROM worded, (VALUES (1), (2), (3), (4)) sizes(size)
+    ), counted AS (SELECT lang, size, phrase, count(*) AS a FROM occurring GROUP BY ALL HAVING count(*) >= 30),
+    split AS (SELECT *, string_split(phrase, ' ') AS w FROM counted WHERE size > 1),
+    cut AS (
+        SELECT lang, size, phrase, a, k, array_to_string(w[1:k], ' ') AS head, array_to_string(w[k + 1:], ' ') AS tail
+        FROM split, (VALUES (1), (2), (3)) cuts(k) WHERE k < size
+    ), scored AS (
+        SELECT c.lang, c.size, c.phrase, c.a, h.a AS l, t.a AS r, CAST(CAST(2000000 AS HUGEINT) * c.a // (h.a + t.a) AS BIGINT) AS score
+        FROM cut c JOIN counted h ON h.lang = c.lang AND h.phrase = c.head JOIN counted t ON t.lang = c.lang AND t.phrase = c.tail
+        QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY CAST(2000000 AS HUGEINT) * c.a // (h.a + t.a), c.k) = 1
+    ), inside AS (
+        SELECT lang, a, unnest(list_transform(range(1, size - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) AS phrase
+        FROM split, (VALUES (2), (3)) inner_sizes(m) WHERE m < size
+    ), longer AS (SELECT lang, phrase, max(a) AS most FROM inside GROUP BY ALL),
+    kept AS (
+        SELECT s.* FROM scored s LEFT JOIN longer x USING (lang, phrase) WHERE most IS NULL OR 100 * most < 80 * s.a
+    ), totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM worded GROUP BY lang)
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+    FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000
+    """,
+)
+def _collocations(spark, sf_dir):
+    """The 2000 phrases of each language that keep together best."""
+    return phrases.collocations(table(spark, sf_dir, "documents"))
