@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deslinde.llm import ann, chat, decontam, langid, neardup, packing, phrases, secrets, sharding, tokencount, warc
+from deslinde.llm import ann, chat, decontam, langid, mining, neardup, packing, phrases, secrets, sharding, tokencount, warc
 from deslinde.llm.common import ready, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -160,3 +160,31 @@ def _chat_format(spark, sf_dir):
 def _collocations(spark, sf_dir):
     """The 2000 phrases of each language that keep together best."""
     return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+@_query(
+    "op12_hard_negatives",
+    """
+    WITH rows AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+        FROM embeddings
+        WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), scored AS (
+        SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+               list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * b.v[i])) AS score
+        FROM rows a JOIN rows b ON b.vec_id <> a.vec_id WHERE a.vec_id % 50 = 0
+    ), positive AS (
+        SELECT anchor_id, vec_id AS positive_id, score FROM scored WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+    )
+    SELECT p.anchor_id, p.positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank,
+           n.vec_id AS negative_id, CAST(p.score AS BIGINT) AS positive_score, CAST(n.score AS BIGINT) AS negative_score
+    FROM positive p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+    QUALIFY rank <= 3
+    """,
+)
+def _hard_negatives(spark, sf_dir):
+    """Three negatives between half and 95 % of each positive's score, for every fiftieth vector; a seventh of the labels is shifted."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mining.hard_negatives(table(spark, sf_dir, "embeddings"), "vec_id % 50 = 0", label)
