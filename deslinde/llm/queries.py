@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deslinde.llm import ann, chat, decontam, langid, mining, neardup, packing, phrases, secrets, sharding, tokencount, warc
+from deslinde.llm import ann, chat, decontam, langid, lm, mining, neardup, packing, phrases, secrets, sharding, tokencount, warc
 from deslinde.llm.common import ready, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -188,3 +188,10 @@ def _hard_negatives(spark, sf_dir):
     """Three negatives between half and 95 % of each positive's score, for every fiftieth vector; a seventh of the labels is shifted."""
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return mining.hard_negatives(table(spark, sf_dir, "embeddings"), "vec_id % 50 = 0", label)
+
+
+@_query("op13_lm_scores")
+def _lm_scores(spark, sf_dir):
+    """Log probability of every document by unigrams and by the recurrent model, a seventh of them held out."""
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 7 == 2
+    return lm.document_scores(table(spark, sf_dir, "documents"), held_out)
