@@ -89,7 +89,7 @@ def contains(shell: Column, holes: Column, x: Column, y: Column) -> Column:
     )
 
 
-def _edge_distance(e: Column, x: Column, y: Column) -> Column:
+def edge_distance(e: Column, x: Column, y: Column) -> Column:
     dx, dy = e["bx"] - e["ax"], e["by"] - e["ay"]
     length2 = dx * dx + dy * dy
     along = F.when(length2 > 0, ((x - e["ax"]) * dx + (y - e["ay"]) * dy) / length2).otherwise(0.0)
@@ -98,7 +98,7 @@ def _edge_distance(e: Column, x: Column, y: Column) -> Column:
 
 
 def boundary_distance(shell: Column, holes: Column, x: Column, y: Column) -> Column:
-    return F.array_min(F.transform(all_edges(shell, holes), lambda e: _edge_distance(e, x, y)))
+    return F.array_min(F.transform(all_edges(shell, holes), lambda e: edge_distance(e, x, y)))
 
 
 def distance(shell: Column, holes: Column, x: Column, y: Column) -> Column:
@@ -226,7 +226,7 @@ def position(shell: Column, holes: Column, x: Column, y: Column) -> Column:
         all_edges(shell, holes), start,
         lambda acc, e: F.struct(
             (acc["odd"] != _crosses(e, x, y)).alias("odd"),
-            F.least(acc["d"], _edge_distance(e, x, y)).alias("d"),
+            F.least(acc["d"], edge_distance(e, x, y)).alias("d"),
         ),
         lambda acc: F.struct((acc["odd"] & (acc["d"] > 0)).alias("inside"), acc["d"].alias("d")),
     )

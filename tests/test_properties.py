@@ -301,3 +301,62 @@ def test_registry_columns_that_clash_get_a_suffix(spark):
     assert enrich.enrich_registry(parcels, registry, ["serie"]).columns == ["comuna", "manzana", "predio", "serie", "dc_direccion"]
     row = enrich.enrich_registry(parcels, registry, ["serie"], clash="_cat").first()
     assert (row["serie"], row["serie_cat"], row["dc_direccion"]) == ("mine", "its", "d")
+
+
+def diamonds(spark, rows):
+    """Polygons (comuna, poly_idx, cx, cy, r) as squares on their corner: a box holds much that the shape doesn't."""
+    data = [
+        (c, j, [(x, y - r), (x + r, y), (x, y + r), (x - r, y), (x, y - r)], [])
+        for c, j, x, y, r in rows
+    ]
+    return spark.createDataFrame(data, f"comuna int, poly_idx bigint, {G.POLYGON_COLUMNS}")
+
+
+def diamond_distance(x, y, cx, cy, r):
+    """Plain distance to a square on its corner, negative inside."""
+    dx, dy = abs(x - cx), abs(y - cy)
+    t = min(1.0, max(0.0, (dx - dy + r) / (2 * r)))
+    edge = float(np.hypot(dx - t * r, dy - (1 - t) * r))
+    return -edge if dx + dy < r else edge
+
+
+def diamond_scene(seed=8):
+    """Four sizes, from a plot to a commune; none of the big ones holds the places beside its corners."""
+    rng, rows = random.Random(seed), []
+    for r, n in ((0.0002, 120), (0.002, 60), (0.02, 30), (0.15, 12)):
+        for _ in range(n):
+            rows.append((rng.choice([1, 2]), len(rows), -71 + rng.random() * 0.6, -33 + rng.random() * 0.6, r))
+    places = [(rng.choice([1, 2]), k, -71.3 + rng.random() * 1.2, -33.3 + rng.random() * 1.2) for k in range(250)]
+    return rows, places
+
+
+def test_nearest_among_four_sizes_of_diamonds(spark):
+    rows, places = diamond_scene()
+    want = {}
+    for c, k, x, y in places:
+        found = [(max(0, round(diamond_distance(x, y, cx, cy, r) * 1e8)), j) for pc, j, cx, cy, r in rows if pc == c]
+        want[k] = min(found)
+    points = spark.createDataFrame(places, "comuna int, id bigint, x double, y double")
+    got = spatial.nearest_unlimited(points, diamonds(spark, rows)).collect()
+    assert len(got) == len(places)
+    for r in got:
+        # a millimetre apart is a tie for the plain formula
+        assert abs(dict((j, q) for q, j in [
+            (max(0, round(diamond_distance(r.x, r.y, cx, cy, d) * 1e8)), j) for pc, j, cx, cy, d in rows if pc == r.comuna
+        ])[r.poly_idx] - want[r.id][0]) <= 2
+
+
+def test_large_overlapping_polygons_carry_few_nodes(spark):
+    """400 diamonds as wide as the commune, one over the other: a place outside all of them meets few of their pieces."""
+    rng = random.Random(4)
+    rows = [(1, j, -71 + rng.random() * 0.01, -33 + rng.random() * 0.01, 0.2 + rng.random() * 0.002) for j in range(400)]
+    places = [(1, k, -71 + sx * (0.16 + 0.002 * k), -33 + sy * 0.16) for k, (sx, sy) in enumerate([(1, 1), (-1, 1), (1, -1), (-1, -1)] * 5)]
+    points, polygons = spark.createDataFrame(places, "comuna int, id bigint, x double, y double"), diamonds(spark, rows)
+    met = []
+    for found in spatial.tree_steps(spatial.sites_of(points), polygons, spatial.DEGREES):
+        met.append(found.where("q is null").groupBy("x", "y").count().agg(F.max("count")).first()[0] or 0)
+    assert max(met) <= 40, met
+    got = {r.id: r.poly_idx for r in spatial.nearest_unlimited(points, polygons).collect()}
+    for c, k, x, y in places:
+        near = {j: diamond_distance(x, y, cx, cy, d) for _, j, cx, cy, d in rows}
+        assert near[got[k]] <= min(near.values()) + 2e-8
