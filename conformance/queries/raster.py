@@ -286,3 +286,83 @@ X.add_table("fx_coarse", """SELECT win, c % 5 AS cx, c // 5 AS cy, CASE WHEN (c
 def burn_border(spark, sf):
     fine = X.table(spark, sf, "fx_pixels").select("x", "y", "r")
     return R.burn_border(fine, X.table(spark, sf, "fx_windows"), X.table(spark, sf, "fx_coarse"))
+
+
+# --- the legacy plan: tiles of 32 x 32 pixels of 8 metres in two rasters ------------------------
+# a frame and a line of border, two holes in a third of the tiles; every thirtieth tile is blank inside, and too large
+X.add_table("fx_legacy", """SELECT p_partkey AS k, CAST(p_partkey % 2 AS INT) AS raster, p_partkey // 2 % 20 AS tx, p_partkey // 40 AS ty,
+    CASE WHEN p_partkey % 30 = 0 THEN 99 WHEN p_partkey % 3 = 0 THEN 16 WHEN p_partkey % 3 = 1 THEN 11 ELSE 20 END AS line FROM part""", ["part"])
+X.add_table("fx_legacy_windows", """SELECT k, raster, tx, ty, res, greatest(0, tx * 32 - 1) AS x0, greatest(0, ty * 32 - 1) AS y0,
+        least(width, tx * 32 + 32) AS x1, least(height, ty * 32 + 32) AS y1, CAST(CASE res WHEN 2.0 THEN 256 WHEN 1.0 THEN 260 ELSE 520 END AS INT) AS side
+    FROM fx_legacy JOIN (SELECT raster, (max(tx) + 1) * 32 AS width, (max(ty) + 1) * 32 AS height FROM fx_legacy GROUP BY raster) s USING (raster),
+        (SELECT CAST(2.0 AS DOUBLE) AS res UNION ALL SELECT 1.0 UNION ALL SELECT 0.5) r WHERE line = 99""", ["fx_legacy"])
+# the columns of border in an image: a quarter from the left at two metres, the middle at one; every other blank tile has nine pixels of it only
+X.add_table("fx_legacy_hit", """SELECT k, raster, tx, ty, i, i + tx * 32 AS x FROM fx_legacy_windows,
+        (SELECT p_partkey AS i FROM part WHERE p_partkey < 32) c
+    WHERE res > 0.5 AND k % 60 <> 0 AND floor((i + tx * 32 - x0 + 0.5) * side / (x1 - x0)) >= CASE WHEN res = 2.0 THEN side // 4 ELSE side // 2 END
+        AND floor((i + tx * 32 - x0 + 0.5) * side / (x1 - x0)) < CASE WHEN res = 2.0 THEN side // 4 ELSE side // 2 END + 12""", ["fx_legacy_windows", "part"])
+X.add_table("fx_legacy_columns", """SELECT k, raster, tx, ty, line, i FROM fx_legacy, (SELECT p_partkey AS i FROM part WHERE p_partkey BETWEEN 1 AND 30) c
+    WHERE i <> line AND (k, i) NOT IN (SELECT k, i FROM fx_legacy_hit)""", ["fx_legacy", "fx_legacy_hit", "part"])
+
+
+def legacy_tiles(spark, sf):
+    x, y = F.col("i") % 32, F.floor(F.col("i") / 32)
+    holes = (F.col("k") % 3 == 2) & (((x == 5) & (y == 5)) | (x.isin(9, 10) & (y == 9)))
+    border = x.isin(0, 31) | y.isin(0, 31) | (x == F.col("line")) | (holes & (F.col("line") != 99))
+    cell = F.when(border, "5A0000FF").otherwise("B60000FF")
+    rows = X.table(spark, sf, "fx_legacy").select("raster", "tx", "ty", "k", "line", F.explode(F.sequence(F.lit(0), F.lit(1023))).alias("i"))
+    whole = rows.groupBy("raster", "tx", "ty").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", cell.alias("c")))), lambda p: p["c"]), "").alias("hex"))
+    return whole.select("raster", "tx", "ty", F.lit(32).alias("size"), F.unhex("hex").alias("rgba"))
+
+
+def legacy_images(windows):
+    """Images as they would be answered, in slices of 100 rows."""
+    tile = F.floor(F.col("x0") / 32 + 0.5) + 20 * F.floor(F.col("y0") / 32 + 0.5)
+    quiet = (2 * tile + F.col("raster")) % 60 == 0
+    start = F.when(F.col("res") == 2.0, F.floor(F.col("w") / 4)).otherwise(F.floor(F.col("w") / 2)).cast("int")
+    fill, line = F.lit("B60000FF"), F.lit("5A0000FF")
+    lined = F.concat(F.repeat(fill, start), F.repeat(line, F.lit(12)), F.repeat(fill, F.col("w") - start - 12))
+    plain = F.repeat(fill, F.col("w"))
+    # nine pixels of border in the first row, as a lost label may leave them
+    spot = F.concat(F.repeat(line, F.lit(9)), F.repeat(fill, F.col("w") - 9))
+    rows = F.least(F.lit(100), F.col("h") - F.col("row0"))
+    text = F.when(~quiet & (F.col("res") > 0.5), F.repeat(lined, rows)).when(F.col("row0") == 0, F.concat(spot, F.repeat(plain, rows - 1))).otherwise(F.repeat(plain, rows))
+    sliced = windows.withColumn("row0", F.explode(F.sequence(F.lit(0), F.col("h") - 1, F.lit(100))))
+    return sliced.select("raster", "label", "res", "row0", F.unhex(text).alias("rgba"))
+
+
+@query("repair_windows", "SELECT raster, res, x0, y0, x1, y1, side AS w, side AS h FROM fx_legacy_windows", ["fx_legacy_windows"])
+def repair_windows(spark, sf):
+    """Windows from regions over 50,000 m2, ten metres around them, at three resolutions."""
+    moved, boxes = R._strips(legacy_tiles(spark, sf), "raster", 32)
+    _, regions = R.legacy_regions(R.pixel_runs(moved).where("cls = 'exact_fill'"), boxes, 32, 8.0)
+    return R.repair_windows(regions, 8.0).drop("label")
+
+
+@query("burn_runs", """SELECT raster, tx, ty, 30 * count(*) - CASE WHEN any_value(k) % 3 = 2 AND any_value(line) <> 99 THEN 3 ELSE 0 END AS pixels
+    FROM fx_legacy_columns GROUP BY raster, tx, ty""", ["fx_legacy_columns"])
+def burn_runs(spark, sf):
+    """Exact pixels left of every tile once coarse borders are burnt in."""
+    runs, boxes = R.legacy_runs(legacy_tiles(spark, sf), legacy_images, 32, 8.0)
+    placed = runs.withColumn("_strip", R._strip_of(F.col("y"), 32)).join(boxes, "_strip")
+    ty = F.floor((F.col("y") - F.col("_strip") * R.STRIP_PX) / 32)
+    return placed.groupBy("raster", F.col("tile_x").alias("tx"), ty.alias("ty")).agg(F.sum(F.col("x1") - F.col("x0") + 1).alias("pixels"))
+
+
+@query("vectorize_legacy", """
+    WITH island AS (SELECT *, i - row_number() OVER (PARTITION BY k ORDER BY i) AS g FROM fx_legacy_columns),
+    piece AS (SELECT k, raster, tx, ty, line, min(i) AS first, max(i) AS last, count(*) * 30 * 64 AS area FROM island GROUP BY k, raster, tx, ty, line, g),
+    holed AS (SELECT *, k % 3 = 2 AND line <> 99 AND first <= 5 AS printed FROM piece)
+    SELECT raster, tx, ty, first, CAST(area - CASE WHEN printed THEN 128 ELSE 0 END AS DOUBLE) AS area_m2,
+           CAST(printed AS INT) AS holes_filled, CAST(printed AS INT) AS holes_kept
+    FROM holed WHERE area - CASE WHEN printed THEN 128 ELSE 0 END BETWEEN 1 AND 50000""", ["fx_legacy_columns"])
+def vectorize_legacy(spark, sf):
+    """Published limits: a hole of one pixel (64 m2) is filled, one of two stays; blank tiles are cut by two lines or dropped."""
+    made = R.vectorize_legacy(legacy_tiles(spark, sf), legacy_images, 32, 8.0)
+    west = F.array_min(F.transform("shell", lambda p: p["x"])) + R.C.MERCATOR_HALF
+    north = R.C.MERCATOR_HALF - F.array_max(F.transform("shell", lambda p: p["y"]))
+    column = F.round(west / 8).cast("bigint")
+    return made.select(
+        "raster", F.floor(column / 32).alias("tx"), F.floor(F.round(north / 8) / 32).alias("ty"), (column % 32).alias("first"),
+        "area_m2", "holes_filled", "holes_kept",
+    )

@@ -109,6 +109,10 @@ SIMPLIFY_ORPHAN_DEGREES = 0.00005
 AREA_BINS = [(1, 5), (5, 20), (20, 50), (50, 100), (100, 200), (200, 300),
              (300, 500), (500, 1000), (1000, 5000), (5000, 50000)]
 REPAIR_MIN_BORDER_PX = 10
+LEGACY_AREA_M2 = (1.0, 50_000.0)
+REPAIR_PAD_M = 10.0
+REPAIR_MIN_SIDE_PX = 256
+REPAIR_METRES_PER_PX = (2.0, 1.0, 0.5)
 
 # --- fixed values: operations ---
 STALL_SECONDS = 60

@@ -279,88 +279,115 @@ def in_area_band(measures: DataFrame, min_final: float | None = None) -> DataFra
 
 # --- outlines --------------------------------------------------------------------------------
 
+CHAIN_PX = 512  # corners are chained inside squares of this side before chains are linked
 
-def boundary_segments(labelled: DataFrame) -> DataFrame:
-    """Directed sides (label, ax, ay, bx, by) with the region on the right, in pixel corners.
 
-    A side is what the row above or below, or the run beside at a tile edge, leaves open.
+def outline_corners(labelled: DataFrame) -> DataFrame:
+    """Corners of the outlines of regions and what follows each: (label, id, x, y, nxt), region on the right.
+
+    A corner is where the borders between pixels of the row above and of the row below differ; run ends that meet at
+    a tile edge cancel. On a line the corners are ends of sides in turn, so the partner of each is beside it. Where two
+    pixels of a region touch by their corners, each has a corner of its own there.
+    """
+    runs = labelled.select("label", "y", "x0", "x1")
+    side = lambda x, way: F.struct(x.alias("x"), F.lit(way).alias("way"))
+    ends = runs.select("label", "y", F.explode(F.array(side(F.col("x0"), 1), side(F.col("x1") + 1, -1))).alias("s"))
+    ends = ends.select("label", "s.x", "s.way", F.explode(F.array(F.struct("y", F.lit(False).alias("up")), F.struct((F.col("y") + 1).alias("y"), F.lit(True).alias("up")))).alias("e"))
+    total = lambda up: F.sum(F.when(F.col("e.up") == up, F.col("way")).otherwise(0))
+    met = ends.groupBy("label", "e.y", "x").agg(total(True).alias("a"), total(False).alias("b")).where("a <> b")
+    a, b = F.col("a"), F.col("b")
+    corner = lambda k, up: F.struct(F.lit(k).alias("k"), up.alias("up"), F.when(up, a).otherwise(b).alias("way"))
+    both = F.array(corner(0, a < 0), corner(1, a > 0))
+    corners = met.withColumn("c", F.explode(F.when((a != 0) & (b != 0), both).otherwise(F.array(corner(0, a != 0)))))
+    place = F.shiftleft(F.shiftleft(F.col("y"), 28).bitwiseOR(F.col("x")), 1).bitwiseOR(F.col("c.k").cast("bigint"))
+    corners = corners.select("label", place.alias("id"), "x", "y", "c.up", "c.way")
+    row, column = Window.partitionBy("label", "y").orderBy("id"), Window.partitionBy("label", "x").orderBy("y", F.desc("up"))
+    along = F.when(F.row_number().over(row) % 2 == 1, F.lead("id").over(row)).otherwise(F.lag("id").over(row))
+    across = F.when(F.col("up"), F.lag("id").over(column)).otherwise(F.lead("id").over(column))
+    nxt = F.when(F.col("up") == (F.col("way") < 0), F.col("_along")).otherwise(F.col("_across"))
+    return corners.withColumn("_along", along).withColumn("_across", across).select("label", "id", "x", "y", nxt.alias("nxt"))
+
+
+def _ahead(nxt: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """By pointer doubling over places (-1: none follows): the last place reached, the steps to it, the least place on the way."""
+    low, to, steps = np.arange(len(nxt)), np.where(nxt < 0, np.arange(len(nxt)), nxt), (nxt >= 0).astype(np.int64)
+    for _ in range(len(nxt).bit_length()):
+        low, steps, to = np.minimum(low, low[to]), steps + steps[to], to[to]
+    return to, steps, low
+
+
+def _chains(square: pd.DataFrame) -> pd.DataFrame:
+    """Corners of one square with the chain each is on (named by its first corner), its place there, and what follows the chain."""
+    keys = pd.MultiIndex.from_arrays([square.label, square.id])
+    nxt = keys.get_indexer(pd.MultiIndex.from_arrays([square.label, square.nxt]))
+    last, _, low = _ahead(nxt)
+    closed = nxt[last] >= 0  # a ring inside the square; it is opened before its first corner
+    last, steps, _ = _ahead(np.where(closed & (nxt == low), -1, nxt))
+    length = np.bincount(last, minlength=len(nxt))[last]
+    pos, heads = length - 1 - steps, np.empty(len(nxt), np.int64)
+    heads[last[pos == 0]] = np.flatnonzero(pos == 0)
+    after = pd.Series(square.nxt.to_numpy()[last], dtype="Int64").mask(closed)
+    return pd.DataFrame({
+        "label": square.label, "chain": square.id.to_numpy()[heads[last]], "pos": pos, "n": length,
+        "x": square.x, "y": square.y, "after": after.to_numpy(),
+    }).astype({"after": "Int64"})
+
+
+def rank_chains(chains: DataFrame) -> DataFrame:
+    """Chains (label, chain, n, after) that form rings, with the ring and the corners that come before: (label, chain, ring, before).
+
+    Pointer doubling: every chain knows the least chain among the 2^k ahead of it and the corners up to there. Once no least
+    chain changes in a round, each is that of the whole ring, so rounds are logarithmic in the longest ring.
     """
-    runs = labelled.select("label", "tile_x", "y", "x0", "x1")
-
-    def horizontal(dy: int) -> DataFrame:
-        other = runs.select("label", "tile_x", (F.col("y") - dy).alias("y"), F.col("x0").alias("a"), F.col("x1").alias("b"))
-        holes = other.groupBy("label", "tile_x", "y").agg(F.array_sort(F.collect_set(F.struct("a", "b"))).alias("_h"))
-        joined = runs.join(holes, ["label", "tile_x", "y"], "left")
-        none = F.array().cast("array<struct<a:bigint,b:bigint>>")
-        left = _pieces_left(F.col("x0"), F.col("x1"), F.coalesce(F.col("_h"), none))
-        p = joined.select("label", "y", F.explode(left).alias("p"))
-        lo, hi = F.col("p.a"), F.col("p.b") + 1
-        y = F.col("y") if dy < 0 else F.col("y") + 1
-        ends = (lo, hi) if dy < 0 else (hi, lo)
-        return p.select("label", ends[0].alias("ax"), y.alias("ay"), ends[1].alias("bx"), y.alias("by"))
-
-    ends = runs.select("label", "y", (F.col("x1") + 1).alias("x"))
-    starts = runs.select("label", "y", F.col("x0").alias("x"))
-    key = ["label", "y", "x"]
-    right = ends.join(starts, key, "left_anti").select("label", F.col("x").alias("ax"), F.col("y").alias("ay"), F.col("x").alias("bx"), (F.col("y") + 1).alias("by"))
-    left = starts.join(ends, key, "left_anti").select("label", F.col("x").alias("ax"), (F.col("y") + 1).alias("ay"), F.col("x").alias("bx"), F.col("y").alias("by"))
-    return horizontal(-1).unionByName(horizontal(1)).unionByName(right).unionByName(left)
-
-
-def _chain(segments: pd.DataFrame) -> pd.DataFrame:
-    """Rings of one region from its directed sides.
-
-    Where two corners of the region touch, the turn to the right keeps to the same pixel.
+    state = cut(chains.select("label", "chain", F.col("after").alias("to"), F.col("n").alias("span"), F.col("chain").alias("ring"), F.lit(0).cast("bigint").alias("ahead")))
+    while True:
+        other = state.select("label", F.col("chain").alias("to"), *[F.col(c).alias("_" + c) for c in ("to", "span", "ring", "ahead")])
+        nearer = F.col("ring") <= F.col("_ring")
+        state = cut(state.join(other, ["label", "to"]).select(
+            "label", "chain", F.col("_to").alias("to"), (F.col("span") + F.col("_span")).alias("span"), F.least("ring", "_ring").alias("ring"),
+            F.when(nearer, F.col("ahead")).otherwise(F.col("span") + F.col("_ahead")).alias("ahead"), (F.col("_ring") < F.col("ring")).alias("changed"),
+        ))
+        if not state.where("changed").take(1):
+            break
+        state = state.drop("changed")
+    sizes = chains.join(state, ["label", "chain"]).groupBy("label", "ring").agg(F.sum("n").alias("_all"))
+    placed = state.join(sizes, ["label", "ring"])
+    return placed.select("label", "chain", "ring", F.when(F.col("ahead") == 0, 0).otherwise(F.col("_all") - F.col("ahead")).alias("before"))
+
+
+def outline_rings(labelled: DataFrame) -> DataFrame:
+    """Rings (label, ring, corners): the corners of each outline in order, as pixel positions, from the first one on.
+
+    Corners are chained inside squares of the plane; chains that leave a square are linked across. No task sees a region:
+    only a finished ring becomes a row.
     """
-    points = segments[["ax", "ay", "bx", "by"]].to_numpy()
-    leaving: dict[tuple, list[int]] = {}
-    for i, (ax, ay, _, _) in enumerate(points):
-        leaving.setdefault((ax, ay), []).append(i)
-    rings, used = [], np.zeros(len(points), dtype=bool)
-    for first in range(len(points)):
-        if used[first]:
-            continue
-        i, ring, start = first, [], tuple(points[first, :2])
-        while True:
-            used[i] = True
-            ax, ay, bx, by = points[i]
-            ring.append((ax, ay))
-            if (bx, by) == start:
-                break
-            options = [j for j in leaving[(bx, by)] if not used[j]]
-            dx, dy = bx - ax, by - ay
-            # y grows downwards: the right turn has the largest cross product
-            i = max(options, key=lambda j: np.sign(dx * (points[j, 3] - by) - dy * (points[j, 2] - bx)))
-        corners = [p for k, p in enumerate(ring) if not _straight(ring[k - 1], p, ring[(k + 1) % len(ring)])]
-        rings.append(corners + corners[:1])
-    area = lambda r: sum(x0 * y1 - x1 * y0 for (x0, y0), (x1, y1) in zip(r, r[1:])) / 2
-    rings.sort(key=lambda r: -abs(area(r)))
-    flat = [[float(v) for p in r for v in p] for r in rings]
-    return pd.DataFrame({"label": [segments.label.iloc[0]], "rings": [flat]})
-
-
-def _straight(a: tuple, b: tuple, c: tuple) -> bool:
-    return (a[0] == b[0] == c[0]) or (a[1] == b[1] == c[1])
+    corners = outline_corners(labelled)
+    square = [F.floor(F.col(c) / CHAIN_PX).alias("_s" + c) for c in "xy"]
+    fields = "label bigint, chain bigint, pos bigint, n bigint, x bigint, y bigint, after bigint"
+    chained = cut(corners.groupBy(*square).applyInPandas(_chains, fields))
+    open_ = chained.where("pos = 0 and after is not null").select("label", "chain", "n", "after")
+    whole = chained.where("after is null").select("label", F.col("chain").alias("ring"), "pos", "x", "y")
+    linked = chained.where("after is not null").join(rank_chains(open_), ["label", "chain"])
+    linked = linked.select("label", "ring", (F.col("before") + F.col("pos")).alias("pos"), "x", "y")
+    rings = whole.unionByName(linked).groupBy("label", "ring").agg(F.array_sort(F.collect_list(F.struct("pos", "x", "y"))).alias("c"))
+    return rings.select("label", "ring", F.transform("c", lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"))).alias("corners"))
 
 
 def trace_outlines(labelled: DataFrame, pixel_m: float = PIXEL_M) -> DataFrame:
-    """Polygon per region: (label, shell, holes) in Mercator metres.
-
-    The sides are found by joins; one task chains the sides of one polygon, which has to
-    become one row anyway. Regions outside the area bands should be dropped before.
-    """
-    rings = boundary_segments(labelled).groupBy("label").applyInPandas(_chain, "label bigint, rings array<array<double>>")
+    """Polygon per region: (label, shell, holes) in Mercator metres; holes from the first one on."""
     half = C.MERCATOR_HALF
-    ring = lambda r: F.transform(
-        F.sequence(F.lit(0), (F.size(r) / 2).cast("int") - 1),
-        lambda i: F.struct(
-            (r[i * 2] * pixel_m - half).alias("x"), (F.lit(half) - r[i * 2 + 1] * pixel_m).alias("y")
-        ),
+    point = lambda p: F.struct((p["x"] * pixel_m - half).alias("x"), (F.lit(half) - p["y"] * pixel_m).alias("y"))
+    closed = F.concat("corners", F.slice("corners", 1, 1))
+    # the region lies to the right, so its shell turns the other way than its holes
+    twice = F.aggregate(
+        G.edges(closed), F.lit(0).cast("bigint"), lambda acc, e: acc + e["ax"] * e["by"] - e["bx"] * e["ay"],
     )
-    made = rings.select("label", F.transform("rings", ring).alias("_r"))
-    return made.select(
-        "label", F.col("_r")[0].alias("shell"), F.slice("_r", F.lit(2), F.greatest(F.size("_r") - 1, F.lit(0))).alias("holes")
+    rings = outline_rings(labelled).select("label", "ring", (twice > 0).alias("outer"), F.transform(closed, point).alias("r"))
+    made = rings.groupBy("label").agg(
+        F.first(F.when(F.col("outer"), F.col("r")), ignorenulls=True).alias("shell"),
+        F.array_sort(F.collect_list(F.when(~F.col("outer"), F.struct("ring", "r")))).alias("_h"),
     )
+    return made.select("label", "shell", F.transform("_h", lambda h: h["r"]).alias("holes"))
 
 
 def vectorize(tiles: DataFrame, size: int = C.CELL_TILES * C.TILE_PX, pixel_m: float = PIXEL_M,
@@ -399,32 +426,174 @@ def finish_layer(outlines: DataFrame, min_final: float = C.FINAL_MIN_AREA_M2) ->
     return done.select("label", "cls", "shell", "holes").withColumn("area_m2", G.area(F.col("shell"), F.col("holes")))
 
 
-# Communes are worked on together, each on a strip of its own of one plane: this many pixel rows high.
+# Communes (or rasters) are worked on together, each on a strip of its own of one plane: this many pixel rows high.
 STRIP_PX = 1 << 22
 
 
+def _strips(tiles: DataFrame, key: str, size: int) -> tuple[DataFrame, DataFrame]:
+    """Tiles moved to the strip of their ``key``, and per key its strip, first tile and size in pixels."""
+    high = STRIP_PX // size
+    boxes = tiles.groupBy(key).agg(
+        F.min("tx").alias("_tx"), F.min("ty").alias("_ty"),
+        ((F.max("tx") - F.min("tx") + 1) * size).alias("_width"), ((F.max("ty") - F.min("ty") + 1) * size).alias("_height"),
+    )
+    boxes = cut(boxes.withColumn("_strip", F.dense_rank().over(Window.orderBy(key)) - 1))  # a row per key
+    tallest = boxes.agg(F.max("_height")).first()[0]
+    if tallest is not None and tallest > high * size:
+        raise ValueError(f"a plane of {tallest} pixel rows does not fit a strip of {high * size}")
+    moved = tiles.join(boxes, key).select(
+        (F.col("tx") - F.col("_tx")).alias("tx"), (F.col("ty") - F.col("_ty") + F.col("_strip") * high).alias("ty"), "size", "rgba"
+    )
+    return moved, boxes
+
+
+def _strip_of(y: Column, size: int) -> Column:
+    return F.floor(y / (STRIP_PX // size * size)).cast("int")
+
+
+def _row_of(label: Column) -> Column:
+    """The pixel row of a region's first run."""
+    return F.shiftright(label, 29)
+
+
 def vectorize_layers(tiles: DataFrame, size: int = C.CELL_TILES * C.TILE_PX, pixel_m: float = PIXEL_M,
                      min_final: float = C.FINAL_MIN_AREA_M2) -> DataFrame:
     """Tiles (comuna, tx, ty, size, rgba) to the layers the match cascade takes: (comuna, poly_idx, cls, area_m2, shell, holes) in degrees.
 
     Every commune's blocks start at its own first tile, and no region leaves its commune, even where
-    the tiles of two overlap. poly_idx counts the polygons of a commune from 0, in order of their first pixel.
+    the tiles of two overlap. poly_idx counts the polygons of a commune from 0, in order of their first pixel;
+    the numbering sorts labels alone.
     """
-    boxes = tiles.groupBy("comuna").agg(F.min("tx").alias("_tx"), F.min("ty").alias("_ty"))  # a row per commune
-    boxes = cut(boxes.withColumn("_strip", F.dense_rank().over(Window.orderBy("comuna")) - 1))
+    moved, boxes = _strips(tiles, "comuna", size)
     high = STRIP_PX // size
-    moved = tiles.join(boxes, "comuna").select(
-        (F.col("tx") - F.col("_tx")).alias("tx"), (F.col("ty") - F.col("_ty") + F.col("_strip") * high).alias("ty"), "size", "rgba"
-    )
     first = (lambda c: F.lit(0).cast("bigint"), lambda c: F.floor(F.col(c) / high) * high)
-    polys = vectorize(moved, size, pixel_m, min_final, first)
-    named = polys.withColumn("_strip", F.shiftright("label", 29 + STRIP_PX.bit_length() - 1)).join(boxes, "_strip")
+    polys = cut(vectorize(moved, size, pixel_m, min_final, first))
+    named = polys.select("label", _strip_of(_row_of(F.col("label")), size).alias("_strip")).join(boxes, "_strip")
+    named = named.withColumn("poly_idx", (F.row_number().over(Window.partitionBy("comuna").orderBy("label")) - 1).cast("bigint"))
     east, south = F.col("_tx") * size * pixel_m, (F.col("_ty") - F.col("_strip") * high) * size * pixel_m
     degrees = lambda ring: F.transform(ring, lambda p: F.struct(M.lon_of(p["x"] + east).alias("x"), M.lat_of(p["y"] - south).alias("y")))
-    index = F.row_number().over(Window.partitionBy("comuna").orderBy("label")) - 1
-    return named.select(
-        "comuna", index.cast("bigint").alias("poly_idx"), "cls", "area_m2",
-        degrees(F.col("shell")).alias("shell"), F.transform("holes", degrees).alias("holes"),
+    return polys.join(named, "label").select(
+        "comuna", "poly_idx", "cls", "area_m2", degrees(F.col("shell")).alias("shell"), F.transform("holes", degrees).alias("holes"),
+    )
+
+
+# --- legacy plan -------------------------------------------------------------------------------
+
+
+def repair_windows(
+    regions: DataFrame, pixel_m: float = PIXEL_M, max_area: float = C.LEGACY_AREA_M2[1],
+    pad_m: float = C.REPAIR_PAD_M, metres_per_px: tuple[float, ...] = C.REPAIR_METRES_PER_PX,
+) -> DataFrame:
+    """Images to ask for where a region is too large: (raster, label, res, x0, y0, x1, y1, w, h).
+
+    ``regions`` is (raster, label, px0, py0, px1, py1, area_m2, width, height), in pixels of the raster, whose size is
+    (width, height). An image of w x h pixels, one for each resolution, covers the pixels from (x0, y0) up to
+    (x1, y1) exclusive.
+    """
+    pad = pad_m / pixel_m
+    big = regions.where(F.col("area_m2") > max_area).withColumn("res", F.explode(F.array(*[F.lit(float(r)) for r in metres_per_px])))
+    side = lambda lo, hi: F.greatest(
+        F.lit(C.REPAIR_MIN_SIDE_PX), F.floor(((F.col(hi) + 1 - F.col(lo)) * float(pixel_m) + 2 * pad_m) / F.col("res"))
+    ).cast("int")
+    low = lambda c: F.greatest(F.lit(0), F.floor(F.col(c) - pad)).cast("bigint")
+    high = lambda c, end: F.least(F.col(end), F.floor(F.col(c) + 1 + pad)).cast("bigint")
+    return big.select(
+        "raster", "label", "res", low("px0").alias("x0"), low("py0").alias("y0"), high("px1", "width").alias("x1"), high("py1", "height").alias("y1"),
+        side("px0", "px1").alias("w"), side("py0", "py1").alias("h"),
+    ).where("x0 < x1 and y0 < y1")
+
+
+def _border_runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        for part in batch.itertuples(index=False):
+            image = np.frombuffer(part.rgba, np.uint8).reshape(1, -1, part.w, 4)
+            _, y, a, b = mask_runs((image[..., 0] != C.EXACT_RED) & (image[..., 3] > 0))
+            yield pd.DataFrame({"raster": part.raster, "label": part.label, "res": part.res, "cy": y + part.row0, "a": a, "b": b})
+
+
+def burnt_intervals(windows: DataFrame, images: DataFrame, least: int = C.REPAIR_MIN_BORDER_PX) -> DataFrame:
+    """Intervals (raster, y, a, b) of fine pixels that lie under the border of coarse images.
+
+    ``images`` holds whole rows of the images of ``windows``: (raster, label, res, row0, rgba), from row ``row0`` on. An
+    image with fewer than ``least`` border pixels says nothing. A run of border pixels becomes the interval of the fine
+    pixels nearest to it, in each of the fine rows nearest to its row: no pixel becomes a row.
+    """
+    key = ["raster", "label", "res"]
+    raster = windows.schema["raster"].dataType.simpleString()
+    rows = images.join(windows.select(*key, "w"), key).select(*key, "w", "row0", "rgba")
+    runs = rows.mapInPandas(_border_runs, f"raster {raster}, label bigint, res double, cy bigint, a bigint, b bigint")
+    telling = runs.groupBy(*key).agg(F.sum(F.col("b") - F.col("a") + 1).alias("_n")).where(F.col("_n") >= least)
+    placed = runs.join(windows.join(telling, key, "left_semi"), key)
+
+    def nearest(c: Column, lo: str, hi: str, n: str) -> Column:
+        """The first fine pixel whose middle lies at or after the beginning of coarse pixel ``c``."""
+        return F.col(lo) + F.ceil(c * (F.col(hi) - F.col(lo)) / F.col(n) - 0.5)
+
+    first, last = nearest(F.col("cy"), "y0", "y1", "h"), nearest(F.col("cy") + 1, "y0", "y1", "h") - 1
+    a, b = nearest(F.col("a"), "x0", "x1", "w"), nearest(F.col("b") + 1, "x0", "x1", "w") - 1
+    spans = placed.select("raster", a.alias("a"), b.alias("b"), first.alias("_f"), last.alias("_l")).where("a <= b and _f <= _l")
+    return spans.select("raster", F.explode(F.sequence("_f", "_l")).alias("y"), "a", "b").distinct()
+
+
+def burn_runs(runs: DataFrame, intervals: DataFrame, size: int) -> DataFrame:
+    """Runs (tile_x, y, x0, x1) without the intervals (y, a, b) of the same plane."""
+    tiled = intervals.withColumn("tile_x", F.explode(F.sequence(F.floor(F.col("a") / size), F.floor(F.col("b") / size))))
+    return subtract_runs(runs, tiled.select(
+        "tile_x", "y", F.greatest("a", F.col("tile_x") * size).alias("a"), F.least("b", (F.col("tile_x") + 1) * size - 1).alias("b"),
+    ))
+
+
+def legacy_regions(runs: DataFrame, boxes: DataFrame, size: int, pixel_m: float) -> tuple[DataFrame, DataFrame]:
+    """Labelled runs of the exact class, and their regions in pixels of their raster."""
+    labelled = cut(label_components(runs.select(F.lit("exact").alias("cls"), "tile_x", "y", "x0", "x1"), size))
+    regions = component_measures(labelled, pixel_m).withColumn("_strip", _strip_of(F.col("py0"), size)).join(boxes, "_strip")
+    top = F.col("_strip") * (STRIP_PX // size * size)
+    return labelled, regions.withColumn("py0", F.col("py0") - top).withColumn("py1", F.col("py1") - top).withColumnsRenamed(
+        {"_width": "width", "_height": "height"}
+    )
+
+
+def legacy_runs(
+    tiles: DataFrame, images: Callable[[DataFrame], DataFrame] | None = None, size: int = C.CELL_TILES * C.TILE_PX,
+    pixel_m: float = PIXEL_M, max_area: float = C.LEGACY_AREA_M2[1],
+) -> tuple[DataFrame, DataFrame]:
+    """Runs of the exact class of all rasters after the repair, and the rasters' places.
+
+    ``tiles`` is (raster, tx, ty, size, rgba); ``images`` gives for a table of `repair_windows` the rows of their images. A
+    repair only takes pixels away, so the passes of the three resolutions are one union.
+    """
+    moved, boxes = _strips(tiles, "raster", size)
+    runs = cut(pixel_runs(moved).where(F.col("cls") == "exact_fill").drop("cls"))
+    if images is None:
+        return runs, boxes
+    _, regions = legacy_regions(runs, boxes, size, pixel_m)
+    windows = cut(repair_windows(regions, pixel_m, max_area))
+    burnt = burnt_intervals(windows, images(windows)).join(boxes.select("raster", "_strip"), "raster")
+    placed = burnt.select((F.col("y") + F.col("_strip") * (STRIP_PX // size * size)).alias("y"), "a", "b")
+    return cut(burn_runs(runs, placed, size)), boxes
+
+
+def vectorize_legacy(
+    tiles: DataFrame, images: Callable[[DataFrame], DataFrame] | None = None, size: int = C.CELL_TILES * C.TILE_PX,
+    pixel_m: float = PIXEL_M, area: tuple[float, float] = C.LEGACY_AREA_M2, max_hole: float = C.HOLE_FILL_COMPACT_M2,
+) -> DataFrame:
+    """The legacy layer of each raster: (raster, label, area_m2, holes_filled, holes_kept, shell, holes) in Mercator metres.
+
+    Regions of the exact class, cut apart by coarse borders where they are too large; small round holes are filled,
+    then the area has to lie in the band.
+    """
+    runs, boxes = legacy_runs(tiles, images, size, pixel_m, area[1])
+    labelled, regions = legacy_regions(runs, boxes, size, pixel_m)
+    # filling only adds, so what is too large before is dropped before it is traced
+    kept = cut(regions.where(F.col("area_m2") <= area[1]).select("label", "raster", "_strip", "_tx", "_ty"))
+    traced = trace_outlines(labelled.join(kept.select("label"), "label", "left_semi"), pixel_m)
+    filled = traced.withColumn("_left", G.fill_compact_holes(F.col("holes"), max_hole)).withColumn("_area", G.area(F.col("shell"), F.col("_left")))
+    rows = filled.where(F.col("_area").between(*area)).join(kept, "label")
+    east, south = F.col("_tx") * size * pixel_m, (F.col("_ty") - F.col("_strip") * (STRIP_PX // size)) * size * pixel_m
+    place = lambda ring: F.transform(ring, lambda p: F.struct((p["x"] + east).alias("x"), (p["y"] - south).alias("y")))
+    return rows.select(
+        "raster", "label", F.round("_area", 1).alias("area_m2"), (F.size("holes") - F.size("_left")).alias("holes_filled"),
+        F.size("_left").alias("holes_kept"), place(F.col("shell")).alias("shell"), F.transform("_left", place).alias("holes"),
     )
 
 
