@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from deslinde.session import configure, cut, scratch_path
 
-__all__ = ["ready", "cut", "saved", "table", "fresh", "column", "texts_of", "pieces_of", "Words", "words_of", "mix"]
+__all__ = ["ready", "cut", "saved", "discard", "table", "fresh", "column", "texts_of", "pieces_of", "Words", "words_of", "mix"]
 
 SETTINGS = {
     # an Arrow batch of documents is held whole in a Python worker, beside what is computed from it
@@ -44,7 +44,16 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def discard(table: DataFrame) -> None:
+    """Remove a table of `saved` that nothing reads any more."""
+    spark = table.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(table.scratch_path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def fresh(df: DataFrame, name: str) -> str:

@@ -84,6 +84,19 @@ def looked_up(chunks: DataFrame, words: DataFrame, keys: list[str], value: str)
     return chunks.drop("words", "counts").join(known, "chunk", "left")
 
 
+def totalled(chunks: DataFrame, keys: list[str]) -> DataFrame:
+    """(chunk, pos, keys, word, total, first): every different word of every chunk with its count over all chunks.
+
+    One shuffle by word serves both the counts and their way back; ``first`` marks one row of each word.
+    """
+    rows = chunks.select("chunk", *keys, F.posexplode(F.arrays_zip("words", "counts")).alias("pos", "_w"))
+    rows = rows.select("chunk", "pos", *keys, F.col("_w.words").alias("word"), F.col("_w.counts").alias("n"))
+    same = Window.partitionBy(*keys, "word")
+    return rows.select(
+        "chunk", "pos", *keys, "word", F.sum("n").over(same).alias("total"), (F.row_number().over(same.orderBy("chunk")) == 1).alias("first"),
+    )
+
+
 def values_of(known: pa.Scalar, size: int) -> np.ndarray:
     """Value by number in the chunk (0 for number 0 and for words that aren't known)."""
     out = np.zeros(size, np.int64)

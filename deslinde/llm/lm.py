@@ -21,13 +21,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from deslinde.llm import lexicon
-from deslinde.llm.common import column, ready, saved
+from deslinde.llm.common import column, discard, ready, saved
 from deslinde.llm.gru import Gru, class_borders
 
 _LOW = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _GAP = re.compile(rb"[ \t-\r]")
 END = b"\n"  # white space, so no word
-CHUNK_WORDS = 1 << 18
+CHUNK_WORDS = 1 << 19
 CHUNKS = "chunk long, doc_ids array<long>, held array<boolean>, lengths array<long>, words array<string>, counts array<long>, ids binary"
 NUMBERS = 1 << 12  # a looked-up value is count * NUMBERS + number in the model, 0 for the other words
 
@@ -208,7 +208,8 @@ def document_scores(
     held = F.expr(held_out) if isinstance(held_out, str) else held_out
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"), F.coalesce(held, F.lit(False)).alias("held"))
     chunks = saved(rows.mapInArrow(_chunked(chunk_words), CHUNKS), "chunks")
-    words = saved(lexicon.counted(chunks, []).where(F.col("n") > 0), "words")
+    totals = saved(lexicon.totalled(chunks.select("chunk", "words", "counts"), []).where(F.col("total") > 0), "totals")
+    words = totals.where("first").select("word", F.col("total").alias("n"))
     ends = chunks.select(F.explode("held").alias("held")).where(~F.col("held")).count()
     kinds, total = words.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     top = words.orderBy(F.desc("n"), "word").limit(settings.words).collect()
@@ -221,8 +222,11 @@ def document_scores(
     model = Gru(class_borders(counts, settings.classes), settings.hidden)
 
     numbers = spark.createDataFrame([(w, k + 1) for w, k in number.items() if w.strip()], "word string, number long")
-    values = words.join(numbers, "word", "left").select("word", (F.col("n") * NUMBERS + F.coalesce("number", F.lit(0))).alias("value"))
-    asked = saved(lexicon.looked_up(chunks, values, [], "value").select("chunk", "doc_ids", "held", "lengths", "ids", "known"), "asked")
+    value = F.col("total") * NUMBERS + F.coalesce("number", F.lit(0))
+    known = totals.join(numbers, "word", "left").groupBy("chunk").agg(F.collect_list(F.struct("pos", value.alias("value"))).alias("known"))
+    asked = saved(chunks.drop("words", "counts").join(known, "chunk", "left"), "asked")
+    discard(totals)
+    discard(chunks)
     flat = train(asked, model, model.start(counts), corpus, settings)
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return asked.mapInArrow(_scored(model, flat, corpus, settings), schema)
