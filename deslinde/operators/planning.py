@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from deslinde import constants as C
 from deslinde.functions import coords as M
 from deslinde.functions import geometry as G
+from deslinde.functions import intervals as I
 from deslinde.functions import text as T
 from deslinde.operators.dedup import first_per_key
 
@@ -225,42 +226,77 @@ def _near_box(e: Column, b: Column, reach: float) -> Column:
     side = F.transform(corners, lambda c: G._side(e["ax"], e["ay"], e["bx"], e["by"], c["x"], c["y"]))
     # corners on both sides of the line while the edge's own box meets the box: it passes through
     through = (around == 0) & (F.array_min(side) <= 0) & (F.array_max(side) >= 0)
-    by_corner = F.exists(corners, lambda c: G._edge_distance(e, c["x"], c["y"]) <= reach)
+    by_corner = F.exists(corners, lambda c: G.edge_distance(e, c["x"], c["y"]) <= reach)
     return (around <= reach) & (at_end | through | by_corner)
 
 
+def _edge_rows(e: DataFrame, size: float, reach: float) -> DataFrame:
+    """For every edge and row of cells around it: the columns certainly and possibly within ``reach`` (cod, e, r, a, b, pa, pb).
+
+    The edge is followed through the rows it passes, as a run of columns in each. A cell is certainly near if the farthest point
+    of a passed cell is, and possibly if the nearest point is; so a run is widened by a number that depends on the rows between.
+    """
+    half, steps = C.MERCATOR_HALF, int(reach // size) + 1
+    lo = lambda a, b: F.least(F.col(f"e.{a}"), F.col(f"e.{b}"))
+    hi = lambda a, b: F.greatest(F.col(f"e.{a}"), F.col(f"e.{b}"))
+    row_of = lambda y: F.floor((F.lit(half) - y) / size)
+    dx, dy = F.col("e.bx") - F.col("e.ax"), F.col("e.by") - F.col("e.ay")
+
+    def columns(r: Column) -> Column:
+        """First and last column that the edge passes in row ``r``."""
+        at = lambda y: F.when(dy == 0, F.col("e.ax")).otherwise(
+            F.least(hi("ax", "bx"), F.greatest(lo("ax", "bx"), F.col("e.ax") + (F.least(hi("ay", "by"), F.greatest(lo("ay", "by"), y)) - F.col("e.ay")) * dx / dy))
+        )
+        top, bottom = at(F.lit(half) - r * size), at(F.lit(half) - (r + 1) * size)
+        first, last = F.when(dy == 0, lo("ax", "bx")).otherwise(F.least(top, bottom)), F.when(dy == 0, hi("ax", "bx")).otherwise(F.greatest(top, bottom))
+        return F.struct(r.alias("r"), F.floor((first + half) / size).alias("a"), F.floor((last + half) / size).alias("b"))
+
+    passed = e.withColumn("_r0", row_of(hi("ay", "by"))).withColumn("_r1", row_of(lo("ay", "by")))
+    passed = passed.withColumn("_p", F.transform(F.sequence("_r0", "_r1"), columns))
+    rows = passed.withColumn("r", F.explode(F.sequence(F.col("_r0") - steps, F.col("_r1") + steps)))
+    at_hand = F.slice("_p", F.greatest(F.col("r") - steps - F.col("_r0"), F.lit(0)).cast("int") + 1, F.lit(2 * steps + 1))
+    at_hand = F.filter(at_hand, lambda p: F.abs(p["r"] - F.col("r")) <= steps)
+    k = reach / size
+    apart = lambda p: F.abs(p["r"] - F.col("r")).cast("double")
+    sure = lambda p: F.when(apart(p) <= k, F.floor(F.sqrt(F.lit(k * k) - apart(p) * apart(p))))
+    between = lambda p: F.greatest(apart(p) - 1, F.lit(0.0))
+    may = lambda p: F.when(between(p) <= k, F.floor(F.sqrt(F.lit(k * k) - between(p) * between(p))) + 1)
+    span = lambda by: (F.array_min(F.transform(at_hand, lambda p: p["a"] - by(p))), F.array_max(F.transform(at_hand, lambda p: p["b"] + by(p))))
+    (a, b), (pa, pb) = span(sure), span(may)
+    return rows.select("cod", "e", "r", a.alias("a"), b.alias("b"), pa.alias("pa"), pb.alias("pb"))
+
+
 def grid_cover(areas: DataFrame, buffer_m: float = C.GRID_BUFFER_M) -> DataFrame:
     """Cells (cod, scx, scy) within ``buffer_m`` of a Mercator polygon.
 
-    Worked from the edges, so a long boundary is shared out: an edge yields the cells near it,
-    and, per row of cells, the crossings between which cells lie inside.
+    Worked in runs of cells: boundaries are widened row by row, crossings of the rows' middle lines tell what lies inside,
+    and only cells of the outer ring, which no run is sure to reach, are measured against the edges that may reach them.
     """
-    size = M.TILE_M * C.CELL_TILES
-    half = C.MERCATOR_HALF
+    size, half = M.TILE_M * C.CELL_TILES, C.MERCATOR_HALF
     e = areas.select("cod", F.explode(G.all_edges(F.col("shell"), F.col("holes"))).alias("e"))
-    col_of = lambda x: F.floor((x + half) / size)
-    row_of = lambda y: F.floor((F.lit(half) - y) / size)
-    lo = lambda a, b: F.least(F.col(f"e.{a}"), F.col(f"e.{b}"))
-    hi = lambda a, b: F.greatest(F.col(f"e.{a}"), F.col(f"e.{b}"))
-    near = (
-        e.withColumn("c", F.explode(F.sequence(col_of(lo("ax", "bx") - buffer_m), col_of(hi("ax", "bx") + buffer_m))))
-        .withColumn("r", F.explode(F.sequence(row_of(hi("ay", "by") + buffer_m), row_of(lo("ay", "by") - buffer_m))))
-    )
-    left, top = F.col("c") * size - half, F.lit(half) - F.col("r") * size
-    box = F.struct(left.alias("minx"), (top - size).alias("miny"), (left + size).alias("maxx"), top.alias("maxy"))
-    near = near.withColumn("b", box).where(_near_box(F.col("e"), F.col("b"), buffer_m)).select("cod", "c", "r")
     # rows whose middle line the edge crosses: middle = half - (r + 0.5) * size
     mid = lambda y: (F.lit(half) - y) / size - 0.5
-    rows = F.sequence(F.floor(mid(hi("ay", "by"))) + 1, F.floor(mid(lo("ay", "by"))))
-    crossing = e.where(F.floor(mid(hi("ay", "by"))) + 1 <= F.floor(mid(lo("ay", "by")))).withColumn("r", F.explode(rows))
+    top, bottom = F.greatest("e.ay", "e.by"), F.least("e.ay", "e.by")
+    crossing = e.where(F.floor(mid(top)) + 1 <= F.floor(mid(bottom))).withColumn("r", F.explode(F.sequence(F.floor(mid(top)) + 1, F.floor(mid(bottom)))))
     y = F.lit(half) - (F.col("r") + 0.5) * size
     x = F.col("e.ax") + (y - F.col("e.ay")) * (F.col("e.bx") - F.col("e.ax")) / (F.col("e.by") - F.col("e.ay"))
     lines = crossing.select("cod", "r", x.alias("x")).groupBy("cod", "r").agg(F.sort_array(F.collect_list("x")).alias("xs"))
     spans = lines.withColumn("i", F.explode(F.sequence(F.lit(0), F.size("xs") - 2, F.lit(2))))
     first = F.ceil((F.col("xs")[F.col("i")] + half) / size - 0.5)
     last = F.floor((F.col("xs")[F.col("i") + 1] + half) / size - 0.5)
-    inside = spans.where(first <= last).withColumn("c", F.explode(F.sequence(first, last))).select("cod", "c", "r")
-    return near.unionByName(inside).distinct().select(
+    inside = spans.select("cod", "r", first.alias("a"), last.alias("b"))
+
+    around = _edge_rows(e, size, float(buffer_m))
+    sure = around.select("cod", "r", "a", "b").unionByName(inside).where("a <= b")
+    sure = sure.groupBy("cod", "r").agg(I.merged(F.array_sort(F.collect_set(I.interval(F.col("a"), F.col("b"))))).alias("_s"))
+    ring = around.join(sure, ["cod", "r"], "left")
+    ring = ring.select("cod", "e", "r", F.explode(I.pieces_left(F.col("pa"), F.col("pb"), F.coalesce("_s", I.none()))).alias("_p"))
+    ring = ring.withColumn("c", F.explode(F.sequence("_p.a", "_p.b")))
+    left, top = F.col("c") * size - half, F.lit(half) - F.col("r") * size
+    box = F.struct(left.alias("minx"), (top - size).alias("miny"), (left + size).alias("maxx"), top.alias("maxy"))
+    measured = ring.withColumn("b", box).where(_near_box(F.col("e"), F.col("b"), buffer_m)).select("cod", "c", "r").distinct()
+    cells = sure.select("cod", "r", F.explode("_s").alias("_s")).select("cod", F.explode(F.sequence("_s.a", "_s.b")).alias("c"), "r")
+    return cells.unionByName(measured).select(
         "cod", (F.col("c") * C.CELL_TILES).alias("scx"), (F.col("r") * C.CELL_TILES).alias("scy")
     )
 

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from deslinde import constants as C
 from deslinde.functions import coords as M
 from deslinde.functions import geometry as G
+from deslinde.functions import intervals as I
 from deslinde.operators.graph import connected_components
 from deslinde.session import cut
 
@@ -151,23 +152,6 @@ def _grown(border: DataFrame, steps: int, size: int) -> DataFrame:
     )
 
 
-def _pieces_left(x0: Column, x1: Column, holes: Column) -> Column:
-    """What sorted intervals (a, b) leave of [x0, x1]."""
-    empty = F.array().cast("array<struct<a:bigint,b:bigint>>")
-    start = F.struct(x0.alias("at"), empty.alias("out"))
-
-    def step(acc: Column, h: Column) -> Column:
-        piece = F.struct(acc["at"].alias("a"), (h["a"] - 1).alias("b"))
-        out = F.when(h["a"] > acc["at"], F.concat(acc["out"], F.array(piece))).otherwise(acc["out"])
-        return F.struct(F.greatest(acc["at"], h["b"] + 1).alias("at"), out.alias("out"))
-
-    inside = F.filter(holes, lambda h: (h["b"] >= x0) & (h["a"] <= x1))
-    tail = lambda acc: F.when(
-        acc["at"] <= x1, F.concat(acc["out"], F.array(F.struct(acc["at"].alias("a"), x1.alias("b"))))
-    ).otherwise(acc["out"])
-    return F.aggregate(inside, start, step, tail)
-
-
 def subtract_runs(fill: DataFrame, cut_out: DataFrame) -> DataFrame:
     """Fill runs (tile_x, y, x0, x1) without the intervals (tile_x, y, a, b).
 
@@ -175,8 +159,7 @@ def subtract_runs(fill: DataFrame, cut_out: DataFrame) -> DataFrame:
     """
     holes = cut_out.groupBy("tile_x", "y").agg(F.array_sort(F.collect_set(F.struct("a", "b"))).alias("_h"))
     joined = fill.join(holes, ["tile_x", "y"], "left")
-    none = F.array().cast("array<struct<a:bigint,b:bigint>>")
-    left = _pieces_left(F.col("x0"), F.col("x1"), F.coalesce(F.col("_h"), none))
+    left = I.pieces_left(F.col("x0"), F.col("x1"), F.coalesce(F.col("_h"), I.none()))
     return joined.select("tile_x", "y", F.explode(left).alias("_p")).select(
         "tile_x", "y", F.col("_p.a").alias("x0"), F.col("_p.b").alias("x1")
     )
