@@ -238,9 +238,11 @@ def failure_runs(spark, sf):
 @query("stall_gaps", """
     WITH m AS (SELECT *, max(counter) OVER (PARTITION BY worker ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before,
                       max(ts) OVER (PARTITION BY worker) AS last_ts FROM fx_progress),
-    u AS (SELECT *, lead(ts) OVER (PARTITION BY worker ORDER BY ts, event_id) AS next FROM m WHERE counter > coalesce(before, 0))
+    s AS (SELECT worker, counter, ts, event_id, last_ts FROM m WHERE counter > coalesce(before, 0)
+          UNION ALL SELECT worker, 0, min(ts), -1, max(ts) FROM fx_progress GROUP BY worker),
+    u AS (SELECT *, lead(ts) OVER (PARTITION BY worker ORDER BY ts, event_id) AS next FROM s)
     SELECT worker, counter, ts AS stalled_from, coalesce(next, last_ts) AS stalled_to, next IS NOT NULL AS closed FROM u
-    WHERE coalesce(next, last_ts) - ts >= INTERVAL 60 SECOND""", ["fx_progress"])
+    WHERE coalesce(next, last_ts) - ts > INTERVAL 60 SECOND""", ["fx_progress"])
 def stall_gaps(spark, sf):
     return O.stall_gaps(progress(spark, sf))
 

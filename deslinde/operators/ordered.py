@@ -8,6 +8,8 @@ as it fills; windows run inside a partition and a small table with one row per
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -65,10 +67,11 @@ def counter_increases(progress: DataFrame) -> DataFrame:
     return grown.drop("_before", "_carry")
 
 
-def stall_gaps(progress: DataFrame, seconds: int = C.STALL_SECONDS) -> DataFrame:
-    """Stretches of at least ``seconds`` in which a worker's counter did not grow.
+def stall_gaps(progress: DataFrame, seconds: int = C.STALL_SECONDS, until: datetime | None = None) -> DataFrame:
+    """Stretches of more than ``seconds`` in which a worker's counter did not grow: (worker, counter, stalled_from, stalled_to, closed).
 
-    A stall still open at the worker's last event ends there with ``closed`` false.
+    A worker begins at its first event with a counter of 0, so the wait before its first step counts as well. A stall that no
+    step ends goes on to the worker's last event, or to ``until`` where that is given, with ``closed`` false.
     """
     keys, order = ["worker"], ["ts", "event_id"]
     ups = cut(counter_increases(progress))
@@ -77,15 +80,14 @@ def stall_gaps(progress: DataFrame, seconds: int = C.STALL_SECONDS) -> DataFrame
     later = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(1, Window.unboundedFollowing)
     follow = starts.select(*keys, CHUNK, F.min("_s").over(later).alias("_next_start"))
     here = Window.partitionBy(CHUNK, *keys).orderBy(*order)
-    ends = progress.groupBy(*keys).agg(F.max("ts").alias("_last"))
-    stepped = ups.withColumn("_lead", F.lead("ts").over(here))
-    gaps = (
-        stepped.join(follow, [*keys, CHUNK]).withColumn("_next", F.coalesce("_lead", "_next_start"))
-        .join(ends, keys)
-        .select(
-            *keys, "counter", F.col("ts").alias("stalled_from"),
-            F.coalesce("_next", "_last").alias("stalled_to"), F.col("_next").isNotNull().alias("closed"),
-        )
+    stepped = ups.withColumn("_lead", F.lead("ts").over(here)).join(follow, [*keys, CHUNK])
+    stepped = stepped.select(*keys, "counter", "ts", F.coalesce("_lead", "_next_start").alias("_next"))
+    spans = progress.groupBy(*keys).agg(F.min("ts").alias("_first"), F.max("ts").alias("_last"))
+    waits = spans.join(starts.groupBy(*keys).agg(F.min("_s").alias("_next")), keys, "left")
+    waits = waits.select(*keys, F.lit(0).cast(ups.schema["counter"].dataType).alias("counter"), F.col("_first").alias("ts"), "_next")
+    end = F.col("_last") if until is None else F.lit(until).cast(progress.schema["ts"].dataType)
+    gaps = stepped.unionByName(waits).join(spans.drop("_first"), keys).select(
+        *keys, "counter", F.col("ts").alias("stalled_from"), F.coalesce("_next", end).alias("stalled_to"), F.col("_next").isNotNull().alias("closed"),
     )
     longest = F.make_dt_interval(secs=F.lit(float(seconds)))
-    return gaps.where(F.col("stalled_to") - F.col("stalled_from") >= longest)
+    return gaps.where(F.col("stalled_to") - F.col("stalled_from") > longest)
