@@ -36,14 +36,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
+# Shuffle files go as soon as the execution that made them ends.
+TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def saved(df: DataFrame, name: str, tidy: bool = False) -> DataFrame:
     """Write ``df`` as a table in the shared folder and go on from the written rows.
 
+    ``tidy`` removes the shuffle files of the write at once, where nothing else is computed from ``df``.
+
     Unlike a checkpoint, a written table is columnar and has a known size, so Spark
     can prune its columns and choose join strategies by measured bytes.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    spark = df.sparkSession
+    before = spark.conf.get(TIDY, "false")
+    spark.conf.set(TIDY, str(tidy).lower())
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(TIDY, before)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.scratch_path = path
     return out

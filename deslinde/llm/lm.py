@@ -27,7 +27,7 @@ from deslinde.llm.gru import Gru, class_borders
 _LOW = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _GAP = re.compile(rb"[ \t-\r]")
 END = b"\n"  # white space, so no word
-CHUNK_WORDS = 1 << 19
+CHUNK_WORDS = 1 << 18
 CHUNKS = "chunk long, doc_ids array<long>, held array<boolean>, lengths array<long>, words array<string>, counts array<long>, ids binary"
 NUMBERS = 1 << 12  # a looked-up value is count * NUMBERS + number in the model, 0 for the other words
 
@@ -208,7 +208,7 @@ def document_scores(
     held = F.expr(held_out) if isinstance(held_out, str) else held_out
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"), F.coalesce(held, F.lit(False)).alias("held"))
     chunks = saved(rows.mapInArrow(_chunked(chunk_words), CHUNKS), "chunks")
-    totals = saved(lexicon.totalled(chunks.select("chunk", "words", "counts"), []).where(F.col("total") > 0), "totals")
+    totals = saved(lexicon.totalled(chunks.select("chunk", "words", "counts"), []).where(F.col("total") > 0), "totals", tidy=True)
     words = totals.where("first").select("word", F.col("total").alias("n"))
     ends = chunks.select(F.explode("held").alias("held")).where(~F.col("held")).count()
     kinds, total = words.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
@@ -224,7 +224,7 @@ def document_scores(
     numbers = spark.createDataFrame([(w, k + 1) for w, k in number.items() if w.strip()], "word string, number long")
     value = F.col("total") * NUMBERS + F.coalesce("number", F.lit(0))
     known = totals.join(numbers, "word", "left").groupBy("chunk").agg(F.collect_list(F.struct("pos", value.alias("value"))).alias("known"))
-    asked = saved(chunks.drop("words", "counts").join(known, "chunk", "left"), "asked")
+    asked = saved(chunks.drop("words", "counts").join(known, "chunk", "left"), "asked", tidy=True)
     discard(totals)
     discard(chunks)
     flat = train(asked, model, model.start(counts), corpus, settings)
