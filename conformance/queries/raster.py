@@ -63,6 +63,66 @@ def g_simplify(spark, sf):
     )
 
 
+# broken in six ways; areas by hand, in squares of a micro-degree
+@query("g_make_valid", """
+    SELECT poly_idx, part, n_holes, round(area, 3)::DOUBLE AS area, k > 0 AS repaired FROM (
+        SELECT poly_idx, k, part, CASE WHEN k = 5 THEN 1 ELSE 0 END AS n_holes,
+               w * w * CASE k WHEN 1 THEN 0.25 WHEN 3 THEN 0.9375 WHEN 4 THEN CASE part WHEN 0 THEN 0.875 ELSE 0.125 END WHEN 5 THEN 0.875 ELSE 1 END AS area
+        FROM (SELECT poly_idx, poly_idx % 6 AS k, CAST(w_u AS DOUBLE) AS w FROM fx_polygons), (SELECT 0 AS part UNION ALL SELECT 1) p
+        WHERE part = 0 OR k IN (1, 4))""", ["fx_polygons"])
+def g_make_valid(spark, sf):
+    """Sound, bow tie, spike, hole along the border, hole over the border, two holes side by side."""
+    from deslinde.functions.validity import make_valid
+
+    x0, y0, w, k = F.col("x0_u"), F.col("y0_u"), F.col("w_u"), F.col("poly_idx") % 6
+    at = lambda *ps: F.array(*[F.struct((x0 + w * a).cast("double").alias("x"), (y0 + w * b).cast("double").alias("y")) for a, b in ps])
+    square = lambda a, b, s: at((a, b), (a + s, b), (a + s, b + s), (a, b + s), (a, b))
+    shell = F.when(k == 1, at((0, 0), (1, 1), (1, 0), (0, 1), (0, 0))).when(
+        k == 2, at((0, 0), (1, 0), (1, 1), (1, 2), (1, 1), (0, 1), (0, 0))).otherwise(square(0, 0, 1))
+    holes = F.when(k == 3, F.array(square(0, 0.25, 0.25))).when(k == 4, F.array(square(0.75, 0.25, 0.5))).when(
+        k == 5, F.array(square(0.25, 0.25, 0.25), square(0.5, 0.25, 0.25))).otherwise(G.no_holes())
+    made = make_valid(X.table(spark, sf, "fx_polygons").select("poly_idx", shell.alias("shell"), holes.alias("holes")))
+    return made.select("poly_idx", "part", F.size("holes").alias("n_holes"), F.round(G.area(F.col("shell"), F.col("holes")), 3).alias("area"), "repaired")
+
+
+# cells of one plane, 400 wide; the border between two has a vertex 3 or 30 micro-degrees off its middle
+X.add_table("fx_plane", """SELECT p_partkey AS poly_idx, p_partkey % 100 AS i, p_partkey // 100 AS j, p_partkey % 7 = 0 OR p_partkey % 7 = 1 AS orphan,
+    (SELECT max(p_partkey) // 100 FROM part) AS top FROM part WHERE p_partkey < (SELECT count(*) // 100 * 100 FROM part)""", ["part"])
+X.add_table("fx_plane_sides", """SELECT poly_idx, i, j, orphan, side, CASE side WHEN 'l' THEN i - 1 ELSE i END AS ei, CASE side WHEN 'b' THEN j - 1 ELSE j END AS ej,
+    CASE WHEN side IN ('l', 'r') THEN 0 ELSE 1 END AS across
+    FROM fx_plane, (SELECT 'l' AS side UNION ALL SELECT 'r' UNION ALL SELECT 'b' UNION ALL SELECT 't') s""", ["fx_plane"])
+
+
+@query("g_simplify_topology", """
+    WITH s AS (SELECT *, CASE WHEN across = 0 THEN (ei + ej + 10) % 3 = 0 ELSE (ei + 2 * ej + 10) % 4 = 0 END AS big, bool_and(orphan) OVER (PARTITION BY across, ei, ej) AS coarse FROM fx_plane_sides)
+    SELECT poly_idx, 5 + count(*) FILTER (WHERE big AND NOT coarse) AS n_points,
+           round(160000 + sum(CASE WHEN big AND NOT coarse THEN CASE WHEN side IN ('r', 't') THEN 6000 ELSE -6000 END ELSE 0 END), 1)::DOUBLE AS area, false AS unsound
+    FROM s GROUP BY poly_idx""", ["fx_plane_sides"])
+def g_simplify_topology(spark, sf):
+    """A plane of touching cells: both sides of a border keep or lose its vertex, by the finer tolerance of the two."""
+    from deslinde.functions.validity import unsound
+    from deslinde.operators.topology import simplify_topology
+
+    def corner(a, b):
+        return F.struct(((-70700000 + (F.col("i") + a) * 400) / 1e6).alias("x"), ((-33500000 + (F.col("j") + b) * 400) / 1e6).alias("y"))
+
+    def middle(ei, ej, across):
+        off = F.when((ei + ej + 10) % 3 == 0, 30).otherwise(3) if not across else F.when((ei + 2 * ej + 10) % 4 == 0, 30).otherwise(3)
+        x, y = (ei + 1) * 400 + off if not across else ei * 400 + 200, ej * 400 + 200 if not across else (ej + 1) * 400 + off
+        return F.struct(((-70700000 + x) / 1e6).alias("x"), ((-33500000 + y) / 1e6).alias("y"))
+
+    i, j = F.col("i"), F.col("j")
+    ring = F.array(corner(0, 0), middle(i, j - 1, True), corner(1, 0), middle(i, j, False), corner(1, 1), middle(i, j, True), corner(0, 1), middle(i - 1, j, False), corner(0, 0))
+    rows = X.table(spark, sf, "fx_plane").select(
+        F.lit(1).alias("comuna"), "poly_idx", ring.alias("shell"), G.no_holes().alias("holes"), F.when(F.col("orphan"), "unmatched_polygon").alias("match_method"),
+    )
+    thin = simplify_topology(rows)
+    return thin.select(
+        "poly_idx", F.size("shell").alias("n_points"), F.round(G.ring_area(F.col("shell")) * 1e12, 1).alias("area"),
+        unsound(F.col("shell"), F.col("holes")).alias("unsound"),
+    )
+
+
 # --- pixels -----------------------------------------------------------------------------------
 SIZE = 16
 X.add_table("fx_pixels", """
