@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -84,19 +85,6 @@ def looked_up(chunks: DataFrame, words: DataFrame, keys: list[str], value: str)
     return chunks.drop("words", "counts").join(known, "chunk", "left")
 
 
-def totalled(chunks: DataFrame, keys: list[str]) -> DataFrame:
-    """(chunk, pos, keys, word, total, first): every different word of every chunk with its count over all chunks.
-
-    One shuffle by word serves both the counts and their way back; ``first`` marks one row of each word.
-    """
-    rows = chunks.select("chunk", *keys, F.posexplode(F.arrays_zip("words", "counts")).alias("pos", "_w"))
-    rows = rows.select("chunk", "pos", *keys, F.col("_w.words").alias("word"), F.col("_w.counts").alias("n"))
-    same = Window.partitionBy(*keys, "word")
-    return rows.select(
-        "chunk", "pos", *keys, "word", F.sum("n").over(same).alias("total"), (F.row_number().over(same.orderBy("chunk")) == 1).alias("first"),
-    )
-
-
 def values_of(known: pa.Scalar, size: int) -> np.ndarray:
     """Value by number in the chunk (0 for number 0 and for words that aren't known)."""
     out = np.zeros(size, np.int64)
@@ -104,3 +92,107 @@ def values_of(known: pa.Scalar, size: int) -> np.ndarray:
         pairs = known.values
         out[pairs.field("pos").to_numpy(zero_copy_only=False) + 1] = pairs.field("value").to_numpy(zero_copy_only=False)
     return out
+
+
+# --- packed word lists --------------------------------------------------------------------------
+#
+# Where most words of a chunk have to be counted, its words travel as compressed lists, one for each bucket of hashed
+# words, and the counts over all chunks come back in the order of the lists.
+
+
+def squeezed(data: bytes) -> bytes:
+    return len(data).to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True)
+
+
+def unsqueezed(data: bytes) -> bytes:
+    return pa.decompress(data[8:], int.from_bytes(data[:8], "little"), "zstd", asbytes=True)
+
+
+def _small(counts: np.ndarray) -> bytes:
+    """Counts as a byte each, 255 pointing to a whole number behind."""
+    return np.minimum(counts, 255).astype(np.uint8).tobytes() + counts[counts >= 255].astype("<i8").tobytes()
+
+
+def _counts(data: bytes, n: int) -> np.ndarray:
+    counts = np.frombuffer(data, np.uint8, n).astype(np.int64)
+    counts[counts == 255] = np.frombuffer(data[n:], "<i8")
+    return counts
+
+
+def buckets_of(words: list[bytes], buckets: int) -> np.ndarray:
+    return np.fromiter((zlib.crc32(w) % buckets for w in words), np.uint16, len(words))
+
+
+def packed_lists(words: list[bytes], counts: np.ndarray, place: np.ndarray) -> list[tuple[int, bytes]]:
+    """(bucket, list) of the words, none of which holds a line end, with their counts, in the order of `order_of`."""
+    order = order_of(place)
+    edges = np.flatnonzero(np.diff(place[order].astype(np.int64), prepend=-1))
+    out = []
+    for a, b in zip(edges, np.append(edges[1:], len(order))):
+        mine = order[a:b]
+        out.append((int(place[mine[0]]), squeezed(len(mine).to_bytes(4, "little") + _small(counts[mine]) + b"\n" + b"\n".join([words[k] for k in mine]))))
+    return out
+
+
+def order_of(place: np.ndarray) -> np.ndarray:
+    """The places of words in the lists of all buckets, one list after the other."""
+    return np.argsort(place, kind="stable")
+
+
+def _unpacked_list(data: bytes) -> tuple[list[bytes], np.ndarray]:
+    raw = unsqueezed(data)
+    n = int.from_bytes(raw[:4], "little")
+    end = 4 + n + 8 * int((np.frombuffer(raw, np.uint8, n, 4) == 255).sum())
+    return raw[end + 1 :].split(b"\n"), _counts(raw[4:end], n)
+
+
+def _bucket_totals(table: pa.Table) -> tuple[list[int], np.ndarray, np.ndarray, pa.Array, np.ndarray]:
+    """Of one bucket: entries of each list, the word of every entry, its own count, the different words and their totals."""
+    lists = [_unpacked_list(x.as_py()) for x in table["list"]]
+    sizes = [len(w) for w, _ in lists]
+    coded = pa.concat_arrays([pa.array(w, pa.large_binary()) for w, _ in lists]).dictionary_encode()
+    word, own = coded.indices.to_numpy(), np.concatenate([c for _, c in lists])
+    totals = np.zeros(len(coded.dictionary), np.int64)
+    np.add.at(totals, word, own)
+    return sizes, word, own, coded.dictionary, totals
+
+
+def bucket_words(lists: DataFrame, most: int) -> DataFrame:
+    """(word, n) of the ``most`` most frequent words of every bucket, and in a row without a word (kinds, n): all that occur."""
+
+    def run(table: pa.Table) -> pa.Table:
+        _, _, _, words, totals = _bucket_totals(table)
+        few = np.flatnonzero(totals)
+        kinds, total = len(few), int(totals.sum())
+        few = few[np.argsort(-totals[few], kind="stable")]
+        if len(few) > most:  # with ties, so that the choice among them is not made here
+            few = few[totals[few] >= totals[few[most - 1]]]
+        return pa.table({
+            "word": pa.array([None, *(w.as_py() for w in words.take(pa.array(few)))], pa.binary()).cast(pa.string()),
+            "n": pa.array([total, *totals[few]], pa.int64()), "kinds": pa.array([kinds, *[0] * len(few)], pa.int64()),
+        })
+
+    return lists.groupBy("bucket").applyInArrow(run, "word string, n long, kinds long")
+
+
+def bucket_replies(lists: DataFrame, numbers: dict[bytes, int], width: int) -> DataFrame:
+    """(chunk, bucket, reply): for every list the values total * ``width`` + number (0 for words without one) in its order."""
+
+    def run(table: pa.Table) -> pa.Table:
+        sizes, word, _, words, totals = _bucket_totals(table)
+        named = np.fromiter((numbers.get(w, 0) for w in words.to_pylist()), np.int64, len(words))
+        values = (totals * width + named)[word].astype("<i8")
+        ends = np.cumsum([0, *sizes])
+        replies = [squeezed(values[a:b].tobytes()) for a, b in zip(ends, ends[1:])]
+        return pa.table({"chunk": table["chunk"], "bucket": table["bucket"], "reply": pa.array(replies, pa.binary())})
+
+    return lists.groupBy("bucket").applyInArrow(run, "chunk long, bucket int, reply binary")
+
+
+def replied(replies: pa.Scalar, place: np.ndarray) -> np.ndarray:
+    """Values by number in the chunk, 0 for number 0."""
+    out = np.zeros(len(place) + 1, np.int64)
+    if len(place):
+        rows = sorted((r["bucket"], r["reply"]) for r in replies.as_py())
+        out[order_of(place) + 1] = np.concatenate([np.frombuffer(unsqueezed(r), "<i8") for _, r in rows])
+    return out

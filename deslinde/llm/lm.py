@@ -28,7 +28,7 @@ _LOW = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _GAP = re.compile(rb"[ \t-\r]")
 END = b"\n"  # white space, so no word
 CHUNK_WORDS = 1 << 18
-CHUNKS = "chunk long, doc_ids array<long>, held array<boolean>, lengths array<long>, words array<string>, counts array<long>, ids binary"
+CHUNKS = "chunk long, doc_ids array<long>, held array<boolean>, lengths array<long>, place binary, ids binary, bucket int, list binary"
 NUMBERS = 1 << 12  # a looked-up value is count * NUMBERS + number in the model, 0 for the other words
 
 
@@ -43,30 +43,32 @@ class Settings:
     shares: tuple[float, ...] = (1 / 16, 1 / 4, 1.0)  # of the chunks that have been read after each round
 
 
-def _chunked(limit: int):
-    """Whole documents in chunks of at least ``limit`` words, the last one fewer; an end follows each document."""
+def _chunked(limit: int, buckets: int):
+    """Whole documents in chunks of at least ``limit`` words, the last one fewer: a row of word numbers, with an end after
+    each document, and a row for each bucket with the chunk's different words there and their training counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, made = TaskContext.get().partitionId(), 0
         numbers, ids, docs = lexicon.Numbering(END), [], []
 
-        def row() -> pa.RecordBatch:
+        def rows() -> pa.RecordBatch:
             nonlocal numbers, ids, docs, made
             made += 1
             every, lengths = np.concatenate(ids), [d[2] for d in docs]
             training = np.repeat([not d[1] for d in docs], lengths)
             counts = np.bincount(every[training], minlength=len(numbers))[1:]
-            words = pa.array(list(numbers)[1:], pa.binary()).cast(pa.string())
-            lists = [
-                pa.array([d[0] for d in docs], pa.int64()), pa.array([d[1] for d in docs], pa.bool_()), pa.array(lengths, pa.int64()),
-                words, pa.array(counts.astype(np.int64)),
-            ]
+            words = list(numbers)[1:]
+            place = lexicon.buckets_of(words, buckets)
+            lists = lexicon.packed_lists(words, counts, place)
+            none = [None] * len(lists)
             out = pa.RecordBatch.from_arrays(
                 [
-                    pa.array([part << 32 | made]), *(pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists),
-                    pa.array([lexicon.packed_ids(every)], pa.binary()),
+                    pa.array([part << 32 | made] * (1 + len(lists)), pa.int64()), pa.array([[d[0] for d in docs], *none], pa.list_(pa.int64())),
+                    pa.array([[d[1] for d in docs], *none], pa.list_(pa.bool_())), pa.array([lengths, *none], pa.list_(pa.int64())),
+                    pa.array([lexicon.squeezed(place.tobytes()), *none], pa.binary()), pa.array([lexicon.squeezed(lexicon.packed_ids(every)), *none], pa.binary()),
+                    pa.array([None, *(k for k, _ in lists)], pa.int32()), pa.array([None, *(x for _, x in lists)], pa.binary()),
                 ],
-                ["chunk", "doc_ids", "held", "lengths", "words", "counts", "ids"],
+                ["chunk", "doc_ids", "held", "lengths", "place", "ids", "bucket", "list"],
             )
             numbers, ids, docs = lexicon.Numbering(END), [], []
             return out
@@ -82,10 +84,10 @@ def _chunked(limit: int):
                 docs.append((doc, out_of, n))
                 held += n
                 if held >= limit:
-                    yield row()
+                    yield rows()
                     held = 0
         if docs:
-            yield row()
+            yield rows()
 
     return run
 
@@ -107,8 +109,8 @@ class Chunk:
     """Counts and model numbers of the tokens of one chunk."""
 
     def __init__(self, batch: pa.RecordBatch, k: int, corpus: Corpus):
-        ids = lexicon.unpacked_ids(column(batch, "ids")[k].as_buffer().to_pybytes())
-        values = lexicon.values_of(column(batch, "known")[k], int(ids.max(initial=0)) + 1)
+        ids = lexicon.unpacked_ids(lexicon.unsqueezed(column(batch, "ids")[k].as_py()))
+        values = lexicon.replied(column(batch, "replies")[k], np.frombuffer(lexicon.unsqueezed(column(batch, "place")[k].as_py()), np.uint16))
         counts, number = values // NUMBERS, values % NUMBERS - 1
         number[number < 0] = corpus.other
         counts[0], number[0] = corpus.ends, corpus.end
@@ -207,12 +209,13 @@ def document_scores(
     spark = ready(docs.sparkSession)
     held = F.expr(held_out) if isinstance(held_out, str) else held_out
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"), F.coalesce(held, F.lit(False)).alias("held"))
-    chunks = saved(rows.mapInArrow(_chunked(chunk_words), CHUNKS), "chunks")
-    totals = saved(lexicon.totalled(chunks.select("chunk", "words", "counts"), []).where(F.col("total") > 0), "totals", tidy=True)
-    words = totals.where("first").select("word", F.col("total").alias("n"))
-    ends = chunks.select(F.explode("held").alias("held")).where(~F.col("held")).count()
-    kinds, total = words.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
-    top = words.orderBy(F.desc("n"), "word").limit(settings.words).collect()
+    buckets = min(1 << 16, max(64, 4 * rows.rdd.getNumPartitions()))
+    chunks = saved(rows.mapInArrow(_chunked(chunk_words, buckets), CHUNKS), "chunks")
+    lists = chunks.where("bucket is not null").select("chunk", "bucket", "list")
+    words = saved(lexicon.bucket_words(lists, settings.words), "words", tidy=True)
+    ends = chunks.where("held is not null").select(F.explode("held").alias("held")).where(~F.col("held")).count()
+    kinds, total = words.where("word is null").agg(F.coalesce(F.sum("kinds"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    top = words.where("word is not null").orderBy(F.desc("n"), "word").limit(settings.words).collect()
     known = sum(r["n"] for r in top)
     # model numbers by falling count; the end and the entry of all other words are among them
     entries = sorted([(-r["n"], r["word"]) for r in top] + [(-ends, END.decode()), (known - total, "")])
@@ -221,11 +224,10 @@ def document_scores(
     counts = np.array([-n for n, _ in entries], np.float64)
     model = Gru(class_borders(counts, settings.classes), settings.hidden)
 
-    numbers = spark.createDataFrame([(w, k + 1) for w, k in number.items() if w.strip()], "word string, number long")
-    value = F.col("total") * NUMBERS + F.coalesce("number", F.lit(0))
-    known = totals.join(numbers, "word", "left").groupBy("chunk").agg(F.collect_list(F.struct("pos", value.alias("value"))).alias("known"))
-    asked = saved(chunks.drop("words", "counts").join(known, "chunk", "left"), "asked", tidy=True)
-    discard(totals)
+    numbers = {w.encode(): k + 1 for w, k in number.items() if w.strip()}
+    replies = lexicon.bucket_replies(lists, numbers, NUMBERS).groupBy("chunk").agg(F.collect_list(F.struct("bucket", "reply")).alias("replies"))
+    texts = chunks.where("ids is not null").drop("bucket", "list")
+    asked = saved(texts.join(replies, "chunk", "left"), "asked", tidy=True)
     discard(chunks)
     flat = train(asked, model, model.start(counts), corpus, settings)
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
