@@ -11,7 +11,7 @@ from deslinde.functions import geometry as G
 from deslinde.operators import dedup, enrich
 from deslinde.operators import planning as L
 from deslinde.session import scratch_path
-from deslinde.sources import roll, sinks
+from deslinde.sources import checked, publish, roll, sinks
 from deslinde.sources import tables as R
 
 S = lambda e: f"CAST({e} AS STRING)"
@@ -283,6 +283,54 @@ def scan_json_lenient(spark, sf):
     return count(bad, "bad").unionByName(count(good, "good"))
 
 
+@query("scan_csv_checked", """SELECT CASE ok % 17 WHEN 0 THEN 'too many fields' WHEN 1 THEN 'too few fields' END AS reason, CASE WHEN ok % 17 > 1 THEN ok END AS ok,
+    CASE WHEN ok % 17 <= 1 THEN ok END AS line_ok, CASE WHEN ok % 9 <> 0 AND ok % 17 > 1 THEN round(y_u / 1e6, 6) END AS lat,
+    (SELECT count(*) FILTER (WHERE ok % 17 > 1) || ' ' || count(*) FILTER (WHERE ok % 17 = 0) || ' ' || count(*) FILTER (WHERE ok % 17 = 1) FROM fx_parcels) AS counts FROM fx_parcels""", ["fx_parcels"])
+def scan_csv_checked(spark, sf):
+    """One pass: rows, the lines that are none with their reason, and the counts of each."""
+    path = scratch_path(spark, "checked")
+    lat = F.when(F.col("ok") % 9 == 0, F.lit("95.0")).otherwise(F.coalesce(F.col("lat").cast("string"), F.lit("")))
+    whole = F.concat_ws(",", F.col("ok").cast("string"), lat, F.coalesce(F.col("lon").cast("string"), F.lit("")))
+    line = F.when(F.col("ok") % 17 == 0, F.concat(whole, F.lit(",broken"))).when(F.col("ok") % 17 == 1, F.concat_ws(",", F.col("ok").cast("string"), lat)).otherwise(whole)
+    X.parcels(spark, sf).select(line.alias("value")).write.text(path)
+    split = checked.split_checked(checked.read_csv_checked(spark, path, ["ok", "lat", "lon"], header=False), scratch_path(spark, "split"))
+    counts = F.lit(" ".join(str(split.counts[k]) for k in ("good", "too many fields", "too few fields"))).alias("counts")
+    none = F.lit(None)
+    good = split.good.select(none.cast("string").alias("reason"), F.col("ok").cast("bigint").alias("ok"), none.cast("bigint").alias("line_ok"), F.round("_lat", 6).alias("lat"), counts)
+    bad = split.rejected.select(F.col("_reason").alias("reason"), none.cast("bigint").alias("ok"), F.substring_index("_line", ",", 1).cast("bigint").alias("line_ok"), none.cast("double").alias("lat"), counts)
+    return good.unionByName(bad)
+
+
+@query("scan_json_checked", """SELECT CASE WHEN ok % 19 = 0 THEN 'not json' END AS reason, md5(json) AS text FROM fx_answers
+    UNION ALL SELECT 'empty', md5('') FROM fx_answers WHERE ok % 100 = 1""", ["fx_answers"])
+def scan_json_checked(spark, sf):
+    """Answers and rejects of one scan, each text once."""
+    path = scratch_path(spark, "answers")
+    rows = X.table(spark, sf, "fx_answers")
+    rows.select(F.col("json").alias("value")).unionByName(rows.where("ok % 100 = 1").select(F.lit("").alias("value"))).write.text(path)
+    split = checked.split_checked(checked.read_answers_checked(spark, path, whole_files=False), scratch_path(spark, "split"))
+    return split.good.select(F.lit(None).cast("string").alias("reason"), F.md5("json").alias("text")).unionByName(
+        split.rejected.select(F.col("_reason").alias("reason"), F.md5("_line").alias("text")))
+
+
+@query("publish_product", """SELECT 'new' AS run, comuna, poly_idx FROM fx_polygons UNION ALL SELECT 'old', comuna, poly_idx FROM fx_polygons WHERE poly_idx % 2 = 0""", ["fx_polygons"])
+def publish_product(spark, sf):
+    """Two finished runs and one that fails in between; each reads back as it was published."""
+    folder = scratch_path(spark, "published")
+    rows = X.polygons(spark, sf)
+    order = {"geometry": ["comuna", "poly_idx"]}
+    old = publish.publish(spark, {"geometry": rows.where("poly_idx % 2 = 0")}, folder, order)
+    lost = rows.withColumn("poly_idx", F.expr("if(poly_idx > 0, raise_error('lost'), poly_idx)"))
+    try:
+        publish.publish(spark, {"geometry": lost}, folder, order)
+    except Exception as error:
+        assert "lost" in str(error)
+    assert publish.manifest(spark, folder).where("path not like '%" + old + "%'").isEmpty()
+    publish.publish(spark, {"geometry": rows}, folder, order)
+    back = lambda run, name: publish.read_published(spark, folder, "geometry", run).select(F.lit(name).alias("run"), "comuna", "poly_idx")
+    return back(None, "new").unionByName(back(old, "old"))
+
+
 @query("scan_polygons", """SELECT poly_idx, comuna, CAST(round((w_u * w_u - CASE WHEN has_hole THEN 1600 ELSE 0 END) * 0.012321, 4) AS DOUBLE) AS area_m2,
     CAST(has_hole AS INT) AS n_holes FROM fx_polygons UNION ALL
     SELECT poly_idx + 1000000, comuna, CAST(round(w_u * w_u * 0.012321, 4) AS DOUBLE), 0 FROM fx_polygons""", ["fx_polygons"])

@@ -13,12 +13,14 @@ from deslinde.session import cut
 
 
 def write_pipe_csv(df: DataFrame, path: str) -> None:
-    """Pipe-separated text, one folder per commune."""
-    df.write.mode("overwrite").partitionBy("comuna").option("header", True).option("sep", "|").csv(path)
+    """Pipe-separated text, one folder per commune; a commune's rows come from few tasks, so it has few files."""
+    ranged = df.repartitionByRange("comuna", *[c for c in ("manzana", "predio") if c in df.columns])
+    ranged.write.mode("overwrite").partitionBy("comuna").option("header", True).option("sep", "|").csv(path)
 
 
 def write_quoted_csv(df: DataFrame, path: str, mode: str = "append") -> None:
-    df.write.mode(mode).partitionBy("comuna").option("header", True).option("quoteAll", True).csv(path)
+    ranged = df.repartitionByRange("comuna", *[c for c in ("manzana", "predio") if c in df.columns])
+    ranged.write.mode(mode).partitionBy("comuna").option("header", True).option("quoteAll", True).csv(path)
 
 
 def write_geometry(df: DataFrame, path: str, rows_per_file: int = 2_000_000) -> None:
