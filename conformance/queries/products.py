@@ -6,12 +6,16 @@ from pyspark.sql import functions as F
 
 from conformance import fixtures as X
 from conformance.queries.matching import INSIDE
+from conformance.queries.raster import BIG, INNER, SIZE, component_sql
+from conformance.queries.raster import tiles as pixel_tiles
 from conformance.queries.tables import registry
 from conformance.registry import query
 from deslinde import constants as C
+from deslinde.functions import coords as M
 from deslinde.operators import enrich as E
 from deslinde.operators import metrics as A
 from deslinde.operators import planning as L
+from deslinde.operators import raster as R8
 from deslinde.plans import product as D
 from deslinde.session import cut, scratch_path
 from deslinde.sources import tables as R
@@ -139,3 +143,23 @@ def layer_names(spark, sf):
 def distinct_names(spark, sf):
     name = F.when(F.col("address").isNotNull(), F.concat(F.lit("C"), F.col("manzana")))
     return A.distinct_names(X.parcels(spark, sf).withColumn("comuna_nombre", name))
+
+
+@query("product_tiles", component_sql(INNER) + f""", fx_kept AS (SELECT label, cls, a, row_number() OVER (ORDER BY cls <> 'urban', label) - 1 AS poly_idx FROM {BIG}),
+    fx_runs_in AS (SELECT label, count(*) AS runs FROM fx_labelled GROUP BY label)
+    SELECT poly_idx, CASE cls WHEN 'urban' THEN 'urban' ELSE 'agri' END AS layer, runs AS parcels FROM fx_kept JOIN fx_runs_in USING (label)""", ["fx_pixels"])
+def product_tiles(spark, sf):
+    """Rasters to product: a parcel in the middle of every run of interior pixels lies in the polygon of its region."""
+    east, south = 38000, 75000  # tiles of 320 metres, so that the plane lies where coordinates are accepted
+    plane = pixel_tiles(spark, sf).withColumn("comuna", F.lit(13101)).withColumn("tx", F.col("tx") + east).withColumn("ty", F.col("ty") + south)
+    layer = cut(D.layer_from_tiles(plane, SIZE, 20.0))
+    runs = R8.interior_runs(R8.pixel_runs(pixel_tiles(spark, sf)), SIZE)
+    parcels = runs.select(
+        F.lit(13101).alias("comuna"), F.lpad(F.col("y").cast("string"), 5, "0").alias("manzana"), F.lpad(F.col("x0").cast("string"), 5, "0").alias("predio"),
+        M.lon_of((F.col("x0") + F.col("x1") + 1) * 10.0 + east * 320.0 - C.MERCATOR_HALF).alias("lon"),
+        M.lat_of(F.lit(C.MERCATOR_HALF) - (F.col("y") + 0.5) * 20.0 - south * 320.0).alias("lat"),
+        F.lit(None).cast("string").alias("direccion_sii"),
+    )
+    whole = D.product_v3(parcels, layer)
+    inside = whole.where("match_method = 'point_in_polygon'").groupBy("comuna", "poly_idx").agg(F.count("*").alias("parcels"))
+    return inside.join(layer.select("comuna", "poly_idx", "layer"), ["comuna", "poly_idx"]).select("poly_idx", "layer", "parcels")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from deslinde import constants as C
@@ -73,6 +73,18 @@ def overlap_dedup(urban: DataFrame, agri: DataFrame, limit: float = C.OVERLAP_DR
     return urban.withColumn("layer", F.lit("urban")).unionByName(kept.withColumn("layer", F.lit("agri")))
 
 
+def joint_index(layers: DataFrame) -> DataFrame:
+    """Rows (layer, comuna, poly_idx, ...) under one index a commune: urban polygons from 0 in their order, then the others.
+
+    Only keys are sorted; shapes are joined by them.
+    """
+    keys = layers.select("comuna", "layer", F.col("poly_idx").alias("_old"))
+    order = Window.partitionBy("comuna").orderBy(F.col("layer") != "urban", "layer", "_old")
+    keys = keys.withColumn("_new", (F.row_number().over(order) - 1).cast(layers.schema["poly_idx"].dataType))
+    joined = layers.withColumnRenamed("poly_idx", "_old").join(keys, ["comuna", "layer", "_old"])
+    return joined.drop("_old").withColumnRenamed("_new", "poly_idx")
+
+
 def overlap_used(placed: DataFrame, polygons: DataFrame, limit: float = C.OVERLAP_USED) -> DataFrame:
     """Polygons that a placed shape, by its centroid, fills by more than ``limit``: (comuna, poly_idx).
 

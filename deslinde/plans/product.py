@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ from deslinde.operators import enrich as E
 from deslinde.operators import inherit as I
 from deslinde.operators import metrics as A
 from deslinde.operators import overlap as V
+from deslinde.operators import raster
 from deslinde.operators.dedup import first_per_key
 from deslinde.plans import cascade as P
 from deslinde.session import cut
@@ -43,11 +46,28 @@ def merged(answers: DataFrame, registry: DataFrame | None, order: list[str | Col
     return cut(I.fill_from_address_donors(rows, [c for c in DONATED if c in rows.columns], P.ORDER).drop("addr"))
 
 
+def _on_key(left: DataFrame, right: DataFrame, how: str = "left") -> DataFrame:
+    """Join by key; a null part is a value like any other, so no row is lost to it."""
+    named = right.withColumnsRenamed({k: "_" + k for k in P.KEY})
+    same = reduce(lambda a, b: a & b, [left[k].eqNullSafe(named["_" + k]) for k in P.KEY])
+    return left.join(named, same, how).drop(*["_" + k for k in P.KEY])
+
+
 def _finished(placed: DataFrame, rows: DataFrame, polygons: DataFrame, registry: DataFrame | None) -> DataFrame:
-    """Placed keys with attributes and shapes, then the polygons nobody has, then what only the registry has."""
-    whole = P.attach_geometry(placed.select(*P.KEY, *P.RESULT), polygons).join(rows, P.KEY)
-    whole = P.append_orphans(whole, polygons)
-    return whole if registry is None else E.append_registry_only(whole, registry)
+    """Placed keys with attributes, the polygons nobody has, what only the registry has; shapes come last.
+
+    Orphans and registry-only rows are found from keys alone, and only rows that have a polygon shuffle with shapes.
+    """
+    placed = cut(placed.select(*P.KEY, *P.RESULT))
+    has = F.col("poly_idx").isNotNull()
+    used = placed.where(has).select("comuna", "poly_idx").distinct()
+    orphans = polygons.select("comuna", "poly_idx").join(used, ["comuna", "poly_idx"], "left_anti").withColumn("match_method", F.lit("unmatched_polygon"))
+    drawn = _on_key(rows, placed.where(has), "inner").unionByName(orphans, allowMissingColumns=True)
+    whole = P.attach_geometry(drawn, polygons).unionByName(_on_key(rows, placed.where(~has), "inner"), allowMissingColumns=True)
+    if registry is None:
+        return whole
+    extra = E.registry_only(rows.select(*P.KEY), registry).withColumn("comuna", F.col("comuna").cast(rows.schema["comuna"].dataType))
+    return whole.unionByName(extra.select(*[c for c in extra.columns if c in whole.columns]), allowMissingColumns=True)
 
 
 def product_v3(
@@ -62,10 +82,28 @@ def product_v3(
     rows = merged(answers, registry, list(order))
     matched = P.match_cascade_v3(rows, polygons)
     utm = rows.select(*P.KEY, *[F.col(c) if c in rows.columns else F.lit(None).cast("string").alias(c) for c in UTM])
-    recovered = P.recover(matched.join(utm, P.KEY), polygons, reads)
+    recovered = P.recover(_on_key(matched, utm), polygons, reads)
     return V.simplify_layer(_finished(recovered, rows, polygons, registry))
 
 
+def layer_from_tiles(tiles: DataFrame, size: int, pixel_m: float, **limits) -> DataFrame:
+    """Polygons (comuna, poly_idx, shell, holes, layer) of the tiles (comuna, tx, ty, size, rgba), as the product takes them.
+
+    Agricultural polygons that urban ones cover for the most part go; the rest get one index, urban ones first.
+    """
+    made = cut(raster.vectorize_layers(tiles, size, pixel_m, **limits).select("comuna", "poly_idx", "cls", "shell", "holes"))
+    urban, agri = (made.where(F.col("cls") == c).drop("cls") for c in ("urban", "agri"))
+    return V.joint_index(V.overlap_dedup(urban, agri))
+
+
+def product_from_tiles(
+    tiles: DataFrame, answers: DataFrame, registry: DataFrame | None = None, order: list[str | Column] = ("predio",),
+    size: int = 1024, pixel_m: float = raster.PIXEL_M, reads: DataFrame | None = None, **limits,
+) -> DataFrame:
+    """Tiles and answers to the current product: vectorised layers, overlap, joint index, then `product_v3`."""
+    return product_v3(answers, cut(layer_from_tiles(tiles, size, pixel_m, **limits)), registry, order, reads)
+
+
 def product_v1(
     answers: DataFrame, polygons: DataFrame, registry: DataFrame | None = None, order: list[str | Column] = ("predio",),
     anchors: DataFrame | None = None,
