@@ -18,6 +18,12 @@ def class_borders(counts: np.ndarray, classes: int) -> np.ndarray:
     return np.unique(np.concatenate([[0], np.maximum(cut, 1), [len(counts)]]))
 
 
+def _tame(scores: np.ndarray) -> None:
+    """Lower the scores of each row so that none overflows; most never could, and are left."""
+    if len(scores) and (scores.max() > 60 or scores.min() < -60):
+        scores -= scores.max(axis=1, keepdims=True)
+
+
 class Gru:
     """Parameters of the model and of its optimiser as one flat vector each."""
 
@@ -58,15 +64,24 @@ class Gru:
         """
         h = self.hidden
         reads, out = p["reads"][words], np.empty((*words.shape, h), np.float32)
-        now = state
+        ends, now = words == end, state
+        starting = ends.any(axis=1)
         for t in range(len(words)):
-            before = np.where((words[t] == end)[:, None], np.float32(0), now)
+            before = np.where(ends[t][:, None], np.float32(0), now) if starting[t] else now
             turned = before @ p["turns"]
-            gates = 1 / (1 + np.exp(-(reads[t, :, : 2 * h] + turned[:, : 2 * h])))
+            gates = reads[t, :, : 2 * h] + turned[:, : 2 * h]
+            np.negative(gates, out=gates)
+            np.exp(gates, out=gates)
+            gates += 1
+            np.reciprocal(gates, out=gates)
             z, r = gates[:, :h], gates[:, h:]
-            new = np.tanh(reads[t, :, 2 * h :] + r * turned[:, 2 * h :])
-            now = new + z * (before - new)
-            out[t] = now
+            new = r * turned[:, 2 * h :]
+            new += reads[t, :, 2 * h :]
+            np.tanh(new, out=new)
+            now = out[t]
+            np.subtract(before, new, out=now)
+            now *= z
+            now += new
             if keep is not None:
                 keep.append((before, z, r, new, turned[:, 2 * h :]))
         state[:] = now
@@ -77,7 +92,7 @@ class Gru:
         classes = self.class_of[words]
         scores = states @ p["class_lines"]
         scores += p["class_bias"]
-        scores -= scores.max(axis=1, keepdims=True)
+        _tame(scores)
         every = np.arange(len(words))
         target = scores[every, classes].astype(np.float64)
         np.exp(scores, out=scores)
@@ -100,7 +115,7 @@ class Gru:
             mine = states[rows]
             inner = mine @ p["word_lines"][first:last].T
             inner += p["word_bias"][first:last]
-            inner -= inner.max(axis=1, keepdims=True)
+            _tame(inner)
             few, at = np.arange(len(rows)), words[rows] - first
             target = inner[few, at].astype(np.float64)
             np.exp(inner, out=inner)

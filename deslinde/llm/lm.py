@@ -28,6 +28,7 @@ _LOW = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _GAP = re.compile(rb"[ \t-\r]")
 END = b"\n"  # white space, so no word
 CHUNK_WORDS = 1 << 18
+SCORE_WORDS = 1 << 21  # words that are scored together, beside the chunk that passes it
 CHUNKS = "chunk long, doc_ids array<long>, held array<boolean>, lengths array<long>, place binary, ids binary, bucket int, list binary"
 NUMBERS = 1 << 12  # a looked-up value is count * NUMBERS + number in the model, 0 for the other words
 
@@ -114,7 +115,7 @@ class Chunk:
         counts, number = values // NUMBERS, values % NUMBERS - 1
         number[number < 0] = corpus.other
         counts[0], number[0] = corpus.ends, corpus.end
-        self.counts, self.stream = counts[ids], number[ids]
+        self.counts, self.stream = counts[ids], number.astype(np.int16)[ids]
         self.lengths = column(batch, "lengths")[k].values.to_numpy()
         self.begins = np.concatenate([[0], np.cumsum(self.lengths)])
         self.held = np.array(column(batch, "held")[k].as_py(), bool)
@@ -169,24 +170,35 @@ def train(chunks: DataFrame, model: Gru, start: np.ndarray, corpus: Corpus, sett
     return now[0]
 
 
+def _score_rows(model: Gru, flat: np.ndarray, corpus: Corpus, settings: Settings, chunks: list[tuple[Chunk, pa.Array]]) -> pa.RecordBatch:
+    """Scores of the documents of some chunks, whose lanes run side by side: long documents of each wait for one another only once."""
+    stream, counts, held, lengths = (np.concatenate([getattr(c, x) for c, _ in chunks]) for x in ("stream", "counts", "held", "lengths"))
+    begins = np.concatenate([[0], np.cumsum(lengths)])
+    base = np.log10((counts + 1) / (corpus.tokens + 1 * (corpus.kinds + 1)))
+    inside = np.log10((counts + 1) / (corpus.other_tokens + corpus.other_kinds + 1))
+    own = model.score(flat, stream, begins, corpus.end, settings.lanes, settings.window) / np.log(10)
+    own += np.add.reduceat(np.where(stream == corpus.other, inside, 0.0), begins[:-1])
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.concat_arrays([ids for _, ids in chunks]), pa.array(held), pa.array(lengths), pa.array(np.add.reduceat((counts > 0).astype(np.int64), begins[:-1])),
+            pa.array(np.full(len(held), corpus.tokens)), pa.array(np.add.reduceat(base, begins[:-1])), pa.array(own),
+        ],
+        ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
+    )
+
+
 def _scored(model: Gru, flat: np.ndarray, corpus: Corpus, settings: Settings):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting, tokens = [], 0
         for batch in batches:
             for k in range(len(batch)):
-                chunk = Chunk(batch, k, corpus)
-                first = chunk.begins[:-1]
-                base = np.log10((chunk.counts + 1) / (corpus.tokens + 1 * (corpus.kinds + 1)))
-                inside = np.log10((chunk.counts + 1) / (corpus.other_tokens + corpus.other_kinds + 1))
-                own = model.score(flat, chunk.stream, chunk.begins, corpus.end, settings.lanes, settings.window) / np.log(10)
-                own += np.add.reduceat(np.where(chunk.stream == corpus.other, inside, 0.0), first)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        column(batch, "doc_ids")[k].values, pa.array(chunk.held), pa.array(chunk.lengths),
-                        pa.array(np.add.reduceat((chunk.counts > 0).astype(np.int64), first)), pa.array(np.full(len(first), corpus.tokens)),
-                        pa.array(np.add.reduceat(base, first)), pa.array(own),
-                    ],
-                    ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
-                )
+                waiting.append((Chunk(batch, k, corpus), column(batch, "doc_ids")[k].values))
+                tokens += len(waiting[-1][0].stream)
+                if tokens >= SCORE_WORDS:
+                    yield _score_rows(model, flat, corpus, settings, waiting)
+                    waiting, tokens = [], 0
+        if waiting:
+            yield _score_rows(model, flat, corpus, settings, waiting)
 
     return run
 
