@@ -75,6 +75,26 @@ def nearest_unlimited(spark, sf):
     return S.nearest_unlimited(X.points(spark, sf), X.polygons(spark, sf)).select("ok", "poly_idx", "dist_m")
 
 
+# squares on their corner, of four sizes from 20 metres to 2 kilometres, and places up to far outside of all
+X.add_table("fx_diamonds", """SELECT p_partkey AS poly_idx, CAST(13101 + p_partkey % 3 AS INT) AS comuna, -70700000 + p_partkey * 7919 % 90000 AS cx, -33500000 + p_partkey * 6151 % 80000 AS cy,
+    CASE p_partkey % 4 WHEN 0 THEN 200 WHEN 1 THEN 900 WHEN 2 THEN 4100 ELSE 20000 END + p_partkey % 97 AS r FROM part WHERE p_partkey % 4 < 3 OR p_partkey % 40 = 3""", ["part"])
+X.add_table("fx_far_places", """SELECT s_suppkey AS id, CAST(13101 + s_suppkey % 3 AS INT) AS comuna, -70760000 + s_suppkey * 104729 % 210000 AS x, -33560000 + s_suppkey * 15485863 % 200000 AS y FROM supplier""", ["supplier"])
+
+
+@query("nearest_diamonds", """
+    WITH o AS (SELECT id, poly_idx, r, abs(x - cx) AS dx, abs(y - cy) AS dy FROM fx_far_places JOIN fx_diamonds USING (comuna)),
+    t AS (SELECT *, least(1.0, greatest(0.0, (dx - dy + r) / (2.0 * r))) AS t FROM o),
+    d AS (SELECT id, poly_idx, CASE WHEN dx + dy < r THEN 0 ELSE round(sqrt(power(dx - t * r, 2) + power(dy - (1 - t) * r, 2)) * 100) END AS q FROM t)
+    SELECT id, arg_min(poly_idx, (q, poly_idx)) AS poly_idx FROM d GROUP BY id""", ["fx_diamonds", "fx_far_places"])
+def nearest_diamonds(spark, sf):
+    """Places far from anything, which only the tree settles, among shapes whose boxes hold much that they don't."""
+    at = lambda dx, dy: F.struct(((F.col("cx") + F.col("r") * dx) / 1e6).alias("x"), ((F.col("cy") + F.col("r") * dy) / 1e6).alias("y"))
+    shell = F.array(at(0, -1), at(1, 0), at(0, 1), at(-1, 0), at(0, -1))
+    polygons = X.table(spark, sf, "fx_diamonds").select("comuna", "poly_idx", shell.alias("shell"), G.no_holes().alias("holes"))
+    places = X.table(spark, sf, "fx_far_places").select("id", "comuna", (F.col("x") / 1e6).alias("x"), (F.col("y") / 1e6).alias("y"))
+    return S.nearest_unlimited(places, polygons).select("id", "poly_idx")
+
+
 PLACED = f"""WITH {PAIRS},
   fx_placed AS (
     SELECT p.*, CASE WHEN b.inside OR {NEAR} THEN b.poly_idx END AS poly_idx,

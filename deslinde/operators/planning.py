@@ -222,16 +222,16 @@ def _near_box(e: Column, b: Column, reach: float) -> Column:
     gap = lambda lo, hi, p, q: F.greatest(lo - F.greatest(p, q), F.least(p, q) - hi, F.lit(0.0))
     around = F.hypot(gap(b["minx"], b["maxx"], e["ax"], e["bx"]), gap(b["miny"], b["maxy"], e["ay"], e["by"]))
     at_end = (to_box(e["ax"], e["ay"]) <= reach) | (to_box(e["bx"], e["by"]) <= reach)
-    corners = F.array(*[F.struct(b[x].alias("x"), b[y].alias("y")) for x in ("minx", "maxx") for y in ("miny", "maxy")])
-    side = F.transform(corners, lambda c: G._side(e["ax"], e["ay"], e["bx"], e["by"], c["x"], c["y"]))
+    corners = [(b[x], b[y]) for x in ("minx", "maxx") for y in ("miny", "maxy")]
+    side = [G._side(e["ax"], e["ay"], e["bx"], e["by"], x, y) for x, y in corners]
     # corners on both sides of the line while the edge's own box meets the box: it passes through
-    through = (around == 0) & (F.array_min(side) <= 0) & (F.array_max(side) >= 0)
-    by_corner = F.exists(corners, lambda c: G.edge_distance(e, c["x"], c["y"]) <= reach)
+    through = (around == 0) & (F.least(*side) <= 0) & (F.greatest(*side) >= 0)
+    by_corner = reduce(lambda p, q: p | q, [G.edge_distance(e, x, y) <= reach for x, y in corners])
     return (around <= reach) & (at_end | through | by_corner)
 
 
 def _edge_rows(e: DataFrame, size: float, reach: float) -> DataFrame:
-    """For every edge and row of cells around it: the columns certainly and possibly within ``reach`` (cod, e, r, a, b, pa, pb).
+    """For every edge and row of cells around it: the columns certainly and possibly within ``reach`` (cod, ax, ay, bx, by, r, a, b, pa, pb).
 
     The edge is followed through the rows it passes, as a run of columns in each. A cell is certainly near if the farthest point
     of a passed cell is, and possibly if the nearest point is; so a run is widened by a number that depends on the rows between.
@@ -249,21 +249,19 @@ def _edge_rows(e: DataFrame, size: float, reach: float) -> DataFrame:
         )
         top, bottom = at(F.lit(half) - r * size), at(F.lit(half) - (r + 1) * size)
         first, last = F.when(dy == 0, lo("ax", "bx")).otherwise(F.least(top, bottom)), F.when(dy == 0, hi("ax", "bx")).otherwise(F.greatest(top, bottom))
-        return F.struct(r.alias("r"), F.floor((first + half) / size).alias("a"), F.floor((last + half) / size).alias("b"))
-
-    passed = e.withColumn("_r0", row_of(hi("ay", "by"))).withColumn("_r1", row_of(lo("ay", "by")))
-    passed = passed.withColumn("_p", F.transform(F.sequence("_r0", "_r1"), columns))
-    rows = passed.withColumn("r", F.explode(F.sequence(F.col("_r0") - steps, F.col("_r1") + steps)))
-    at_hand = F.slice("_p", F.greatest(F.col("r") - steps - F.col("_r0"), F.lit(0)).cast("int") + 1, F.lit(2 * steps + 1))
-    at_hand = F.filter(at_hand, lambda p: F.abs(p["r"] - F.col("r")) <= steps)
-    k = reach / size
-    apart = lambda p: F.abs(p["r"] - F.col("r")).cast("double")
-    sure = lambda p: F.when(apart(p) <= k, F.floor(F.sqrt(F.lit(k * k) - apart(p) * apart(p))))
-    between = lambda p: F.greatest(apart(p) - 1, F.lit(0.0))
-    may = lambda p: F.when(between(p) <= k, F.floor(F.sqrt(F.lit(k * k) - between(p) * between(p))) + 1)
-    span = lambda by: (F.array_min(F.transform(at_hand, lambda p: p["a"] - by(p))), F.array_max(F.transform(at_hand, lambda p: p["b"] + by(p))))
-    (a, b), (pa, pb) = span(sure), span(may)
-    return rows.select("cod", "e", "r", a.alias("a"), b.alias("b"), pa.alias("pa"), pb.alias("pb"))
+        return F.struct(F.floor((first + half) / size).alias("a"), F.floor((last + half) / size).alias("b"))
+
+    passed = e.withColumn("_p", F.explode(F.sequence(row_of(hi("ay", "by")), row_of(lo("ay", "by")))))
+    passed = passed.withColumn("_c", columns(F.col("_p"))).withColumn("_d", F.explode(F.sequence(F.lit(-steps), F.lit(steps))))
+    k, apart = reach / size, F.abs("_d").cast("double")
+    between = F.greatest(apart - 1, F.lit(0.0))
+    sure = F.when(apart <= k, F.floor(F.sqrt(F.lit(k * k) - apart * apart)))
+    may = F.when(between <= k, F.floor(F.sqrt(F.lit(k * k) - between * between)) + 1)
+    edge = [F.col(f"e.{c}").alias(c) for c in ("ax", "ay", "bx", "by")]
+    return passed.groupBy("cod", *edge, (F.col("_p") + F.col("_d")).alias("r")).agg(
+        F.min(F.col("_c.a") - sure).alias("a"), F.max(F.col("_c.b") + sure).alias("b"),
+        F.min(F.col("_c.a") - may).alias("pa"), F.max(F.col("_c.b") + may).alias("pb"),
+    ).where("pa is not null")
 
 
 def grid_cover(areas: DataFrame, buffer_m: float = C.GRID_BUFFER_M) -> DataFrame:
@@ -290,7 +288,7 @@ def grid_cover(areas: DataFrame, buffer_m: float = C.GRID_BUFFER_M) -> DataFrame
     sure = around.select("cod", "r", "a", "b").unionByName(inside).where("a <= b")
     sure = sure.groupBy("cod", "r").agg(I.merged(F.array_sort(F.collect_set(I.interval(F.col("a"), F.col("b"))))).alias("_s"))
     ring = around.join(sure, ["cod", "r"], "left")
-    ring = ring.select("cod", "e", "r", F.explode(I.pieces_left(F.col("pa"), F.col("pb"), F.coalesce("_s", I.none()))).alias("_p"))
+    ring = ring.select("cod", F.struct("ax", "ay", "bx", "by").alias("e"), "r", F.explode(I.pieces_left(F.col("pa"), F.col("pb"), F.coalesce("_s", I.none()))).alias("_p"))
     ring = ring.withColumn("c", F.explode(F.sequence("_p.a", "_p.b")))
     left, top = F.col("c") * size - half, F.lit(half) - F.col("r") * size
     box = F.struct(left.alias("minx"), (top - size).alias("miny"), (left + size).alias("maxx"), top.alias("maxy"))
