@@ -145,13 +145,13 @@ def _sent(part: int, weight: float, values: np.ndarray) -> pa.RecordBatch:
     )
 
 
-def _averaged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _averaged(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The weighted average of the parameters of a group of tasks; they come one by one and are not held."""
     weight, sums = 0.0, 0.0
     for batch in batches:
         for w, x in zip(column(batch, "weight").to_pylist(), column(batch, "parameters")):
             weight, sums = weight + w, sums + w * np.frombuffer(x.as_buffer(), np.float32).astype(np.float64)
-    yield _sent(0, weight, sums / weight)
+    yield _sent(key[0].as_py(), weight, sums / weight)
 
 
 def train(chunks: DataFrame, model: Gru, start: np.ndarray, corpus: Corpus, settings: Settings) -> np.ndarray:
@@ -161,9 +161,10 @@ def train(chunks: DataFrame, model: Gru, start: np.ndarray, corpus: Corpus, sett
     for share in settings.shares:
         mine = chunks.where((place >= before) & (place < share))
         sent = mine.mapInArrow(_trained(model, now, corpus, settings), schema)
-        # at most a thousand tasks, then the thousands
-        some = sent.withColumn("part", F.expr("part div 1000")).groupBy("part").applyInArrow(_averaged, schema)
-        last = some.groupBy("part").applyInArrow(_averaged, schema).first()
+        # 32 tasks at a time, then 32 of these, so that no task takes in more than a share of all
+        for step in (32, 32):
+            sent = sent.withColumn("part", F.expr(f"part div {step}")).groupBy("part").applyInArrow(_averaged, schema)
+        last = sent.withColumn("part", F.lit(0).cast("long")).groupBy("part").applyInArrow(_averaged, schema).first()
         if last is not None:
             now = np.frombuffer(last["parameters"], np.float32).reshape(2, -1).copy()
         before = share
