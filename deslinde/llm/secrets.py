@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-import base64
 import binascii
 import bz2
 import hashlib
+import itertools
 import lzma
 import re
 import zlib
 from collections.abc import Iterator
+from urllib.parse import unquote_to_bytes
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +34,19 @@ ESCAPES = re.compile(
 )
 ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]+)\}|\\[uUx]([0-9A-Fa-f]+)|&#[xX]([0-9A-Fa-f]+);|&#([0-9]+);")
 BASE64 = re.compile("[A-Za-z0-9+/_-]{16,}={0,2}")
-# A compressed stream that grows beyond this stays packed: unpacking must not fill a worker's memory.
-MOST_BYTES = 64 << 20
+# Base64 over several lines; the last one may be short.
+WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+(?:\r?\n[ \t]*[A-Za-z0-9+/_-]{16,}+)*\r?\n[ \t]*[A-Za-z0-9+/_-]++={0,2}")
+# A compressed stream quoted for a URL, in which letters and digits stand for themselves.
+QUOTED = re.compile(r"(?:%1[fF]%8[bB]|x%(?:01|5[eE]|9[cC]|[dD][aA])|BZh[1-9]|%[fF][dD]7zXZ%00)(?:%[0-9A-Fa-f]{2}|[A-Za-z0-9_.~!*'()/-])*")
+# First bytes of compressed streams.
+MAGIC = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00")
+# Long runs of letters and digits in small letters, and marks of escapes: what a further encoding or a number is made of.
+LONG = re.compile(rb"[a-z0-9+/_-]{16}|%[0-9a-f]{2}|\\[ux]|&#")
+LONGER = re.compile(rb"[a-z0-9+/]{24}")
+# What a compressed stream unpacks to is looked at in pieces of this size, each of which begins inside the one before.
+PIECE = 4 << 20
+OVERLAP = 1 << 16
+STEP = 1 << 20
 
 Span = tuple[int, int, int]  # start, number of the kind, end
 
@@ -51,113 +63,190 @@ def scan(text: str) -> list[Span]:
     return sorted(found)
 
 
-def _unpacked(data: bytes, most: int) -> bytes | None:
-    """Undo compression, layer by layer. What is no whole stream stays as it is; None of one too large or going in a circle."""
-    seen = set()
+def _inflated(chunks: Iterator[bytes]) -> Iterator[bytes]:
+    """What compressed chunks unpack to, member after member, up to the first byte that is none."""
+    made, rest = None, b""
+    try:
+        for chunk in chunks:
+            rest += chunk
+            while rest:
+                if made is None:
+                    if not MAGIC.match(rest):
+                        return
+                    made = {31: lambda: zlib.decompressobj(31), 120: zlib.decompressobj, 66: bz2.BZ2Decompressor}.get(rest[0], lzma.LZMADecompressor)()
+                out, rest = made.decompress(rest, STEP), b""
+                if out:
+                    yield out
+                while not made.eof and not getattr(made, "needs_input", not getattr(made, "unconsumed_tail", b"")):
+                    out = made.decompress(getattr(made, "unconsumed_tail", b""), STEP)
+                    if out:
+                        yield out
+                if made.eof:
+                    rest, made = made.unused_data, None
+    except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
+        return
+
+
+def _plain(data: bytes) -> Iterator[bytes]:
+    """Chunks of what is left when compression is undone layer by layer; nothing where that goes in a circle."""
+    chunks, seen = iter([data]), set()
     while True:
-        if data[:2] == b"\x1f\x8b":
-            made = zlib.decompressobj(31)
-        elif len(data) > 2 and data[0] == 0x78 and (data[0] * 256 + data[1]) % 31 == 0:
-            made = zlib.decompressobj()
-        elif data[:3] == b"BZh":
-            made = bz2.BZ2Decompressor()
-        elif data[:6] == b"\xfd7zXZ\x00":
-            made = lzma.LZMADecompressor()
-        else:
-            return data
-        digest = hashlib.sha256(data).digest()
+        first = next(chunks, b"")
+        if not MAGIC.match(first):
+            return itertools.chain([first], chunks)
+        digest = hashlib.sha256(first).digest()
         if digest in seen:
-            return None
+            return iter([])
         seen.add(digest)
-        try:
-            out = made.decompress(data, most + 1)
-        except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
-            return data
-        if len(out) > most:
-            return None
-        if not made.eof:
-            return data
-        data = out
-
-
-def _readable(data: bytes | None) -> str | None:
-    if not data:
-        return None
+        chunks = _inflated(itertools.chain([first], chunks))
+
+
+def _pieces(chunks: Iterator[bytes], size: int) -> Iterator[bytes]:
+    """Chunks joined to pieces of about ``size``, each with the end of the one before."""
+    held, count, overlap = [], 0, min(OVERLAP, size // 2)
+    for chunk in chunks:
+        held.append(chunk)
+        count += len(chunk)
+        if count >= size:
+            piece = b"".join(held)
+            yield piece
+            held, count = [piece[-overlap:]], 0
+    if count:
+        yield b"".join(held)
+
+
+def _promising(data: bytes, run: re.Pattern[bytes]) -> bool:
+    """Can a secret or a further encoding be in these bytes? ``run`` is what the latter has to hold."""
+    low = data.lower()
+    return b"passw" in low or b"secret" in low or b"token" in low or b"api" in low or b"akia" in low or run.search(low) is not None
+
+
+def _text(data: bytes) -> str | None:
+    """Bytes as text: UTF-8, UTF-16, else a character a byte; None where nothing can be in it."""
     try:
         text = data.decode("utf-8")
+        if text.isprintable() or all(c.isprintable() or c in "\t\n\r\f\v" for c in text):
+            return text or None
     except UnicodeDecodeError:
+        text = None
+    zeros = [data[k : 4096 : 2].count(0) * 4 for k in (0, 1)]
+    half = min(len(data), 4096) // 2
+    if data[:2] in (b"\xff\xfe", b"\xfe\xff") or max(zeros) > half and min(zeros) < half:
+        big = data[:2] == b"\xfe\xff" or data[:2] != b"\xff\xfe" and zeros[0] > zeros[1]
+        wide = data.decode("utf-16-be" if big else "utf-16-le", "replace")
+        if _promising(wide.encode("utf-8", "replace"), LONG):
+            return wide
+    if not _promising(data, LONG):
         return None
-    return text if text.isprintable() or all(c.isprintable() or c in "\t\n\r\f\v" for c in text) else None
+    return text if text is not None else data.decode("latin-1")
 
 
-def _percent(run: str, most: int) -> list[tuple[str, int, int]] | None:
-    """Characters of a run of %XX with their places in it."""
+# A decoded run: either characters with their places in it, or pieces of a stream that all stand for the whole run.
+Decoded = list[tuple[str, int, int]] | Iterator[str] | None
+
+
+def _whole(data: bytes, length: int, size: int) -> Decoded:
+    """Decoded bytes that stand for a whole run: one text, or the pieces of a large one."""
+    pieces = _pieces(_plain(data), size)
+    first, second = next(pieces, b""), next(pieces, None)
+    if second is None:
+        text = _text(first)
+        return [(text, 0, length)] if text else None
+    return filter(None, map(_text, itertools.chain([first, second], pieces)))
+
+
+def _percent(run: str, size: int) -> Decoded:
+    """Characters of a run of %XX with their places in it; a byte that is no UTF-8 is a character of its own."""
     data = bytes.fromhex(run.replace("%", ""))
-    try:
-        text, at, out = data.decode("utf-8"), 0, []
-    except UnicodeDecodeError:
-        text = _readable(_unpacked(data, most))
-        return text and [(text, 0, len(run))]
-    for c in text:
-        n = 3 * len(c.encode("utf-8"))
-        out.append((c, at, at + n))
+    if MAGIC.match(data) and (whole := _whole(data, len(run), size)):
+        return whole
+    out, at = [], 0
+    for c in data.decode("utf-8", "surrogateescape"):
+        lone = 0xDC80 <= ord(c) < 0xDD00
+        n = 3 * (1 if lone else len(c.encode("utf-8")))
+        out.append((chr(ord(c) - 0xDC00) if lone else c, at, at + n))
         at += n
     return out
 
 
-def _escapes(run: str, most: int) -> list[tuple[str, int, int]] | None:
-    """Characters of a run of escapes with their places in it; surrogate pairs are one character."""
+def _escapes(run: str, size: int) -> Decoded:
+    """Characters of a run of escapes with their places in it; surrogate pairs are one character, what is none is U+FFFD."""
     out: list[tuple[str, int, int]] = []
     for m in ESCAPE.finditer(run):
-        code = int(m[4]) if m[4] else int(m[1] or m[2] or m[3], 16)
+        code, begin = int(m[4]) if m[4] else int(m[1] or m[2] or m[3], 16), m.start()
         if out and 0xDC00 <= code < 0xE000 and 0xD800 <= ord(out[-1][0]) < 0xDC00:
-            high, a, _ = out.pop()
-            code, m_start = 0x10000 + ((ord(high) - 0xD800) << 10) + code - 0xDC00, a
-        else:
-            m_start = m.start()
-        if code > 0x10FFFF:
-            return None
-        out.append((chr(code), m_start, m.end()))
-    if any(0xD800 <= ord(c) < 0xE000 for c, _, _ in out):
-        return None
+            high, begin, _ = out.pop()
+            code = 0x10000 + ((ord(high) - 0xD800) << 10) + code - 0xDC00
+        out.append((chr(code) if code <= 0x10FFFF else "\ufffd", begin, m.end()))
+    out = [("\ufffd" if 0xD800 <= ord(c) < 0xE000 else c, a, b) for c, a, b in out]
     if all(ord(c) < 256 for c, _, _ in out):  # escaped bytes of a compressed stream
         data = bytes(ord(c) for c, _, _ in out)
-        if (plain := _unpacked(data, most)) is not data and plain != data:
-            text = _readable(plain)
-            return text and [(text, 0, len(run))]
+        if MAGIC.match(data) and (whole := _whole(data, len(run), size)):
+            return whole
     return out
 
 
-def _base64(run: str, most: int) -> list[tuple[str, int, int]] | None:
-    body = run.rstrip("=").replace("-", "+").replace("_", "/")
-    if len(body) % 4 == 1:
-        return None
-    try:
-        data = base64.b64decode(body + "=" * (-len(body) % 4), validate=True)
-    except binascii.Error:
+def _quoted(run: str, size: int) -> Decoded:
+    return _whole(unquote_to_bytes(run), len(run), size)
+
+
+def _base64(skip: int):
+    """Base64 read from the character ``skip`` on: what is glued to a word or a path begins at one of four places."""
+
+    def decode(run: str, size: int) -> Decoded:
+        body = run.encode().translate(_TO_BASE64, b"=\r\n \t")[skip:]
+        odd = len(body) % 4 == 1
+        body = body[: len(body) - odd]
+        data = binascii.a2b_base64(body + b"=" * (-len(body) % 4))
+        if skip == 0 and not odd and (whole := _whole(data, len(run), size)):
+            return whole
+        # behind what it is glued to, a stream begins somewhere
+        for m in MAGIC.finditer(data):
+            if (skip or m.start()) and (found := next(_inflated(iter([data[m.start() : m.start() + 4096]])), b"")) and len(found) > 3:
+                return _whole(data[m.start() :], len(run), size)
+        if skip:
+            return [(data.decode("latin-1"), 0, len(run))] if _promising(data, LONGER) else None
         return None
-    text = _readable(_unpacked(data, most))
-    return text and [(text, 0, len(run))]
 
+    return decode
 
-def _unwrapped(text: str, starts, ends, kind: int, most: int):
-    """One layer less of one kind: the text with every decodable run replaced, and where its characters come from. None if there is none."""
+
+_TO_BASE64 = bytes.maketrans(b"-_", b"+/")
+def _runs(text: str, kind: int) -> list:
+    """Decodable runs of one kind: escapes, base64 at four alignments, base64 over lines, quoted streams."""
     if kind == 0:
         runs = [(m, _percent) for m in PERCENT.finditer(text)] if "%" in text else []
         if "\\" in text or "&#" in text:
             runs += [(m, _escapes) for m in ESCAPES.finditer(text)]
             runs.sort(key=lambda r: r[0].start())
-    else:
-        runs = [(m, _base64) for m in BASE64.finditer(text)]
+        return runs
+    if kind <= 4:
+        return [(m, _base64(kind - 1)) for m in BASE64.finditer(text)]
+    if kind == 5:
+        return [(m, _base64(0)) for m in WRAPPED.finditer(text)]
+    return [(m, _quoted) for m in QUOTED.finditer(text)] if "%" in text or "BZh" in text else []
+
+
+KINDS_OF_RUNS = 7
+
+
+def _unwrapped(text: str, starts, ends, kind: int, size: int, streams: list):
+    """One layer less of one kind: the text with every decodable run replaced, and where its characters come from. None if there is none.
+
+    Runs that unpack to more than a piece are left in place and put into ``streams`` with where they stand.
+    """
     parts, froms, tos, last = [], [], [], 0
-    for m, decode in runs:
-        got = decode(m[0], most)
+    for m, decode in _runs(text, kind):
+        got = decode(m[0], size)
         if not got:
             continue
+        a = m.start()
+        if not isinstance(got, list):
+            streams.append((got, a if starts is None else int(starts[a]), m.end() if ends is None else int(ends[m.end() - 1])))
+            continue
         if starts is None:
             starts = np.arange(len(text))
             ends = starts + 1
-        a = m.start()
         parts.append(text[last:a])
         froms.append(starts[last:a])
         tos.append(ends[last:a])
@@ -171,24 +260,35 @@ def _unwrapped(text: str, starts, ends, kind: int, most: int):
     return "".join([*parts, text[last:]]), np.concatenate([*froms, starts[last:]]), np.concatenate([*tos, ends[last:]])
 
 
-def search(text: str, most: int = MOST_BYTES) -> tuple[list[Span], list[Span], int]:
+def search(text: str, size: int = PIECE) -> tuple[list[Span], list[Span], int]:
     """(spans in the text itself, spans found below it, decoded layers).
 
-    The worklist starts with the text. Every layer gives one child with its URL and Unicode escapes
-    undone and one with its base64 runs (and compression inside) undone; a layer seen before is not
-    followed again, so the work ends at the fixpoint even where decoding runs in a circle. A secret
-    in a layer is reported where the characters it came from stand in the text.
+    The worklist starts with the text. Every layer gives a child for each kind of encoding, with its runs undone (URL and
+    Unicode escapes; base64 at four alignments and over lines, and compression inside; quoted streams); a layer seen before
+    is not followed again, so the work ends at the fixpoint even where decoding runs in a circle. A secret in a layer is
+    reported where the characters it came from stand in the text. A stream that unpacks to more than ``size`` bytes is
+    unpacked step by step and looked at in overlapping pieces, each a layer; nothing of it is left out.
     """
     base = scan(text)
     seen, added, layers, work = None, set(), 0, [(text, None, None)]
-    while work:
+    streams: list = []
+    while work or streams:
+        if not work:
+            pieces, a, b = streams[-1]
+            piece = next(pieces, None)
+            if piece is None:
+                streams.pop()
+                continue
+            layers += 1
+            added.update((a, k, b) for _, k, _ in scan(piece))
+            work.append((piece, np.full(len(piece), a), np.full(len(piece), b)))
         layer, starts, ends = work.pop()
-        for kind in (0, 1):
-            child = _unwrapped(layer, starts, ends, kind, most)
+        for kind in range(KINDS_OF_RUNS):
+            child = _unwrapped(layer, starts, ends, kind, size, streams)
             if child is None:
                 continue
             seen = seen or {hashlib.sha256(text.encode("utf-8")).digest()}
-            digest = hashlib.sha256(child[0].encode("utf-8")).digest()
+            digest = hashlib.sha256(child[0].encode("utf-8", "surrogatepass")).digest()
             if digest in seen:
                 continue
             seen.add(digest)
@@ -207,7 +307,7 @@ FOUND = (
 )
 
 
-def find_secrets(docs: DataFrame, most_bytes: int = MOST_BYTES) -> DataFrame:
+def find_secrets(docs: DataFrame, piece_bytes: int = PIECE) -> DataFrame:
     """One row per document: counts by kind, digest of the spans in the text itself, and all spans.
 
     Spans are kind:start:end in code points, end exclusive, by start, then kind, then end. A null
@@ -221,7 +321,7 @@ def find_secrets(docs: DataFrame, most_bytes: int = MOST_BYTES) -> DataFrame:
         for batch in batches:
             ids, texts, rows = column(batch, "doc_id").to_pylist(), column(batch, "text").to_pylist(), []
             for doc_id, text in zip(ids, texts):
-                base, added, layers = search(text or "", most_bytes)
+                base, added, layers = search(text or "", piece_bytes)
                 kinds = [k for _, k, _ in base]
                 digest = hashlib.sha256(_joined(base).encode()).hexdigest()
                 spans = _joined(sorted(base + added))
@@ -235,8 +335,8 @@ def find_secrets(docs: DataFrame, most_bytes: int = MOST_BYTES) -> DataFrame:
 MASK = "[REDACTED]"
 
 
-def _masked(text: str, most: int) -> str:
-    base, added, _ = search(text, most)
+def _masked(text: str, size: int) -> str:
+    base, added, _ = search(text, size)
     out, last = [], 0
     for a, _, b in sorted(base + added):
         if b > last:
@@ -246,13 +346,13 @@ def _masked(text: str, most: int) -> str:
     return "".join([*out, text[last:]])
 
 
-def redact(docs: DataFrame, most_bytes: int = MOST_BYTES) -> DataFrame:
+def redact(docs: DataFrame, piece_bytes: int = PIECE) -> DataFrame:
     """``docs``, all rows and columns, with every secret in ``text`` masked; ``n_chars``, where there is one, follows.
 
     Overlapping spans are masked as one. A null text stays null.
     """
     ready(docs.sparkSession)
-    mask = F.pandas_udf(lambda texts: texts.map(lambda t: None if t is None else _masked(t, most_bytes)), "string")
+    mask = F.pandas_udf(lambda texts: texts.map(lambda t: None if t is None else _masked(t, piece_bytes)), "string")
     out = docs.withColumn("text", mask("text"))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("n_chars").isNotNull(), F.length("text")).cast(docs.schema["n_chars"].dataType))
