@@ -235,6 +235,17 @@ def failure_runs(spark, sf):
     return O.failure_runs(progress(spark, sf), at_least=3)
 
 
+X.add_table("fx_long_runs", "SELECT user_id % 10 AS worker, ts, event_id, event_type = 'purchase' AS ok FROM events", ["events"])
+
+
+@query("failure_runs_published", """
+    WITH i AS (SELECT *, sum(CAST(ok AS INT)) OVER (PARTITION BY worker ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS island FROM fx_long_runs)
+    SELECT worker, min(ts) AS first_ts, max(ts) AS last_ts, count(*) AS failures FROM i WHERE NOT ok GROUP BY worker, island HAVING count(*) >= 20""", ["fx_long_runs"])
+def failure_runs_published(spark, sf):
+    """Runs of twenty failures and more, as published, of ten busy workers."""
+    return O.failure_runs(X.table(spark, sf, "fx_long_runs"))
+
+
 @query("stall_gaps", """
     WITH m AS (SELECT *, max(counter) OVER (PARTITION BY worker ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before,
                       max(ts) OVER (PARTITION BY worker) AS last_ts FROM fx_progress),

@@ -342,6 +342,18 @@ def scan_polygons(spark, sf):
     )
 
 
+@query("scan_polygons_mercator", """SELECT poly_idx, comuna, CAST(w_u * w_u - CASE WHEN has_slit THEN 200 ELSE 0 END AS DOUBLE) AS area_m2, CAST(has_slit AS INT) AS n_holes,
+    round(x0_u / 10.0 / 20037508.342789244 * 180, 6)::DOUBLE AS west FROM fx_polygons""", ["fx_polygons"])
+def scan_polygons_mercator(spark, sf):
+    """A layer in Mercator metres under the published limit: a hole of 100 m2 is filled, one of exactly 200 m2 stays."""
+    x, y, w = F.col("x0_u") / 10, F.col("y0_u") / 10, F.col("w_u")
+    box = lambda a, b, dx, dy: G.box_ring(x + a, y + b, x + a + dx, y + b + dy)
+    holes = F.array_compact(F.array(F.when(F.col("has_hole"), box(20, 20, 10, 10)), F.when(F.col("has_slit"), box(60, 20, 10, 20))))
+    rows = X.table(spark, sf, "fx_polygons").select("poly_idx", "comuna", box(0, 0, w, w).alias("shell"), holes.alias("holes"))
+    read = R.scan_polygons([rows], mercator_in=True)
+    return read.select("poly_idx", "comuna", F.round("area_m2", 1).alias("area_m2"), F.size("holes").alias("n_holes"), F.round("minx", 6).alias("west"))
+
+
 @query("lookup_overrides", """
     SELECT comuna, CASE WHEN comuna % 3 = 0 THEN 'OVER_' || comuna ELSE 'LAYER_' || comuna END AS layer
     FROM (SELECT CAST(13000 + p_partkey AS INT) AS comuna FROM part)""")
