@@ -351,7 +351,7 @@ def scan_polygons_mercator(spark, sf):
     holes = F.array_compact(F.array(F.when(F.col("has_hole"), box(20, 20, 10, 10)), F.when(F.col("has_slit"), box(60, 20, 10, 20))))
     rows = X.table(spark, sf, "fx_polygons").select("poly_idx", "comuna", box(0, 0, w, w).alias("shell"), holes.alias("holes"))
     read = R.scan_polygons([rows], mercator_in=True)
-    return read.select("poly_idx", "comuna", F.round("area_m2", 1).alias("area_m2"), F.size("holes").alias("n_holes"), F.round("minx", 6).alias("west"))
+    return read.select("poly_idx", "comuna", F.round("area_m2", 4).alias("area_m2"), F.size("holes").alias("n_holes"), F.round("minx", 6).alias("west"))
 
 
 @query("lookup_overrides", """

@@ -63,7 +63,9 @@ def scan_polygons(
     rows = layers[0]
     for more in layers[1:]:
         rows = rows.unionByName(more, allowMissingColumns=True)
-    shell, holes = F.col("shell"), F.col("holes")
+    # other names than those of the result: measured and reprojected shapes are not to be mixed up
+    rows = rows.withColumnsRenamed({"shell": "_shell", "holes": "_holes"})
+    shell, holes = F.col("_shell"), F.col("_holes")
     if mercator_in:
         ring = lambda r: G.reproject(r, M.lon_of, M.lat_of)
         kept = G.fill_holes(holes, min_hole_area)
