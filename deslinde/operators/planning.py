@@ -50,8 +50,8 @@ def commune_dimension(paths: DataFrame) -> DataFrame:
 
 
 def _only(tries: DataFrame, keys: list[str]) -> DataFrame:
-    """Best tier per key; ``matches`` says how many rows share it."""
-    best = tries.groupBy(*keys, "tier").agg(F.count("*").alias("matches"), F.min("cod").alias("cod"))
+    """Best tier per key; ``matches`` says how many hits share it, of which a row of ``tries`` stands for ``n``."""
+    best = tries.groupBy(*keys, "tier").agg(F.sum("n").alias("matches"), F.min("cod").alias("cod"))
     return best.groupBy(*keys).agg(F.min(F.struct("tier", "matches", "cod")).alias("b")).select(*keys, "b.*")
 
 
@@ -59,7 +59,8 @@ def resolve_name(asked: DataFrame, dim: DataFrame) -> DataFrame:
     """Find ``asked`` (comuna, layer) in ``dim`` (cod, name): accents aside by full name, by its
     first word, by the code as it is, by the padded code.
 
-    The first way that hits decides; several hits on it leave the name unresolved.
+    The first way that hits decides; several hits on it leave the name unresolved. Hits are counted per name before
+    the join, so a name that many share is one row and not as many as ask for it times as many as bear it.
     """
     names = dim.select("cod", T.ascii_name(F.col("name")).alias("_n"), F.trim(F.col("cod")).alias("_c"))
     search = T.ascii_name(F.replace(F.col("layer"), F.lit("_"), F.lit(" ")))
@@ -71,8 +72,8 @@ def resolve_name(asked: DataFrame, dim: DataFrame) -> DataFrame:
         (4, F.when(F.length(code) < 5, F.lpad(code, 5, "0")), "_c"),
     ]
     tries = reduce(DataFrame.unionByName, [
-        rows.select("comuna", "layer", value.alias(by)).join(names.select("cod", by), by)
-        .select("comuna", "layer", F.lit(tier).alias("tier"), "cod") for tier, value, by in ways
+        rows.select("comuna", "layer", value.alias(by)).join(names.groupBy(by).agg(F.count("*").alias("n"), F.min("cod").alias("cod")), by)
+        .select("comuna", "layer", F.lit(tier).alias("tier"), "n", "cod") for tier, value, by in ways
     ])
     found = _only(tries, ["comuna", "layer"])
     return asked.join(found, ["comuna", "layer"], "left").select(
