@@ -1,6 +1,8 @@
 """Steps whose rows follow the input."""
 
-from deslinde.operators import planning
+import random
+
+from deslinde.operators import planning, raster
 
 
 def test_a_name_many_share_is_not_paired(spark, monkeypatch):
@@ -14,3 +16,24 @@ def test_a_name_many_share_is_not_paired(spark, monkeypatch):
     got = {r.comuna: (r.cod, r.status) for r in planning.resolve_name(asked, dim).collect()}
     assert got == {1000: ("30001", "found"), **{1000 + i: (None, "ambiguous") for i in range(1, 300)}}
     assert seen == [300]
+
+
+def test_small_tiles_share_a_python_step(spark):
+    """Regions of 24 tiles of 32 pixels in one call, the same as without tiles; touching rows of neighbours stay apart inside."""
+    rng = random.Random(5)
+    rows = []
+    for y in range(128):
+        for tile in range(6):
+            at = tile * 32
+            while at < tile * 32 + 32:
+                end = min(at + rng.randrange(1, 9), tile * 32 + 31)
+                rows.append(("exact", tile, y, at, end))
+                at = end + rng.randrange(2, 6)
+    runs = spark.createDataFrame(rows, "cls string, tile_x bigint, y bigint, x0 bigint, x1 bigint")
+    plain = {(r.y, r.x0): r.label for r in raster.label_components(runs).collect()}
+    tiled = {(r.y, r.x0): r.label for r in raster.label_components(runs, 32).collect()}
+    assert tiled == plain
+    ided = raster.with_run_id(runs).toPandas().drop(columns="label", errors="ignore")
+    whole = raster._tile_roots(ided, 32).set_index("id").root.to_dict()
+    for _, one in ided.groupby(["tile_x", ided.y // 32]):
+        assert raster._tile_roots(one, 32).set_index("id").root.to_dict() == {i: whole[i] for i in one.id}
