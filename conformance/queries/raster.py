@@ -292,12 +292,16 @@ X.add_table("fx_prints", """SELECT p_partkey AS k, p_partkey % 20 AS tx, p_partk
 
 
 def printed(spark, sf):
-    at = lambda v: F.expr(f"({v} >= 3 and {v} < 3 + s)")
-    hole = lambda v: F.expr(f"({v} >= 12 and {v} < 12 + h)")
-    cell = F.when(hole("i % 32") & hole("i div 32"), "DC0000FF").when(at("i % 32") & at("i div 32"), "B40000FF").otherwise("5A0000FF")
-    rows = X.table(spark, sf, "fx_prints").select("k", "tx", "ty", "s", "h", F.explode(F.sequence(F.lit(0), F.lit(1023))).alias("i"))
-    whole = rows.groupBy("k", "tx", "ty").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", cell.alias("c")))), lambda p: p["c"]), "").alias("hex"))
-    return whole.select("tx", "ty", F.lit(32).alias("size"), F.unhex("hex").alias("rgba"))
+    """A tile is written from its row alone: its lines are of three kinds, border, fill inside it, and fill with the number."""
+    border, fill, number = (lambda n, c=c: F.repeat(F.lit(c), n) for c in ("5A0000FF", "B40000FF", "DC0000FF"))
+    s, h = F.col("s").cast("int"), F.col("h").cast("int")
+    edge = border(F.lit(32))
+    plain = F.concat(border(F.lit(3)), fill(s), border(29 - s))
+    holed = F.concat(border(F.lit(3)), fill(F.lit(9)), number(h), fill(s - 9 - h), border(29 - s))
+    whole = F.concat(
+        F.repeat(edge, F.lit(3)), F.repeat(plain, F.lit(9)), F.repeat(holed, h), F.repeat(plain, s - 9 - h), F.repeat(edge, 29 - s)
+    )
+    return X.table(spark, sf, "fx_prints").select("tx", "ty", F.lit(32).alias("size"), F.unhex(whole).alias("rgba"))
 
 
 @query("vectorize_printed", """SELECT tx, ty, CAST((s - 2) * (s - 2) AS DOUBLE) AS area_m2, 0 AS n_holes FROM fx_prints
