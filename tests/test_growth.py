@@ -2,6 +2,7 @@
 
 import random
 
+from deslinde.functions import answers
 from deslinde.operators import planning, raster
 
 
@@ -37,3 +38,11 @@ def test_small_tiles_share_a_python_step(spark):
     whole = raster._tile_roots(ided, 32).set_index("id").root.to_dict()
     for _, one in ided.groupby(["tile_x", ided.y // 32]):
         assert raster._tile_roots(one, 32).set_index("id").root.to_dict() == {i: whole[i] for i in one.id}
+
+
+def test_a_key_answered_twice_is_one_row(spark):
+    """A key with a bad and a good answer: the good one, once for every request."""
+    asked = spark.createDataFrame([(1, "a", "x"), (1, "a", "x"), (1, "a", "y")], "comuna int, manzana string, predio string")
+    got = spark.createDataFrame([(1, "a", "x", False, 500), (1, "a", "x", True, 200)], "comuna int, manzana string, predio string, _ok boolean, _status int")
+    rows = sorted((r.predio, r._ok, r._status, r._error) for r in answers.failure_rows(asked, got).collect())
+    assert rows == [("x", True, 200, None), ("x", True, 200, None), ("y", False, 0, "max_retries")]
