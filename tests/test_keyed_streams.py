@@ -64,6 +64,19 @@ def test_rows_later_than_the_watermark_are_counted_and_change_nothing(spark):
     assert dropped == 7 and got == {(r.worker, r.counter, r.stalled_from) for r in batch}
 
 
+def test_a_wait_that_the_closing_mark_makes_a_stall_is_none(spark, tmp_path):
+    """Spans with parts of a second: waits of up to 60 s at the last event give no alarm, a microsecond more does."""
+    from conformance.registry import QUERIES
+    import __spark_entry__  # noqa: F401
+
+    last = START + timedelta(seconds=500, microseconds=700_300)
+    since = {1: timedelta(seconds=59.8), 2: timedelta(seconds=60), 3: timedelta(seconds=60, microseconds=1), 4: timedelta(0)}
+    rows = [(2000 + w, last - back, w, "click") for w, back in since.items()] + [(1, START, 4, "click"), (2010, START, 5, "click")]
+    spark.createDataFrame(rows, "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string").write.parquet(f"{tmp_path}/events.parquet")
+    got = {(r.worker, r.counter) for r in QUERIES["stream_stall_alarms"](spark, str(tmp_path)).collect()}
+    assert got == {(3, 1), (4, 0), (5, 1)}
+
+
 def lines(keys, attempt, good=True):
     body = '{"data":{"existePredio":1}}' if good else "{}"
     return [json.dumps({"comuna": c, "manzana": m, "predio": p, "attempt": attempt, "status": 200, "body": body}) for c, m, p in keys]
