@@ -9,6 +9,7 @@ from conformance.registry import query
 from deslinde.functions import geometry as G
 from deslinde.operators import overlap as V
 from deslinde.operators import raster as R
+from deslinde.session import cut
 
 # --- overlaps: every polygon also as a shifted agricultural one ---------------------------
 X.add_table("fx_shifted", """
@@ -133,15 +134,18 @@ X.add_table("fx_pixels", """
 
 
 def tiles(spark, sf):
-    """Tiles of 16 x 16 RGBA bytes cut from the pixel table; at most 256 pixels make one."""
+    """Tiles of 16 x 16 RGBA bytes cut from the pixel table; a line of four numbers, four pixels each, then at most 16 lines make one."""
     p = X.table(spark, sf, "fx_pixels")
-    pos = (F.col("y") % SIZE) * SIZE + F.col("x") % SIZE
-    code = F.format_string("%02X%02X%02X%02X", "r", F.lit(0), F.lit(0), "a")
-    cells = p.groupBy(F.floor(F.col("x") / SIZE).alias("tx"), F.floor(F.col("y") / SIZE).alias("ty")).agg(
-        F.map_from_entries(F.collect_list(F.struct(pos.alias("k"), code.alias("v")))).alias("m")
-    )
-    every = F.transform(F.sequence(F.lit(0).cast("bigint"), F.lit(SIZE * SIZE - 1).cast("bigint")),
-                        lambda i: F.coalesce(F.try_element_at(F.col("m"), i), F.lit("00000000")))
+    pixels = F.expr("shiftleft(cast(r * 256 + a as bigint), cast(48 - x % 4 * 16 as int))")
+    four = lambda k: F.coalesce(F.bit_or(F.when(F.floor(F.col("x") % SIZE / 4) == k, pixels)), F.lit(0).cast("bigint"))
+    lines = p.groupBy(
+        F.floor(F.col("x") / SIZE).alias("tx"), F.floor(F.col("y") / SIZE).alias("ty"), (F.col("y") % SIZE).alias("line")
+    ).agg(*[four(k).alias(f"f{k}") for k in range(SIZE // 4)])
+    red_alpha = F.concat(*[F.lpad(F.hex(f"f{k}"), 16, "0") for k in range(SIZE // 4)])
+    rgba = F.regexp_replace(red_alpha, "(..)(..)", "$10000$2")
+    cells = lines.groupBy("tx", "ty").agg(F.map_from_entries(F.collect_list(F.struct("line", rgba.alias("v")))).alias("m"))
+    every = F.transform(F.sequence(F.lit(0).cast("bigint"), F.lit(SIZE - 1).cast("bigint")),
+                        lambda i: F.coalesce(F.try_element_at(F.col("m"), i), F.lit("00000000" * SIZE)))
     return cells.select("tx", "ty", F.lit(SIZE).alias("size"), F.unhex(F.array_join(every, "")).alias("rgba"))
 
 
@@ -260,8 +264,6 @@ def seam_merge(spark, sf):
 @query("trace_outline", component_sql(FILLS) + " SELECT label, cls, pixels, area_m2 FROM (" + MEASURES + ")", ["fx_pixels"])
 def trace_outline(spark, sf):
     """The traced polygon's area, holes taken out, has to be the pixel count times the pixel size."""
-    from deslinde.session import cut
-
     labelled = cut(R.label_components(fills(spark, sf)))
     traced = R.trace_outlines(labelled, 2.0)
     m = R.component_measures(labelled, 2.0).select("label", "cls", "pixels")
@@ -323,7 +325,7 @@ def vectorize_printed(spark, sf):
     FROM fx_done JOIN fx_side USING (label), (VALUES (13101, 1000, 0), (13102, 0, 90000), (13103, 1003, 7)) AS c(comuna, dx, dy)""", ["fx_pixels"])
 def vectorize_layers(spark, sf):
     """The plane three times, as communes far apart and overlapping: each gets the same polygons at its own place."""
-    plane = tiles(spark, sf)
+    plane = cut(tiles(spark, sf))
     every = None
     for comuna, dx, dy in ((13101, 1000, 0), (13102, 0, 90000), (13103, 1003, 7)):
         own = plane.select(F.lit(comuna).alias("comuna"), (F.col("tx") + dx).alias("tx"), (F.col("ty") + dy).alias("ty"), "size", "rgba")

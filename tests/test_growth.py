@@ -46,3 +46,23 @@ def test_a_key_answered_twice_is_one_row(spark):
     got = spark.createDataFrame([(1, "a", "x", False, 500), (1, "a", "x", True, 200)], "comuna int, manzana string, predio string, _ok boolean, _status int")
     rows = sorted((r.predio, r._ok, r._status, r._error) for r in answers.failure_rows(asked, got).collect())
     assert rows == [("x", True, 200, None), ("x", True, 200, None), ("y", False, 0, "max_retries")]
+
+
+def test_tiles_gather_lines_not_pixels(spark, tmp_path):
+    """A tile looks up its 16 lines, not each of its 256 pixels; pixels and gaps lie where they were."""
+    from conformance.queries import raster as pixels
+
+    keys = [0, 1, 3, 15, 16, 47, 99, 100, 131, 1550, 1699, 2500]
+    spark.createDataFrame([(k, 1.0) for k in keys], "o_orderkey bigint, o_totalprice double").write.parquet(f"{tmp_path}/orders.parquet")
+    made = pixels.tiles(spark, str(tmp_path))
+    want = {(r.x, r.y): (r.r, r.a) for r in pixels.X.table(spark, str(tmp_path), "fx_pixels").collect()}
+    got = {}
+    for t in made.collect():
+        assert len(t.rgba) == 1024
+        for at in range(256):
+            r, g, b, a = t.rgba[at * 4 : at * 4 + 4]
+            assert g == b == 0
+            if r or a:
+                got[t.tx * 16 + at % 16, t.ty * 16 + at // 16] = (r, a)
+    assert got == want and len(got) == len(keys)
+    assert "bit_or" in made._jdf.queryExecution().optimizedPlan().toString()
