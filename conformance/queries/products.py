@@ -151,9 +151,10 @@ def distinct_names(spark, sf):
 def product_tiles(spark, sf):
     """Rasters to product: a parcel in the middle of every run of interior pixels lies in the polygon of its region."""
     east, south = 38000, 75000  # tiles of 320 metres, so that the plane lies where coordinates are accepted
-    plane = pixel_tiles(spark, sf).withColumn("comuna", F.lit(13101)).withColumn("tx", F.col("tx") + east).withColumn("ty", F.col("ty") + south)
+    own = cut(pixel_tiles(spark, sf))
+    plane = own.withColumn("comuna", F.lit(13101)).withColumn("tx", F.col("tx") + east).withColumn("ty", F.col("ty") + south)
     layer = cut(D.layer_from_tiles(plane, SIZE, 20.0))
-    runs = R8.interior_runs(R8.pixel_runs(pixel_tiles(spark, sf)), SIZE)
+    runs = R8.interior_runs(R8.pixel_runs(own), SIZE)
     parcels = runs.select(
         F.lit(13101).alias("comuna"), F.lpad(F.col("y").cast("string"), 5, "0").alias("manzana"), F.lpad(F.col("x0").cast("string"), 5, "0").alias("predio"),
         M.lon_of((F.col("x0") + F.col("x1") + 1) * 10.0 + east * 320.0 - C.MERCATOR_HALF).alias("lon"),
