@@ -5,6 +5,7 @@ import os
 import random
 from datetime import datetime, timedelta
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -106,6 +107,57 @@ def test_a_batch_that_runs_twice_adds_nothing(spark):
     assert sorted(r.reason for r in keyed.rejected(spark, target).collect()) == ["no key", "not json", "not json"]
 
 
+class Calls:
+    """A map state that counts what is asked of it."""
+
+    def __init__(self):
+        self.held, self.n = {}, 0
+
+    def containsKey(self, at):
+        self.n += 1
+        return at in self.held
+
+    def getValue(self, at):
+        self.n += 1
+        return self.held[at]
+
+    def updateValue(self, at, value):
+        self.n += 1
+        self.held[at] = value
+
+
+class Clock:
+    at = 0
+
+    def getCurrentProcessingTimeInMs(self):
+        return self.at
+
+
+def test_a_block_is_read_and_written_once(spark):
+    """200 keys of two blocks, in chunks: six calls at most; each key passes once, and again after its own time."""
+    keys = [(1, f"{m}", f"{p:05d}") for m in "ab" for p in range(100)]
+    rows = pd.DataFrame([("kept", *k, attempt, 200, f"b{attempt}", None, 0) for k in keys for attempt in (2, 1)], columns=["kind", *keyed.KEY, "attempt", "status", "body", "reason", "share"])
+    for ttl in (None, 1000):
+        state, clock, first = Calls(), Clock(), keyed.FirstGood(ttl)
+        first.init(type("Handle", (), {"getMapState": lambda *_: state})())
+        take = lambda part: pd.concat([pd.DataFrame(columns=["attempt"]), *first.handleInputRows((0,), iter([part[:77], part[77:]]), clock)])
+        assert list(take(rows[:300]).attempt) == [1] * 150 and state.n <= 6
+        clock.at = 600
+        state.n = 0
+        assert len(take(rows)) == 50 and state.n <= 6
+        clock.at = 1100
+        assert len(take(rows)) == (150 if ttl else 0)
+
+
+def test_lines_are_read_once_a_batch(spark):
+    """Kept and rejected lines come out of one scan."""
+    path = scratch_path(spark, "inbox")
+    spark.createDataFrame([("x",), *[(t,) for t in lines([(1, "a", "b")], 1)]], "value string").coalesce(1).write.text(path)
+    rows = keyed.answer_rows(spark.read.text(path), 4)
+    assert {r.kind: r.reason for r in rows.collect()} == {"kept": None, "rejected": "not json"}
+    assert rows._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+
+
 def test_one_scan_gives_rows_rejects_and_counts(spark):
     path = scratch_path(spark, "lines")
     text = ["1,-33.5,-70.6", "2,-33.5", "3,-33.5,-70.6,x", "4,95,-70.6", '5,"-33,5",-70.6', ""]
