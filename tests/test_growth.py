@@ -66,3 +66,16 @@ def test_tiles_gather_lines_not_pixels(spark, tmp_path):
                 got[t.tx * 16 + at % 16, t.ty * 16 + at // 16] = (r, a)
     assert got == want and len(got) == len(keys)
     assert "bit_or" in made._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_no_layer_passes_through_the_driver(spark, sf):
+    """Joins on arcs and outlines are dealt out, however small the input looks."""
+    from conformance.registry import QUERIES
+    import __spark_entry__  # noqa: F401
+
+    store = spark._jsparkSession.sharedState().statusStore()
+    known = {store.executionsList().apply(i).executionId() for i in range(store.executionsList().size())}
+    assert QUERIES["g_simplify_topology"](spark, sf).count() == 200
+    runs = [store.executionsList().apply(i) for i in range(store.executionsList().size())]
+    plans = [r.physicalPlanDescription() for r in runs if r.executionId() not in known]
+    assert plans and not any("BroadcastHashJoin" in p for p in plans)
