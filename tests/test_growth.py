@@ -2,6 +2,8 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 from deslinde.functions import answers
 from deslinde.operators import planning, raster
 
@@ -79,3 +81,20 @@ def test_no_layer_passes_through_the_driver(spark, sf):
     runs = [store.executionsList().apply(i) for i in range(store.executionsList().size())]
     plans = [r.physicalPlanDescription() for r in runs if r.executionId() not in known]
     assert plans and not any("BroadcastHashJoin" in p for p in plans)
+
+
+def test_layers_are_read_in_one_cast(spark):
+    """Layers are not built anew item by item; odd parts and labels count as before."""
+    text = """{"data":{"datosCapas":[4,{"titulo":"Á b","datos":[{"etiqueta":"x","valor":"1"},{"etiqueta":"x","valor":2},{"etiqueta":"x__2","valor":3},7]},
+        {"titulo":"Observatorio","datos":[{"etiqueta":"Comuna","valor":"a"},{"etiqueta":"Otro\\u0001 ΑΣ","valor":true},{"etiqueta":"Comuna","valor":null}]},
+        {"titulo":"Observatorio 2","datos":[{"etiqueta":"Comuna","valor":"z"}]},{"titulo":null,"datos":"none"}]}}"""
+    rows = spark.createDataFrame([(text,)], "json string").selectExpr("try_parse_json(json) as a").select(answers.layer_items(F.col("a")).alias("i"))
+    made = rows.select(answers.flatten_layers(F.col("i")).alias("f"), answers.observatory(F.col("i")).alias("o"))
+    plan = made._jdf.queryExecution().analyzed().toString()
+    assert "ArrayType(VariantType" not in plan
+    got = made.first()
+    assert got.f == {
+        "cap__á_b__x": "1", "cap__á_b__x__2": "2", "cap__á_b__x__2__2": "3", "cap__observatorio__comuna": "a", "cap__observatorio__otro_ας": "true",
+        "cap__observatorio__comuna__2": None, "cap__observatorio_2__comuna": "z",
+    }
+    assert got.o == {"obs_otro_ας": "true", "obs_comuna": None}
