@@ -13,6 +13,7 @@ from deslinde.operators import metrics as A
 from deslinde.operators import ordered as O
 from deslinde.operators import planning as L
 from deslinde.plans import cascade as P
+from deslinde.session import large
 from deslinde.sources import tables as R
 
 MATCH = ["fx_parcels", "fx_polygons"]
@@ -23,7 +24,7 @@ def v3(spark, sf):
 
 
 def with_attributes(spark, sf):
-    return v3(spark, sf).join(X.parcels(spark, sf).select("ok", *P.KEY, "ubicacion", "lat"), P.KEY)
+    return v3(spark, sf).join(large(X.parcels(spark, sf).select("ok", *P.KEY, "ubicacion", "lat")), P.KEY)
 
 
 @query("match_metrics", f"""{V3},

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from deslinde import constants as C
 from deslinde.functions import keys as K
+from deslinde.session import large
 
 NUMBER_BUCKET = 256
 
@@ -31,7 +32,7 @@ def inherit_by_key(
 
     With ``how="left"`` the others stay, with a null.
     """
-    return targets.join(first_donor(donors, keys, ["poly_idx"], order), keys, how)
+    return targets.join(large(first_donor(donors, keys, ["poly_idx"], order)), keys, how)
 
 
 def with_coord_key(df: DataFrame) -> DataFrame:
@@ -106,14 +107,14 @@ def asof_neighbor(
         )
 
     answered = (
-        local.where("_ask = 1").join(carried, [*keys, "_b"])
+        local.where("_ask = 1").join(large(carried), [*keys, "_b"])
         .select(*keys, "num", F.array_min(F.array_compact(F.array(rank(low), rank(high)))).alias("_r"))
         .where("_r is not null")
         .select(*keys, "num", F.col("_r.poly_idx").alias("poly_idx"), F.col("_r.diff").alias("diff"))
     )
     if tolerance is not None:
         answered = answered.where(F.col("diff") <= tolerance)
-    return targets.join(answered, [*keys, "num"], how)
+    return targets.join(large(answered), [*keys, "num"], how)
 
 
 def asof_anchor(targets: DataFrame, anchors: DataFrame, how: str = "inner") -> DataFrame:
@@ -129,7 +130,7 @@ def blocks_without_match(unmatched: DataFrame, matched: DataFrame) -> DataFrame:
     """Distinct (comuna, manzana) with a parcel to place and none placed."""
     keys = ["comuna", "manzana"]
     return unmatched.where("manzana is not null").select(*keys).distinct().join(
-        matched.select(*keys).distinct(), keys, "left_anti"
+        large(matched.select(*keys).distinct()), keys, "left_anti"
     )
 
 
@@ -142,7 +143,7 @@ def fill_from_address_donors(rows: DataFrame, fields: list[str], order: list[str
     values = ["lat", "lon", *fields]
     donors = first_donor(rows.where(has & F.col("addr").isNotNull()), ["comuna", "manzana", "addr"], values, order)
     given = donors.select("comuna", "manzana", "addr", *[F.col(v).alias(f"_d_{v}") for v in values])
-    joined = rows.join(given, ["comuna", "manzana", "addr"], "left")
+    joined = rows.join(large(given), ["comuna", "manzana", "addr"], "left")
     # a coordinate written as a null word counts as missing but is not overwritten field by field
     return joined.select(
         *[
@@ -157,4 +158,4 @@ def address_backfill(rows: DataFrame, order: list[str | Column]) -> DataFrame:
     """Give parcels without an address the first address seen in the same polygon."""
     known = first_donor(rows.where("address is not null"), ["poly_idx"], ["address"], order)
     given = known.withColumnRenamed("address", "_given")
-    return rows.join(given, "poly_idx", "left").withColumn("address", F.coalesce("address", "_given")).drop("_given")
+    return rows.join(large(given), "poly_idx", "left").withColumn("address", F.coalesce("address", "_given")).drop("_given")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from deslinde import constants as C
 from deslinde.functions import geometry as G
 from deslinde.functions import text as T
+from deslinde.session import large
 
 
 def _pct(part: Column, whole: Column) -> Column:
@@ -26,7 +27,7 @@ def match_metrics(matched: DataFrame, polygons: DataFrame) -> DataFrame:
         method("address_inheritance").alias("metodo_addr_inherit"), placed.alias("total_matched"),
     )
     used = matched.where("poly_idx is not null").select("comuna", "poly_idx").distinct().withColumn("_used", F.lit(1))
-    layers = polygons.select("comuna", "poly_idx").join(used, ["comuna", "poly_idx"], "left").groupBy("comuna").agg(
+    layers = polygons.select("comuna", "poly_idx").join(large(used), ["comuna", "poly_idx"], "left").groupBy("comuna").agg(
         F.count("*").alias("poligonos_disponibles"), F.count_if(F.col("_used").isNull()).alias("poligonos_huerfanos")
     )
     return rows.join(layers, "comuna", "left").select(

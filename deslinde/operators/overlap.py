@@ -9,6 +9,7 @@ from deslinde import constants as C
 from deslinde.functions import geometry as G
 from deslinde.functions.shapes import intersection_area, simplify
 from deslinde.operators import spatial as S
+from deslinde.session import large
 
 BOX = ["minx", "miny", "maxx", "maxy"]
 
@@ -39,7 +40,7 @@ def box_pairs(a: DataFrame, b: DataFrame, metric: S.Metric = S.DEGREES) -> DataF
     side = lambda df, p, others: _celled(df, others, metric).select(
         "comuna", "_level", "_cx", "_cy", *[F.col(c).alias(p + c) for c in ("_own", "poly_idx", "shell", "holes", *BOX)]
     )
-    pairs = side(la, "a_", _levels(lb)).join(side(lb, "b_", _levels(la)), ["comuna", "_level", "_cx", "_cy"])
+    pairs = side(la, "a_", _levels(lb)).join(large(side(lb, "b_", _levels(la))), ["comuna", "_level", "_cx", "_cy"])
     x, y = F.greatest("a_minx", "b_minx"), F.greatest("a_miny", "b_miny")
     lv = F.col("_level")
     return pairs.where(
@@ -69,7 +70,7 @@ def overlap_dedup(urban: DataFrame, agri: DataFrame, limit: float = C.OVERLAP_DR
     covered = overlap_shares(agri, urban).where(F.col("share") > limit).select(
         "comuna", F.col("a_idx").alias("poly_idx")
     ).distinct()
-    kept = agri.join(covered, ["comuna", "poly_idx"], "left_anti")
+    kept = agri.join(large(covered), ["comuna", "poly_idx"], "left_anti")
     return urban.withColumn("layer", F.lit("urban")).unionByName(kept.withColumn("layer", F.lit("agri")))
 
 
@@ -81,7 +82,7 @@ def joint_index(layers: DataFrame) -> DataFrame:
     keys = layers.select("comuna", "layer", F.col("poly_idx").alias("_old"))
     order = Window.partitionBy("comuna").orderBy(F.col("layer") != "urban", "layer", "_old")
     keys = keys.withColumn("_new", (F.row_number().over(order) - 1).cast(layers.schema["poly_idx"].dataType))
-    joined = layers.withColumnRenamed("poly_idx", "_old").join(keys, ["comuna", "layer", "_old"])
+    joined = layers.withColumnRenamed("poly_idx", "_old").join(large(keys), ["comuna", "layer", "_old"])
     return joined.drop("_old").withColumnRenamed("_new", "poly_idx")
 
 

@@ -17,16 +17,11 @@ from deslinde import constants as C
 from deslinde.functions import geometry as G
 from deslinde.functions.shapes import simplify_line
 from deslinde.functions.validity import unsound
-from deslinde.session import cut
+from deslinde.session import cut, large
 
 KEY = ["comuna", "poly_idx"]
 
 
-def _large(side: DataFrame) -> DataFrame:
-    """A side of a join that grows with the layer. Spark takes its size from the compressed input and would broadcast it through the driver."""
-    return side.hint("merge")
-
-
 @F.pandas_udf(ArrayType(DoubleType()))
 def _line_udf(lines: pd.Series, tolerance: pd.Series) -> pd.Series:
     return pd.Series([simplify_line(np.asarray(p, dtype=float).reshape(-1, 2), t).ravel() for p, t in zip(lines, tolerance)])
@@ -62,8 +57,8 @@ def shared_arcs(polygons: DataFrame) -> DataFrame:
     )
     rings = cut(rings.where(F.size("pts") > 3))
     vertices = rings.select(*KEY, "ring", F.posexplode(F.slice("pts", F.lit(1), F.size("pts") - 1)).alias("pos", "p"))
-    at_nodes = vertices.join(_large(_nodes(rings)), ["comuna", "p"]).groupBy(*KEY, "ring").agg(F.array_sort(F.collect_list("pos")).alias("_nodes"))
-    joined = rings.join(_large(at_nodes), [*KEY, "ring"], "left").withColumn("_nodes", F.coalesce("_nodes", F.array().cast("array<int>")))
+    at_nodes = vertices.join(large(_nodes(rings)), ["comuna", "p"]).groupBy(*KEY, "ring").agg(F.array_sort(F.collect_list("pos")).alias("_nodes"))
+    joined = rings.join(large(at_nodes), [*KEY, "ring"], "left").withColumn("_nodes", F.coalesce("_nodes", F.array().cast("array<int>")))
     arcs = joined.select(*KEY, "ring", F.posexplode(_arcs_of(F.slice("pts", F.lit(1), F.size("pts") - 1), F.col("_nodes"))).alias("at", "_p"))
     first, last = F.struct(F.col("_p")[0].alias("a"), F.col("_p")[1].alias("b")), F.struct(F.element_at("_p", -1).alias("a"), F.element_at("_p", -2).alias("b"))
     arcs = arcs.withColumn("turned", last < first)
@@ -72,7 +67,7 @@ def shared_arcs(polygons: DataFrame) -> DataFrame:
 
 def _assembled(uses: DataFrame, arcs: DataFrame) -> DataFrame:
     """(comuna, poly_idx, shell, holes) from the arcs that rings use."""
-    met = uses.join(_large(arcs), ["comuna", "arc"])
+    met = uses.join(large(arcs), ["comuna", "arc"])
     taken = F.when(F.col("turned"), F.reverse("pts")).otherwise(F.col("pts"))
     rings = met.groupBy(*KEY, "ring").agg(F.array_sort(F.collect_list(F.struct("at", F.slice(taken, F.lit(1), F.size("pts") - 1).alias("p")))).alias("_a"))
     open_ = F.flatten(F.transform("_a", lambda a: a["p"]))
@@ -93,7 +88,7 @@ def simplify_topology(rows: DataFrame, tolerance: Column | None = None) -> DataF
         tolerance = F.when(orphan, C.SIMPLIFY_ORPHAN_DEGREES).otherwise(C.SIMPLIFY_MATCHED_DEGREES)
     shapes = rows.select(*KEY, "shell", "holes", tolerance.alias("_t"))
     uses = cut(shared_arcs(shapes))
-    limits = uses.join(_large(shapes.select(*KEY, "_t")), KEY).groupBy("comuna", "arc").agg(F.min("_t").alias("t"), F.first("pts").alias("old"))
+    limits = uses.join(large(shapes.select(*KEY, "_t")), KEY).groupBy("comuna", "arc").agg(F.min("_t").alias("t"), F.first("pts").alias("old"))
     flat = F.flatten(F.transform("old", lambda p: F.array(p["x"], p["y"])))
     thin = limits.withColumn("_l", _line_udf(flat, F.col("t")))
     pairs = F.transform(F.sequence(F.lit(0), (F.size("_l") / 2).cast("int") - 1), lambda i: F.struct(F.col("_l")[i * 2].alias("x"), F.col("_l")[i * 2 + 1].alias("y")))
@@ -102,20 +97,20 @@ def simplify_topology(rows: DataFrame, tolerance: Column | None = None) -> DataF
     done, pending = None, uses
     while True:
         made = cut(_assembled(pending, arcs.select("comuna", "arc", "pts")).withColumn("_bad", unsound(F.col("shell"), F.col("holes"))))
-        bad = uses.join(_large(made.where("_bad").select(*KEY)), KEY).select("comuna", "arc").distinct()
-        again = cut(bad.join(_large(arcs.where("not exact").select("comuna", "arc")), ["comuna", "arc"]).withColumn("_again", F.lit(True)))
-        touched = cut(uses.join(_large(again), ["comuna", "arc"], "left_semi").select(*KEY).distinct())
-        done = made.drop("_bad") if done is None else done.join(_large(made.select(*KEY)), KEY, "left_anti").unionByName(made.drop("_bad"))
+        bad = uses.join(large(made.where("_bad").select(*KEY)), KEY).select("comuna", "arc").distinct()
+        again = cut(bad.join(large(arcs.where("not exact").select("comuna", "arc")), ["comuna", "arc"]).withColumn("_again", F.lit(True)))
+        touched = cut(uses.join(large(again), ["comuna", "arc"], "left_semi").select(*KEY).distinct())
+        done = made.drop("_bad") if done is None else done.join(large(made.select(*KEY)), KEY, "left_anti").unionByName(made.drop("_bad"))
         if not again.take(1):
             break
         arcs = cut(
-            arcs.join(_large(again), ["comuna", "arc"], "left")
+            arcs.join(large(again), ["comuna", "arc"], "left")
             .withColumn("pts", F.when(F.col("_again"), F.col("old")).otherwise(F.col("pts")))
             .withColumn("exact", F.col("exact") | F.col("_again").isNotNull()).drop("_again")
         )
-        pending = uses.join(_large(touched), KEY, "left_semi")
+        pending = uses.join(large(touched), KEY, "left_semi")
     thinned = done.withColumnsRenamed({"shell": "_shell", "holes": "_holes"})
     return (
-        rows.join(_large(thinned), KEY, "left").withColumn("shell", F.coalesce("_shell", "shell"))
+        rows.join(large(thinned), KEY, "left").withColumn("shell", F.coalesce("_shell", "shell"))
         .withColumn("holes", F.when(F.col("_shell").isNotNull(), F.col("_holes")).otherwise(F.col("holes"))).drop("_shell", "_holes")
     )

@@ -21,7 +21,7 @@ from deslinde.functions import keys as K
 from deslinde.functions import text as T
 from deslinde.operators import inherit as I
 from deslinde.operators import spatial as S
-from deslinde.session import cut
+from deslinde.session import cut, large
 
 KEY = ["comuna", "manzana", "predio"]
 ORDER = ["manzana", "predio"]
@@ -71,12 +71,12 @@ def _place_stage(
         F.min(F.struct(*ORDER)).alias("first"), F.min("kx").alias("kx"), F.min("ky").alias("ky")
     )
     located = S.locate_sites(places.select("comuna", "x", "y"), polygons, metric, within_m)
-    known = cut(places.join(located, ["comuna", "x", "y"], "left"))
+    known = cut(places.join(large(located), ["comuna", "x", "y"], "left"))
     donors = I.first_donor(known.where("poly_idx is not null"), ["comuna", "kx", "ky"], ["poly_idx"], ["first"])
     donors = donors.withColumnRenamed("poly_idx", "_same")
     metres = metric.metres_of(F.col("dist_q"))
     decided = (
-        known.join(donors, ["comuna", "kx", "ky"], "left")
+        known.join(large(donors), ["comuna", "kx", "ky"], "left")
         .withColumn("match_dist_m", F.when(F.col("inside"), 0.0).when(F.col("poly_idx").isNotNull(), metres))
         .withColumn(
             "match_method",
@@ -85,7 +85,7 @@ def _place_stage(
         .withColumn("poly_idx", F.coalesce("poly_idx", "_same"))
         .select("comuna", "x", "y", *RESULT)
     )
-    return rows.join(decided, ["comuna", "x", "y"], "left")
+    return rows.join(large(decided), ["comuna", "x", "y"], "left")
 
 
 def match_rows(parcels: DataFrame, legacy: bool = False) -> DataFrame:
@@ -153,7 +153,7 @@ def match_cascade_v1(
     )
     if anchors is not None:
         lacking = I.blocks_without_match(cascade.open, cascade.placed()).select("comuna").distinct()
-        unused = anchors.join(cascade.placed().select("comuna", "poly_idx").distinct(), ["comuna", "poly_idx"], "left_anti")
+        unused = anchors.join(large(cascade.placed().select("comuna", "poly_idx").distinct()), ["comuna", "poly_idx"], "left_anti")
         usable = unused.join(lacking, "comuna", "left_semi")
         cascade.stage(
             lambda rows: _result(
@@ -170,7 +170,7 @@ def match_cascade_v1(
 
 def _nearest_stage(rows: DataFrame, polygons: DataFrame, metres: float) -> DataFrame:
     located = S.nearest_capped_sites(S.sites_of(rows), polygons, metres, S.MERCATOR)
-    return _result(rows.join(located, ["comuna", "x", "y"], "left"), "6_fallback_nearest")
+    return _result(rows.join(large(located), ["comuna", "x", "y"], "left"), "6_fallback_nearest")
 
 
 def utm_source(rows: DataFrame) -> DataFrame:
@@ -187,7 +187,7 @@ def utm_fallback(rows: DataFrame, polygons: DataFrame, how: str = "inner") -> Da
     """Containing polygon of the projected place, else the nearest however far."""
     placed = cut(utm_source(rows.drop("x", "y")))
     located = S.nearest_sites(S.sites_of(placed), polygons)
-    out = placed.join(located, ["comuna", "x", "y"], how)
+    out = placed.join(large(located), ["comuna", "x", "y"], how)
     label = F.concat(F.col("utm_source"), F.when(F.col("inside"), "_utm_pip").otherwise("_utm_nearest"))
     return _result(out, label, S.DEGREES.metres_of(F.col("dist_q"))).drop("inside", "dist_q")
 
@@ -211,21 +211,21 @@ def number_read_match(
     home = cut(I.first_donor(placed, ["comuna", "poly_idx"], ["manzana"], ORDER))
     centres = cut(centroid_points(polygons, big.alias("big")))
     read = reads.where(F.col("number").between(1, C.NUMBER_READ_LAST))
-    asking = centres.where("big").join(home, ["comuna", "poly_idx"], "left_anti").join(read, ["comuna", "poly_idx"])
+    asking = centres.where("big").join(large(home), ["comuna", "poly_idx"], "left_anti").join(large(read), ["comuna", "poly_idx"])
     # nearest placed centroid, as polygons that have shrunk to one point
     point = F.struct("x", "y")
-    spots = centres.join(home, ["comuna", "poly_idx"], "left_semi").select(
+    spots = centres.join(large(home), ["comuna", "poly_idx"], "left_semi").select(
         "comuna", "poly_idx", F.array(point, point).alias("shell"), G.no_holes().alias("holes")
     )
     located = S.nearest_sites(S.sites_of(asking), spots).select(
         "comuna", "x", "y", F.col("poly_idx").alias("_near")
     )
     named = (
-        asking.join(located, ["comuna", "x", "y"])
-        .join(home.withColumnRenamed("poly_idx", "_near"), ["comuna", "_near"])
+        asking.join(large(located), ["comuna", "x", "y"])
+        .join(large(home.withColumnRenamed("poly_idx", "_near")), ["comuna", "_near"])
         .select("comuna", "manzana", K.zfill(F.col("number").cast("string")).alias("predio"), "poly_idx")
     )
-    return named.groupBy(*KEY).agg(F.min("poly_idx").alias("poly_idx")).join(unmatched.select(*KEY), KEY, "left_semi")
+    return named.groupBy(*KEY).agg(F.min("poly_idx").alias("poly_idx")).join(large(unmatched.select(*KEY)), KEY, "left_semi")
 
 
 def recover(matched: DataFrame, polygons: DataFrame, reads: DataFrame | None = None) -> DataFrame:
@@ -246,12 +246,12 @@ def recover(matched: DataFrame, polygons: DataFrame, reads: DataFrame | None = N
     def by_place(rows: DataFrame) -> DataFrame:
         located = S.nearest_sites(S.sites_of(rows), polygons)
         return _result(
-            rows.join(located, ["comuna", "x", "y"], "left"), "nearest_unlimited", S.DEGREES.metres_of(F.col("dist_q"))
+            rows.join(large(located), ["comuna", "x", "y"], "left"), "nearest_unlimited", S.DEGREES.metres_of(F.col("dist_q"))
         )
 
     def by_number(rows: DataFrame) -> DataFrame:
         named = number_read_match(reads, polygons, cascade.placed(), rows)
-        return _result(rows.join(named, KEY, "left"), "ocr_orphan")
+        return _result(rows.join(large(named), KEY, "left"), "ocr_orphan")
 
     cascade.stage(by_utm)
     cascade.stage(by_place)
@@ -267,13 +267,13 @@ def attach_geometry(matched: DataFrame, polygons: DataFrame) -> DataFrame:
         "comuna", "poly_idx", "shell", "holes",
         M.degree_area_m2(G.area(F.col("shell"), F.col("holes"))).alias("pol_area_m2"),
     )
-    return matched.join(shapes, ["comuna", "poly_idx"], "left")
+    return matched.join(large(shapes), ["comuna", "poly_idx"], "left")
 
 
 def orphan_polygons(matched: DataFrame, polygons: DataFrame) -> DataFrame:
     """Polygons no parcel uses."""
     used = matched.where("poly_idx is not null").select("comuna", "poly_idx").distinct()
-    return polygons.join(used, ["comuna", "poly_idx"], "left_anti")
+    return polygons.join(large(used), ["comuna", "poly_idx"], "left_anti")
 
 
 def append_orphans(matched: DataFrame, polygons: DataFrame, label: str = "unmatched_polygon") -> DataFrame:

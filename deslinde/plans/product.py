@@ -16,7 +16,7 @@ from deslinde.operators import overlap as V
 from deslinde.operators import raster
 from deslinde.operators.dedup import first_per_key
 from deslinde.plans import cascade as P
-from deslinde.session import cut
+from deslinde.session import cut, large
 from deslinde.sources import sinks
 from deslinde.sources import tables as R
 
@@ -50,7 +50,7 @@ def _on_key(left: DataFrame, right: DataFrame, how: str = "left") -> DataFrame:
     """Join by key; a null part is a value like any other, so no row is lost to it."""
     named = right.withColumnsRenamed({k: "_" + k for k in P.KEY})
     same = reduce(lambda a, b: a & b, [left[k].eqNullSafe(named["_" + k]) for k in P.KEY])
-    return left.join(named, same, how).drop(*["_" + k for k in P.KEY])
+    return left.join(large(named), same, how).drop(*["_" + k for k in P.KEY])
 
 
 def _finished(placed: DataFrame, rows: DataFrame, polygons: DataFrame, registry: DataFrame | None) -> DataFrame:
@@ -61,7 +61,7 @@ def _finished(placed: DataFrame, rows: DataFrame, polygons: DataFrame, registry:
     placed = cut(placed.select(*P.KEY, *P.RESULT))
     has = F.col("poly_idx").isNotNull()
     used = placed.where(has).select("comuna", "poly_idx").distinct()
-    orphans = polygons.select("comuna", "poly_idx").join(used, ["comuna", "poly_idx"], "left_anti").withColumn("match_method", F.lit("unmatched_polygon"))
+    orphans = polygons.select("comuna", "poly_idx").join(large(used), ["comuna", "poly_idx"], "left_anti").withColumn("match_method", F.lit("unmatched_polygon"))
     drawn = _on_key(rows, placed.where(has), "inner").unionByName(orphans, allowMissingColumns=True)
     whole = P.attach_geometry(drawn, polygons).unionByName(_on_key(rows, placed.where(~has), "inner"), allowMissingColumns=True)
     if registry is None:

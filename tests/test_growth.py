@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from deslinde.functions import answers
@@ -98,3 +99,22 @@ def test_layers_are_read_in_one_cast(spark):
         "cap__observatorio__comuna__2": None, "cap__observatorio_2__comuna": "z",
     }
     assert got.o == {"obs_otro_ας": "true", "obs_comuna": None}
+
+
+def _joins(spark, run):
+    """Physical plans of what ``run`` executes, as Spark first meant them."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    ids = lambda: {store.executionsList().apply(i).executionId(): store.executionsList().apply(i) for i in range(store.executionsList().size())}
+    known = ids()
+    run()
+    return [r.physicalPlanDescription() for i, r in ids().items() if i not in known]
+
+
+@pytest.mark.parametrize("name", ["overlap_dedup", "g_overlap_ratio", "append_orphans", "match_metrics", "match_cascade_v1", "number_read_match"])
+def test_a_layer_is_dealt_out_by_cell(spark, sf, name):
+    """However small the input looks, polygons, places and donors are not broadcast."""
+    from conformance.registry import QUERIES
+    import __spark_entry__  # noqa: F401
+
+    plans = _joins(spark, lambda: QUERIES[name](spark, sf).count())
+    assert plans and not any("BroadcastHashJoin" in p for p in plans if "_cx" in p or "poly_idx" in p)
