@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from deslinde import constants as C
 from deslinde.functions import keys as K
-from deslinde.session import large
+from deslinde.session import cut, large
 
 NUMBER_BUCKET = 256
 
@@ -91,6 +91,7 @@ def asof_neighbor(
         .withColumn("_bmin", F.min("_m").over(whole))
         .withColumn("_bmax", F.max("_m").over(whole))
     )
+    local = cut(local)  # read twice below
     buckets = local.groupBy(*keys, "_b").agg(F.first("_bmin").alias("_bmin"), F.first("_bmax").alias("_bmax"))
     over = Window.partitionBy(*keys).orderBy("_b")
     carried = buckets.select(

@@ -118,3 +118,14 @@ def test_a_layer_is_dealt_out_by_cell(spark, sf, name):
 
     plans = _joins(spark, lambda: QUERIES[name](spark, sf).count())
     assert plans and not any("BroadcastHashJoin" in p for p in plans if "_cx" in p or "poly_idx" in p)
+
+
+def test_marks_are_scanned_once(spark):
+    """The windows over the numbers of a block run once, though their rows are used twice."""
+    from deslinde.operators import inherit
+
+    rows = spark.createDataFrame([(1, "a", 5), (1, "a", 300)], "comuna int, manzana string, num bigint")
+    donors = spark.createDataFrame([(1, "a", 9, 7)], "comuna int, manzana string, num bigint, poly_idx bigint")
+    made = inherit.asof_neighbor(rows, donors, None)
+    assert made._jdf.queryExecution().optimizedPlan().toString().count("Window [") == 1
+    assert sorted((r.num, r.poly_idx, r.diff) for r in made.collect()) == [(5, 7, 4), (300, 7, 291)]
