@@ -129,3 +129,16 @@ def test_marks_are_scanned_once(spark):
     made = inherit.asof_neighbor(rows, donors, None)
     assert made._jdf.queryExecution().optimizedPlan().toString().count("Window [") == 1
     assert sorted((r.num, r.poly_idx, r.diff) for r in made.collect()) == [(5, 7, 4), (300, 7, 291)]
+
+
+def test_windows_are_made_only_where_they_stay(spark):
+    """Rasters narrower than a sliver, or without a pixel, have no window; none is made and dropped."""
+    sizes = spark.createDataFrame([(1, 0, 900), (2, 255, 900), (3, 256, 256), (4, 16511, 300), (5, 16512, 16512), (6, None, 900), (7, 900, 255)], "raster int, width bigint, height bigint")
+    made = raster.raster_windows(sizes)
+    assert sorted((r.raster, r.col, r.row, r.w, r.h) for r in made.collect()) == [
+        (3, 0, 0, 256, 256), (4, 0, 0, 16384, 300),
+        (5, 0, 0, 16384, 16384), (5, 0, 16256, 16384, 256), (5, 16256, 0, 256, 16384), (5, 16256, 16256, 256, 256),
+    ]
+    assert made.columns == ["raster", "width", "height", "col", "row", "w", "h"]
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert "Filter" not in plan[: plan.rindex("Generate ")]
