@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from deslinde import constants as C
 from deslinde.functions import coords as M
@@ -213,91 +214,42 @@ def split_cells(cells: DataFrame) -> DataFrame:
     return tiles.where(F.col("tx").between(F.col("x0"), F.col("x1")) & F.col("ty").between(F.col("y0"), F.col("y1")))
 
 
-def _near_box(e: Column, b: Column, reach: float) -> Column:
-    """Is the edge (ax, ay, bx, by) within ``reach`` of the box?
+def _cover_runs(size: float, half: float, reach: float):
+    """Arrow step: (cod, r, a, b) of the cells near the polygons of a batch, one run where runs of a cod touch."""
 
-    Settled by the ends in most cases. Otherwise the edge either passes through the box or
-    comes nearest to one of its corners.
-    """
-    to_box = lambda x, y: G.box_distance(b["minx"], b["miny"], b["maxx"], b["maxy"], x, y)
-    gap = lambda lo, hi, p, q: F.greatest(lo - F.greatest(p, q), F.least(p, q) - hi, F.lit(0.0))
-    around = F.hypot(gap(b["minx"], b["maxx"], e["ax"], e["bx"]), gap(b["miny"], b["maxy"], e["ay"], e["by"]))
-    at_end = (to_box(e["ax"], e["ay"]) <= reach) | (to_box(e["bx"], e["by"]) <= reach)
-    corners = [(b[x], b[y]) for x in ("minx", "maxx") for y in ("miny", "maxy")]
-    side = [G._side(e["ax"], e["ay"], e["bx"], e["by"], x, y) for x, y in corners]
-    # corners on both sides of the line while the edge's own box meets the box: it passes through
-    through = (around == 0) & (F.least(*side) <= 0) & (F.greatest(*side) >= 0)
-    by_corner = reduce(lambda p, q: p | q, [G.edge_distance(e, x, y) <= reach for x, y in corners])
-    return (around <= reach) & (at_end | through | by_corner)
-
-
-def _edge_rows(e: DataFrame, size: float, reach: float) -> DataFrame:
-    """For every edge and row of cells around it: the columns certainly and possibly within ``reach`` (cod, ax, ay, bx, by, r, a, b, pa, pb).
-
-    The edge is followed through the rows it passes, as a run of columns in each. A cell is certainly near if the farthest point
-    of a passed cell is, and possibly if the nearest point is; so a run is widened by a number that depends on the rows between.
-    """
-    half, steps = C.MERCATOR_HALF, int(reach // size) + 1
-    lo = lambda a, b: F.least(F.col(f"e.{a}"), F.col(f"e.{b}"))
-    hi = lambda a, b: F.greatest(F.col(f"e.{a}"), F.col(f"e.{b}"))
-    row_of = lambda y: F.floor((F.lit(half) - y) / size)
-    dx, dy = F.col("e.bx") - F.col("e.ax"), F.col("e.by") - F.col("e.ay")
-
-    def columns(r: Column) -> Column:
-        """First and last column that the edge passes in row ``r``."""
-        at = lambda y: F.when(dy == 0, F.col("e.ax")).otherwise(
-            F.least(hi("ax", "bx"), F.greatest(lo("ax", "bx"), F.col("e.ax") + (F.least(hi("ay", "by"), F.greatest(lo("ay", "by"), y)) - F.col("e.ay")) * dx / dy))
-        )
-        top, bottom = at(F.lit(half) - r * size), at(F.lit(half) - (r + 1) * size)
-        first, last = F.when(dy == 0, lo("ax", "bx")).otherwise(F.least(top, bottom)), F.when(dy == 0, hi("ax", "bx")).otherwise(F.greatest(top, bottom))
-        return F.struct(F.floor((first + half) / size).alias("a"), F.floor((last + half) / size).alias("b"))
-
-    passed = e.withColumn("_p", F.explode(F.sequence(row_of(hi("ay", "by")), row_of(lo("ay", "by")))))
-    passed = passed.withColumn("_c", columns(F.col("_p"))).withColumn("_d", F.explode(F.sequence(F.lit(-steps), F.lit(steps))))
-    k, apart = reach / size, F.abs("_d").cast("double")
-    between = F.greatest(apart - 1, F.lit(0.0))
-    sure = F.when(apart <= k, F.floor(F.sqrt(F.lit(k * k) - apart * apart)))
-    may = F.when(between <= k, F.floor(F.sqrt(F.lit(k * k) - between * between)) + 1)
-    edge = [F.col(f"e.{c}").alias(c) for c in ("ax", "ay", "bx", "by")]
-    return passed.groupBy("cod", *edge, (F.col("_p") + F.col("_d")).alias("r")).agg(
-        F.min(F.col("_c.a") - sure).alias("a"), F.max(F.col("_c.b") + sure).alias("b"),
-        F.min(F.col("_c.a") - may).alias("pa"), F.max(F.col("_c.b") + may).alias("pb"),
-    ).where("pa is not null")
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        from deslinde.functions import cover
+
+        for batch in batches:
+            cods = batch.column("cod").dictionary_encode(null_encoding="encode")
+            made = cover.covered(
+                *cover.rings_of(batch.column("shell"), batch.column("holes")), cods.indices.to_numpy(zero_copy_only=False).astype(np.int64), size, half, reach
+            )
+            cod = pa.DictionaryArray.from_arrays(pa.array(made[0]), cods.dictionary).dictionary_decode()
+            yield pa.RecordBatch.from_arrays([cod, *[pa.array(m) for m in made[1:]]], names=["cod", "r", "a", "b"])
+
+    return run
 
 
 def grid_cover(areas: DataFrame, buffer_m: float = C.GRID_BUFFER_M) -> DataFrame:
     """Cells (cod, scx, scy) within ``buffer_m`` of a Mercator polygon.
 
-    Worked in runs of cells: boundaries are widened row by row, crossings of the rows' middle lines tell what lies inside,
-    and only cells of the outer ring, which no run is sure to reach, are measured against the edges that may reach them.
+    Worked in runs of cells: each polygon's boundary and inside become runs in one narrow step, the runs of a cod's row are
+    merged where several polygons give some, and only then written out as cells.
     """
     size, half = M.TILE_M * C.CELL_TILES, C.MERCATOR_HALF
-    e = areas.select("cod", F.explode(G.all_edges(F.col("shell"), F.col("holes"))).alias("e"))
-    # rows whose middle line the edge crosses: middle = half - (r + 0.5) * size
-    mid = lambda y: (F.lit(half) - y) / size - 0.5
-    top, bottom = F.greatest("e.ay", "e.by"), F.least("e.ay", "e.by")
-    crossing = e.where(F.floor(mid(top)) + 1 <= F.floor(mid(bottom))).withColumn("r", F.explode(F.sequence(F.floor(mid(top)) + 1, F.floor(mid(bottom)))))
-    y = F.lit(half) - (F.col("r") + 0.5) * size
-    x = F.col("e.ax") + (y - F.col("e.ay")) * (F.col("e.bx") - F.col("e.ax")) / (F.col("e.by") - F.col("e.ay"))
-    lines = crossing.select("cod", "r", x.alias("x")).groupBy("cod", "r").agg(F.sort_array(F.collect_list("x")).alias("xs"))
-    spans = lines.withColumn("i", F.explode(F.sequence(F.lit(0), F.size("xs") - 2, F.lit(2))))
-    first = F.ceil((F.col("xs")[F.col("i")] + half) / size - 0.5)
-    last = F.floor((F.col("xs")[F.col("i") + 1] + half) / size - 0.5)
-    inside = spans.select("cod", "r", first.alias("a"), last.alias("b"))
-
-    around = _edge_rows(e, size, float(buffer_m))
-    sure = around.select("cod", "r", "a", "b").unionByName(inside).where("a <= b")
-    sure = sure.groupBy("cod", "r").agg(I.merged(F.array_sort(F.collect_set(I.interval(F.col("a"), F.col("b"))))).alias("_s"))
-    ring = around.join(sure, ["cod", "r"], "left")
-    ring = ring.select("cod", F.struct("ax", "ay", "bx", "by").alias("e"), "r", F.explode(I.pieces_left(F.col("pa"), F.col("pb"), F.coalesce("_s", I.none()))).alias("_p"))
-    ring = ring.withColumn("c", F.explode(F.sequence("_p.a", "_p.b")))
-    left, top = F.col("c") * size - half, F.lit(half) - F.col("r") * size
-    box = F.struct(left.alias("minx"), (top - size).alias("miny"), (left + size).alias("maxx"), top.alias("maxy"))
-    measured = ring.withColumn("b", box).where(_near_box(F.col("e"), F.col("b"), buffer_m)).select("cod", "c", "r").distinct()
-    cells = sure.select("cod", "r", F.explode("_s").alias("_s")).select("cod", F.explode(F.sequence("_s.a", "_s.b")).alias("c"), "r")
-    return cells.unionByName(measured).select(
-        "cod", (F.col("c") * C.CELL_TILES).alias("scx"), (F.col("r") * C.CELL_TILES).alias("scy")
+    polygons = areas.where(F.col("shell").isNotNull()).select(
+        "cod", F.col("shell").cast(G.RING).alias("shell"), F.coalesce(F.col("holes").cast(f"array<{G.RING}>"), G.no_holes()).alias("holes")
     )
+    schema = StructType([StructField("cod", areas.schema["cod"].dataType), *[StructField(c, LongType()) for c in ("r", "a", "b")]])
+    runs = polygons.mapInArrow(_cover_runs(size, half, float(buffer_m)), schema)
+    rows = runs.groupBy("cod", "r").agg(F.collect_list(I.interval(F.col("a"), F.col("b"))).alias("_s"))
+    whole = F.when(F.size("_s") == 1, F.col("_s")).otherwise(I.merged(F.array_sort("_s")))
+    cells = rows.select("cod", "r", F.explode(whole).alias("_s")).select("cod", "r", F.explode(F.sequence("_s.a", "_s.b")).alias("c"))
+    return cells.select("cod", (F.col("c") * C.CELL_TILES).alias("scx"), (F.col("r") * C.CELL_TILES).alias("scy"))
 
 
 def complete_communes(tables: DataFrame, cells: DataFrame, published: DataFrame) -> DataFrame:

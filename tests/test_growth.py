@@ -142,3 +142,44 @@ def test_windows_are_made_only_where_they_stay(spark):
     assert made.columns == ["raster", "width", "height", "col", "row", "w", "h"]
     plan = made._jdf.queryExecution().optimizedPlan().toString()
     assert "Filter" not in plan[: plan.rindex("Generate ")]
+
+
+def test_polygons_of_a_cod_cover_what_each_covers(spark):
+    """Two equal polygons, and one half over them, leave no gap where they lie on one another; null holes are none; one shuffle."""
+    from deslinde.functions import geometry as G
+
+    x, y, size = -7.87e6, -3.9e6, planning.M.TILE_M * planning.C.CELL_TILES
+    square = lambda a, b, w: [(x + a * size, y + b * size), (x + (a + w) * size, y + b * size), (x + (a + w) * size, y + (b + w) * size), (x + a * size, y + (b + w) * size), (x + a * size, y + b * size)]
+    rows = [("one", square(0, 0, 30), []), ("two", square(0, 0, 30), []), ("two", square(0, 0, 30), None), ("two", square(15, 0, 15), []), ("hole", square(0, 0, 30), [square(5, 5, 20)]), (None, None, [])]
+    made = planning.grid_cover(spark.createDataFrame(rows, f"cod string, {G.POLYGON_COLUMNS}"), 300.0)
+    got = made.collect()
+    cells = lambda cod: {(r.scx // 4, r.scy // 4) for r in got if r.cod == cod}
+    assert len(got) == len({(r.cod, r.scx, r.scy) for r in got}) == sum(len(cells(c)) for c in ("one", "two", "hole"))
+    assert cells("one") == cells("two") and len(cells("one")) >= 32 * 32 and cells("hole") < cells("one")
+    assert 16 * 16 <= len(cells("one") - cells("hole")) <= 19 * 19
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate [") == 1 and "Join" not in plan
+
+
+def test_cells_by_their_plain_distance():
+    """Runs of random edges, level and upright ones too, hold exactly the cells within reach, one by one."""
+    import numpy as np
+
+    from deslinde.functions import cover
+
+    rng = np.random.default_rng(3)
+    box = lambda c, r: (c * 1.0 - 50, 49.0 - r, c - 49.0, 50.0 - r)
+    for reach in (0.3, 1.0, 2.6):
+        for _ in range(60):
+            a, b = rng.uniform(-3, 3, 2), rng.uniform(-3, 3, 2)
+            b = [b, np.array([b[0], a[1]]), np.array([a[0], b[1]])][rng.integers(0, 3)]
+            made = cover.covered(np.array([a, b]), np.zeros(2, int), np.zeros(1, int), np.zeros(1, int), 1.0, 50.0, reach)
+            got = {(int(c), int(r)) for _, r, first, last in zip(*made) for c in range(first, last + 1)}
+            t = np.linspace(0, 1, 4001)[:, None]
+            line = a + t * (b - a)
+            for c in range(42, 58):
+                for r in range(42, 58):
+                    x0, y0, x1, y1 = box(c, r)
+                    off = np.hypot(np.maximum(np.maximum(x0 - line[:, 0], line[:, 0] - x1), 0), np.maximum(np.maximum(y0 - line[:, 1], line[:, 1] - y1), 0)).min()
+                    if abs(off - reach) > 2e-3:
+                        assert ((c, r) in got) == (off <= reach), (a, b, reach, c, r, off)
