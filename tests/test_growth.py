@@ -183,3 +183,47 @@ def test_cells_by_their_plain_distance():
                     off = np.hypot(np.maximum(np.maximum(x0 - line[:, 0], line[:, 0] - x1), 0), np.maximum(np.maximum(y0 - line[:, 1], line[:, 1] - y1), 0)).min()
                     if abs(off - reach) > 2e-3:
                         assert ((c, r) in got) == (off <= reach), (a, b, reach, c, r, off)
+
+
+def test_polygons_are_repaired_together(monkeypatch):
+    """400 polygons of a batch are noded in one step, and come out as each by itself."""
+    import numpy as np
+
+    from deslinde.functions import validity
+
+    rng = np.random.default_rng(8)
+    polygons = []
+    for k in range(400):
+        rings = [(rng.integers(0, 6, (m, 2)) if k % 2 else rng.random((m, 2)) * 6).astype(float) for m in rng.integers(3, 8, rng.integers(1, 4))]
+        polygons.append([np.concatenate([r, r[:1]]) for r in rings])
+    shapes_of = lambda parts: [[r.tolist() for r in p] for p in parts]
+    alone = [shapes_of(validity.repaired(p)) for p in polygons]
+    broken = [validity.needs_repair(p) for p in polygons]
+    assert 0 < sum(broken) < 400
+    seen, cuts = [], validity._cuts
+    monkeypatch.setattr(validity, "_cuts", lambda *a: seen.append(len(a[0])) or cuts(*a))
+    points = np.concatenate([r for p in polygons for r in p])
+    ring = np.repeat(np.arange(sum(map(len, polygons))), [len(r) for p in polygons for r in p])
+    owner = np.repeat(np.arange(400), [len(p) for p in polygons])
+    assert validity._unsound(points, ring, owner, 400).tolist() == broken
+    together = [[] for _ in polygons]
+    for o, p, r in validity._parts(points, ring, owner):
+        together[o][p:] = [[*together[o][p], r.tolist()] if p < len(together[o]) else [r.tolist()]]
+    assert together == alone and len(seen) == 2
+
+
+def test_repair_of_odd_rows(spark):
+    """Null rings are left out, rings that are not finite too; without any ring left, or without area, no row."""
+    from deslinde.functions import geometry as G
+    from deslinde.functions.validity import make_valid
+
+    square = lambda a, w: [(a, a), (a + w, a), (a + w, a + w), (a, a + w), (a, a)]
+    rows = [
+        (1, square(0.0, 4.0), [None, square(1.0, 1.0)]), (2, square(0.0, 4.0), [square(1.0, 1.0), square(3.0, 2.0)]), (3, square(float("nan"), 1.0), []),
+        (4, [(0.0, 0.0), (1.0, 1.0), (0.0, 0.0)], None), (5, [(0.0, 0.0), (2.0, 2.0), (2.0, 0.0), (0.0, 2.0), (0.0, 0.0)], []), (6, square(0.0, 4.0), [[]]), (7, None, []),
+    ]
+    made = make_valid(spark.createDataFrame(rows, f"poly_idx int, {G.POLYGON_COLUMNS}"))
+    got = made.select("poly_idx", "part", F.size("holes").alias("n"), "repaired", F.abs(G._signed_area(F.col("shell"))).alias("a")).collect()
+    assert sorted((r.poly_idx, r.part, r.n, r.repaired, round(r.a, 9)) for r in got) == [
+        (1, 0, 2, False, 16.0), (2, 0, 1, True, 15.0), (2, 1, 0, True, 3.0), (5, 0, 0, True, 1.0), (5, 1, 0, True, 1.0), (6, 0, 0, True, 16.0),
+    ]
