@@ -9,7 +9,7 @@ from conformance.registry import query
 from deslinde.functions import geometry as G
 from deslinde.operators import overlap as V
 from deslinde.operators import raster as R
-from deslinde.session import cut
+from deslinde.session import cut, large
 
 # --- overlaps: every polygon also as a shifted agricultural one ---------------------------
 X.add_table("fx_shifted", """
@@ -267,7 +267,7 @@ def trace_outline(spark, sf):
     labelled = cut(R.label_components(fills(spark, sf)))
     traced = R.trace_outlines(labelled, 2.0)
     m = R.component_measures(labelled, 2.0).select("label", "cls", "pixels")
-    return traced.join(m, "label").select("label", "cls", "pixels", F.round(G.area(F.col("shell"), F.col("holes")), 3).alias("area_m2"))
+    return traced.join(large(m), "label").select("label", "cls", "pixels", F.round(G.area(F.col("shell"), F.col("holes")), 3).alias("area_m2"))
 
 
 @query("vectorize", component_sql(INNER) + f" SELECT label, cls, CAST(a AS DOUBLE) AS area_m2, 0 AS n_holes FROM {BIG}", ["fx_pixels"])

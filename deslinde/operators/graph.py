@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from deslinde.session import cut
+from deslinde.session import cut, large
 
 
 def _both_ways(edges: DataFrame) -> DataFrame:
@@ -16,14 +16,14 @@ def _large_star(edges: DataFrame) -> DataFrame:
     """Hang every larger neighbour of a node on the node's smallest one."""
     near = _both_ways(edges)
     low = near.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-    return near.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
+    return near.where("v > u").join(large(low), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Hang a node and its smaller neighbours on the smallest of them."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     low = down.groupBy("u").agg(F.min("v").alias("m"))
-    moved = down.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    moved = down.join(large(low), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
 
 

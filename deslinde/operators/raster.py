@@ -20,7 +20,7 @@ from deslinde.functions import coords as M
 from deslinde.functions import geometry as G
 from deslinde.functions import intervals as I
 from deslinde.operators.graph import connected_components
-from deslinde.session import cut
+from deslinde.session import cut, large
 
 RUN = "cls string, tile_x bigint, y bigint, x0 bigint, x1 bigint"
 PIXEL_M = M.TILE_M / C.TILE_PX
@@ -163,7 +163,7 @@ def subtract_runs(fill: DataFrame, cut_out: DataFrame) -> DataFrame:
     The intervals gathered per key are those of one pixel row of one tile.
     """
     holes = cut_out.groupBy("tile_x", "y").agg(F.array_sort(F.collect_set(F.struct("a", "b"))).alias("_h"))
-    joined = fill.join(holes, ["tile_x", "y"], "left")
+    joined = fill.join(large(holes), ["tile_x", "y"], "left")
     left = I.pieces_left(F.col("x0"), F.col("x1"), F.coalesce(F.col("_h"), I.none()))
     return joined.select("tile_x", "y", F.explode(left).alias("_p")).select(
         "tile_x", "y", F.col("_p.a").alias("x0"), F.col("_p.b").alias("x1")
@@ -193,9 +193,9 @@ def with_run_id(runs: DataFrame) -> DataFrame:
 def run_edges(runs: DataFrame) -> DataFrame:
     """Pairs (u, v) of touching runs: one above the other inside a tile, or side by side at a tile edge."""
     below = runs.select("cls", "tile_x", (F.col("y") - 1).alias("y"), F.col("x0").alias("bx0"), F.col("x1").alias("bx1"), F.col("id").alias("v"))
-    stacked = runs.join(below, ["cls", "tile_x", "y"]).where("x0 <= bx1 and bx0 <= x1")
+    stacked = runs.join(large(below), ["cls", "tile_x", "y"]).where("x0 <= bx1 and bx0 <= x1")
     right = runs.select("cls", "y", (F.col("x0") - 1).alias("x1"), F.col("id").alias("v"))
-    beside = runs.join(right, ["cls", "y", "x1"])
+    beside = runs.join(large(right), ["cls", "y", "x1"])
     return stacked.select(F.col("id").alias("u"), "v").unionByName(beside.select(F.col("id").alias("u"), "v"))
 
 
@@ -236,7 +236,7 @@ def label_components(runs: DataFrame, size: int | None = None) -> DataFrame:
     ided = with_run_id(runs)
     if size is None:
         labels = connected_components(run_edges(ided))
-        return ided.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+        return ided.join(large(labels), "id", "left").withColumn("label", F.coalesce("label", "id"))
     fields = "cls string, tile_x bigint, y bigint, x0 bigint, x1 bigint, id bigint, root bigint"
     side_px = max(1, SQUARE_PX // size) * size
     square = [F.floor(F.col("tile_x") * size / side_px).alias("_sx"), F.floor(F.col("y") / side_px).alias("_sy")]
@@ -247,12 +247,12 @@ def label_components(runs: DataFrame, size: int | None = None) -> DataFrame:
     edge = lambda c, side: F.col(c) % size == side
     upper = rooted.where(edge("y", size - 1)).select("cls", "tile_x", (F.col("y") + 1).alias("y"), F.col("x0").alias("a"), F.col("x1").alias("b"), F.col("root").alias("u"))
     lower = rooted.where(edge("y", 0)).select("cls", "tile_x", "y", "x0", "x1", F.col("root").alias("v"))
-    over = upper.join(lower, ["cls", "tile_x", "y"]).where("a <= x1 and x0 <= b").select("u", "v")
+    over = upper.join(large(lower), ["cls", "tile_x", "y"]).where("a <= x1 and x0 <= b").select("u", "v")
     west = rooted.where(edge("x1", size - 1)).select("cls", "y", (F.col("x1") + 1).alias("x"), F.col("root").alias("u"))
     east = rooted.where(edge("x0", 0)).select("cls", "y", F.col("x0").alias("x"), F.col("root").alias("v"))
-    seams = over.unionByName(west.join(east, ["cls", "y", "x"]).select("u", "v")).distinct()
+    seams = over.unionByName(west.join(large(east), ["cls", "y", "x"]).select("u", "v")).distinct()
     labels = connected_components(seams).withColumnRenamed("id", "root")
-    return rooted.join(labels, "root", "left").withColumn("label", F.coalesce("label", "root")).drop("root")
+    return rooted.join(large(labels), "root", "left").withColumn("label", F.coalesce("label", "root")).drop("root")
 
 
 def component_measures(labelled: DataFrame, pixel_m: float = PIXEL_M) -> DataFrame:
@@ -336,15 +336,15 @@ def rank_chains(chains: DataFrame) -> DataFrame:
     while True:
         other = state.select("label", F.col("chain").alias("to"), *[F.col(c).alias("_" + c) for c in ("to", "span", "ring", "ahead")])
         nearer = F.col("ring") <= F.col("_ring")
-        state = cut(state.join(other, ["label", "to"]).select(
+        state = cut(state.join(large(other), ["label", "to"]).select(
             "label", "chain", F.col("_to").alias("to"), (F.col("span") + F.col("_span")).alias("span"), F.least("ring", "_ring").alias("ring"),
             F.when(nearer, F.col("ahead")).otherwise(F.col("span") + F.col("_ahead")).alias("ahead"), (F.col("_ring") < F.col("ring")).alias("changed"),
         ))
         if not state.where("changed").take(1):
             break
         state = state.drop("changed")
-    sizes = chains.join(state, ["label", "chain"]).groupBy("label", "ring").agg(F.sum("n").alias("_all"))
-    placed = state.join(sizes, ["label", "ring"])
+    sizes = chains.join(large(state), ["label", "chain"]).groupBy("label", "ring").agg(F.sum("n").alias("_all"))
+    placed = state.join(large(sizes), ["label", "ring"])
     return placed.select("label", "chain", "ring", F.when(F.col("ahead") == 0, 0).otherwise(F.col("_all") - F.col("ahead")).alias("before"))
 
 
@@ -360,7 +360,7 @@ def outline_rings(labelled: DataFrame) -> DataFrame:
     chained = cut(corners.groupBy(*square).applyInPandas(_chains, fields))
     open_ = chained.where("pos = 0 and after is not null").select("label", "chain", "n", "after")
     whole = chained.where("after is null").select("label", F.col("chain").alias("ring"), "pos", "x", "y")
-    linked = chained.where("after is not null").join(rank_chains(open_), ["label", "chain"])
+    linked = chained.where("after is not null").join(large(rank_chains(open_)), ["label", "chain"])
     linked = linked.select("label", "ring", (F.col("before") + F.col("pos")).alias("pos"), "x", "y")
     rings = whole.unionByName(linked).groupBy("label", "ring").agg(F.array_sort(F.collect_list(F.struct("pos", "x", "y"))).alias("c"))
     return rings.select("label", "ring", F.transform("c", lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"))).alias("corners"))
@@ -397,16 +397,16 @@ def vectorize(tiles: DataFrame, size: int = C.CELL_TILES * C.TILE_PX, pixel_m: f
     blocks = block_gates(runs, size, block, step, start)
     located = assign_blocks(runs.select("tile_x", F.floor(F.col("y") / size).alias("tile_y")).distinct()
                             .withColumnsRenamed({"tile_x": "sc_x", "tile_y": "sc_y"}), block, step, start)
-    gates = located.join(blocks.select("bx", "by", "urban_ok", "agri_ok"), ["bx", "by"]).groupBy("sc_x", "sc_y").agg(
+    gates = located.join(large(blocks.select("bx", "by", "urban_ok", "agri_ok")), ["bx", "by"]).groupBy("sc_x", "sc_y").agg(
         F.bool_or("urban_ok").alias("urban"), F.bool_or("agri_ok").alias("agri")
     ).select(F.col("sc_x").alias("tile_x"), F.col("sc_y").alias("_ty"), "urban", "agri")
-    inner = interior_runs(runs, size).withColumn("_ty", F.floor(F.col("y") / size)).join(gates, ["tile_x", "_ty"])
+    inner = interior_runs(runs, size).withColumn("_ty", F.floor(F.col("y") / size)).join(large(gates), ["tile_x", "_ty"])
     open_runs = inner.where(F.when(F.col("cls") == "urban", F.col("urban")).otherwise(F.col("agri"))).select(
         "cls", "tile_x", "y", "x0", "x1"
     )
     labelled = cut(label_components(open_runs, size))
     kept = in_area_band(component_measures(labelled, pixel_m))
-    outlines = trace_outlines(labelled.join(kept.select("label"), "label", "left_semi"), pixel_m).join(kept.select("label", "cls"), "label")
+    outlines = trace_outlines(labelled.join(large(kept.select("label")), "label", "left_semi"), pixel_m).join(large(kept.select("label", "cls")), "label")
     return finish_layer(outlines, min_final)
 
 
@@ -465,7 +465,7 @@ def vectorize_layers(tiles: DataFrame, size: int = C.CELL_TILES * C.TILE_PX, pix
     named = named.withColumn("poly_idx", (F.row_number().over(Window.partitionBy("comuna").orderBy("label")) - 1).cast("bigint"))
     east, south = F.col("_tx") * size * pixel_m, (F.col("_ty") - F.col("_strip") * high) * size * pixel_m
     degrees = lambda ring: F.transform(ring, lambda p: F.struct(M.lon_of(p["x"] + east).alias("x"), M.lat_of(p["y"] - south).alias("y")))
-    return polys.join(named, "label").select(
+    return polys.join(large(named), "label").select(
         "comuna", "poly_idx", "cls", "area_m2", degrees(F.col("shell")).alias("shell"), F.transform("holes", degrees).alias("holes"),
     )
 
@@ -513,10 +513,10 @@ def burnt_intervals(windows: DataFrame, images: DataFrame, least: int = C.REPAIR
     """
     key = ["raster", "label", "res"]
     raster = windows.schema["raster"].dataType.simpleString()
-    rows = images.join(windows.select(*key, "w"), key).select(*key, "w", "row0", "rgba")
+    rows = images.join(large(windows.select(*key, "w")), key).select(*key, "w", "row0", "rgba")
     runs = rows.mapInPandas(_border_runs, f"raster {raster}, label bigint, res double, cy bigint, a bigint, b bigint")
     telling = runs.groupBy(*key).agg(F.sum(F.col("b") - F.col("a") + 1).alias("_n")).where(F.col("_n") >= least)
-    placed = runs.join(windows.join(telling, key, "left_semi"), key)
+    placed = runs.join(large(windows.join(large(telling), key, "left_semi")), key)
 
     def nearest(c: Column, lo: str, hi: str, n: str) -> Column:
         """The first fine pixel whose middle lies at or after the beginning of coarse pixel ``c``."""
@@ -579,9 +579,9 @@ def vectorize_legacy(
     labelled, regions = legacy_regions(runs, boxes, size, pixel_m)
     # filling only adds, so what is too large before is dropped before it is traced
     kept = cut(regions.where(F.col("area_m2") <= area[1]).select("label", "raster", "_strip", "_tx", "_ty"))
-    traced = trace_outlines(labelled.join(kept.select("label"), "label", "left_semi"), pixel_m)
+    traced = trace_outlines(labelled.join(large(kept.select("label")), "label", "left_semi"), pixel_m)
     filled = traced.withColumn("_left", G.fill_compact_holes(F.col("holes"), max_hole)).withColumn("_area", G.area(F.col("shell"), F.col("_left")))
-    rows = filled.where(F.col("_area").between(*area)).join(kept, "label")
+    rows = filled.where(F.col("_area").between(*area)).join(large(kept), "label")
     east, south = F.col("_tx") * size * pixel_m, (F.col("_ty") - F.col("_strip") * (STRIP_PX // size)) * size * pixel_m
     place = lambda ring: F.transform(ring, lambda p: F.struct((p["x"] + east).alias("x"), (p["y"] - south).alias("y")))
     return rows.select(
@@ -602,7 +602,7 @@ def burn_border(fine: DataFrame, windows: DataFrame, coarse: DataFrame, fill_red
     """
     border = coarse.where((F.col("r") != fill_red) & (F.col("a") > 0)).select("win", "cx", "cy")
     telling = border.groupBy("win").agg(F.count("*").alias("_n")).where(F.col("_n") >= C.REPAIR_MIN_BORDER_PX)
-    placed = border.join(windows.join(telling, "win", "left_semi"), "win")
+    placed = border.join(large(windows.join(large(telling), "win", "left_semi")), "win")
 
     def fine_range(c: str, lo: str, hi: str, n: str) -> Column:
         scale = (F.col(hi) - F.col(lo)) / F.col(n)
@@ -613,4 +613,4 @@ def burn_border(fine: DataFrame, windows: DataFrame, coarse: DataFrame, fill_red
     hit = placed.withColumn("x", F.explode(fine_range("cx", "x0", "x1", "w"))).withColumn(
         "y", F.explode(fine_range("cy", "y0", "y1", "h"))
     ).select("x", "y").distinct().withColumn("_hit", F.lit(True))
-    return fine.join(hit, ["x", "y"], "left").withColumn("r", F.when(F.col("_hit"), 0).otherwise(F.col("r"))).drop("_hit")
+    return fine.join(large(hit), ["x", "y"], "left").withColumn("r", F.when(F.col("_hit"), 0).otherwise(F.col("r"))).drop("_hit")

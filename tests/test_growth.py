@@ -227,3 +227,13 @@ def test_repair_of_odd_rows(spark):
     assert sorted((r.poly_idx, r.part, r.n, r.repaired, round(r.a, 9)) for r in got) == [
         (1, 0, 2, False, 16.0), (2, 0, 1, True, 15.0), (2, 1, 0, True, 3.0), (5, 0, 0, True, 1.0), (5, 1, 0, True, 1.0), (6, 0, 0, True, 16.0),
     ]
+
+
+@pytest.mark.parametrize("name", ["vectorize_printed", "trace_outline"])
+def test_no_region_passes_through_the_driver(spark, sf, name):
+    """Runs, regions, chains and outlines are dealt out, however small they look compressed."""
+    from conformance.registry import QUERIES
+    import __spark_entry__  # noqa: F401
+
+    plans = _joins(spark, lambda: QUERIES[name](spark, sf).count())
+    assert plans and not any("BroadcastHashJoin" in p for p in plans)
