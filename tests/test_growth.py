@@ -237,3 +237,28 @@ def test_no_region_passes_through_the_driver(spark, sf, name):
 
     plans = _joins(spark, lambda: QUERIES[name](spark, sf).count())
     assert plans and not any("BroadcastHashJoin" in p for p in plans)
+
+
+@pytest.mark.parametrize("by_distance", [False, True])
+def test_a_heap_of_polygons_is_met_in_parts(spark, monkeypatch, by_distance):
+    """Squares on one another: a place stops at the first that holds it; the few that only the last part has are found as well."""
+    from deslinde.functions import geometry as G
+    from deslinde.operators import spatial
+
+    rng = random.Random(9)
+    squares = [(i, rng.randrange(0, 900), rng.randrange(0, 900), rng.choice([100, 700, 900])) for i in range(2_000)]
+    squares += [(2_000 + i, 2_000 + 40 * i, 0, 40) for i in range(5)]
+    places = [(rng.randrange(0, 1_900), rng.randrange(0, 1_900)) for _ in range(300)] + [(2_020, 20), (2_040, 20), (2_100, 80)]
+    u = lambda c: F.col(c) / 1e6
+    rows = spark.createDataFrame(squares, "poly_idx bigint, a bigint, b bigint, w bigint")
+    shell = G.box_ring(u("a"), u("b"), (F.col("a") + F.col("w")) / 1e6, (F.col("b") + F.col("w")) / 1e6)
+    polygons = rows.select(F.lit(1).alias("comuna"), "poly_idx", shell.alias("shell"), G.no_holes().alias("holes"))
+    sites = spark.createDataFrame(places, "x bigint, y bigint").select(F.lit(1).alias("comuna"), u("x").alias("x"), u("y").alias("y")).distinct()
+    seen, pairs = [], spatial.candidates
+    monkeypatch.setattr(spatial, "candidates", lambda *a: seen.append(pairs(*a).count()) or pairs(*a))
+    run = lambda: sorted(tuple(r) for r in spatial.locate_sites(sites, polygons, within_m=10.0, by_distance=by_distance).collect())
+    got, met = run(), sum(seen)
+    seen.clear()
+    monkeypatch.setattr(spatial, "index_parts", lambda boxed, reach: [boxed])
+    assert got == run() and len(got) > 200
+    assert met < seen[0] / 10
