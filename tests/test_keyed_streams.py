@@ -187,3 +187,15 @@ def test_a_failed_run_leaves_the_product_before(spark):
     assert first in publish.retire(spark, folder, keep=1)
     assert publish.read_published(spark, folder, "rows").select("run").first().run == 4
     assert publish.retire(spark, folder, keep=1) == []
+
+
+@pytest.mark.parametrize("name", ["stream_ingest", "stream_ingest_keyed"])
+def test_the_inbox_is_small_beside_its_lines(spark, sf, tmp_path, monkeypatch, name):
+    """Lines wait in compressed files, and none is lost."""
+    from conformance.queries import streams
+
+    monkeypatch.setattr(streams, "scratch_path", lambda spark, part: f"{tmp_path}/{part}")
+    assert getattr(streams, name)(spark, sf).count() > 0
+    lines = spark.read.text(f"{tmp_path}/inbox").selectExpr("sum(octet_length(value)) as bytes").first().bytes
+    files = sum(p.stat().st_size for p in (tmp_path / "inbox").glob("part-*"))
+    assert 0 < files < lines / 4
